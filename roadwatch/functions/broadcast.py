@@ -1,0 +1,27 @@
+"""Size-checked broadcast.
+
+A dimension is broadcast only after its row count has been proven below a
+bound (a ``limit(bound + 1).count()`` probe reads at most ``bound + 1`` rows).
+Beyond the bound the caller gets the plain DataFrame back and Spark plans a
+shuffle join (AQE may still pick broadcast at run time from real sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows x ~100 bytes stays far below the 8 GB broadcast ceiling and the
+# executors' memory; station tables have ~10^4 rows.
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, bound: int) -> bool:
+    return df.limit(bound + 1).count() <= bound
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows, else ``df``."""
+    if row_count_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df
