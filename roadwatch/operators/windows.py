@@ -87,7 +87,7 @@ def area_distinct(passages: DataFrame, size="10 seconds") -> DataFrame:
     return g
 
 
-def area_distinct_approx(passages: DataFrame, size="10 minutes", rsd: float = 0.01) -> DataFrame:
+def area_distinct_approx(passages: DataFrame, size="10 minutes", rsd: float = 0.05) -> DataFrame:
     """HyperLogLog++ distinct cars per area and window (mergeable, stream-safe)."""
     return _tumbling(passages, duration_ms(size)).groupBy("start_time", "end_time", "area_id") \
         .agg(F.approx_count_distinct("car", rsd).alias("car_count"))

@@ -27,8 +27,10 @@ POLICE_FIELDS = [("police_id", "string"), ("car", "string"), ("action_status", "
 def _parse(lines: DataFrame, fields, mode: str, line_col: str):
     if mode not in ("failfast", "permissive"):
         raise ValueError(f"mode must be 'failfast' or 'permissive', got {mode!r}")
-    line = F.col(line_col)
-    parts = F.split(F.regexp_replace(line, ",+$", ""), ",")
+    # Split once into a staged column; every field and check reads that array.
+    split = lines.select(F.col(line_col).alias("_line"),
+                         F.split(F.rtrim(F.col(line_col), F.lit(",")), ",").alias("_parts"))
+    parts = F.col("_parts")
     values: list[Column] = []
     bad_cast: list[Column] = []
     for i, (name, dtype) in enumerate(fields):
@@ -40,18 +42,22 @@ def _parse(lines: DataFrame, fields, mode: str, line_col: str):
             values.append(typed.alias(name))
             bad_cast.append(raw.isNotNull() & typed.isNull())
     short = F.size(parts) < len(fields)
-    reason = F.when(line.isNull(), F.lit("null line")) \
+    reason = F.when(F.col("_line").isNull(), F.lit("null line")) \
         .when(short, F.concat(F.lit("expected "), F.lit(len(fields)),
                               F.lit(" fields, got "), F.size(parts).cast("string")))
     for (name, dtype), b in zip([f for f in fields if f[1] != "string"], bad_cast):
         reason = reason.when(b, F.lit(f"bad {dtype} in {name}"))
-    staged = lines.select(line.alias("_line"), *values, reason.alias("_reason"))
     names = [n for n, _ in fields]
     if mode == "failfast":
-        check = F.when(F.col("_reason").isNotNull(),
-                       F.raise_error(F.concat(F.lit("malformed record: "), F.col("_reason"),
-                                              F.lit(": "), F.col("_line"))))
-        return staged.where(check.isNull()).select(*names)
+        # The check rides inside one struct column (no Filter for the optimizer to push
+        # below the staged split and re-evaluate per field); any use of a field raises.
+        checked = split.select(
+            F.when(reason.isNotNull(),
+                   F.raise_error(F.concat(F.lit("malformed record: "), reason, F.lit(": "),
+                                          F.col("_line"))))
+             .otherwise(F.struct(*values)).alias("_rec"))
+        return checked.select(*[F.col(f"_rec.{n}").alias(n) for n in names])
+    staged = split.select("_line", *values, reason.alias("_reason"))
     good = staged.where(F.col("_reason").isNull()).select(*names)
     rejected = staged.where(F.col("_reason").isNotNull()) \
         .select(F.col("_line").alias("line"), F.col("_reason").alias("reason"))
