@@ -61,11 +61,20 @@ def _window_cols(df: DataFrame, size) -> DataFrame:
     return df.withColumn("_w", w)
 
 
-def stream_area_distinct(passages: DataFrame, size="10 seconds", delay="0 seconds") -> DataFrame:
+def processing_timed(df: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Processing-time semantics -- the micro-batch's clock is the event time
+    (the reference's 10 s area job sets no time characteristic). Not repeatable."""
+    return df.withColumn(ts_col, F.current_timestamp()).withWatermark(ts_col, "0 seconds")
+
+
+def stream_area_distinct(passages: DataFrame, size="10 seconds", delay="0 seconds",
+                         time: str = "event") -> DataFrame:
     """F2 on a stream: streaming ``count(DISTINCT)`` is not supported, so cars are
     deduplicated per ``(window, area)`` (state evicted as the watermark passes
-    the window) and then counted."""
-    df = _window_cols(watermarked(passages, "action_time", delay), size)
+    the window) and then counted. ``time="processing"`` windows by arrival (E3)."""
+    timed = processing_timed(passages) if time == "processing" \
+        else watermarked(passages, "action_time", delay)
+    df = _window_cols(timed, size)
     firsts = df.dropDuplicates(["_w", "area_id", "car"])
     g = firsts.groupBy("_w", "area_id").agg(F.count("*").alias("car_count"))
     return g.select(F.unix_millis("_w.start").alias("start_time"), F.unix_millis("_w.end").alias("end_time"),

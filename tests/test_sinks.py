@@ -54,3 +54,38 @@ def test_upsert_counts_keeps_last(spark):
                                "end_time bigint, area_id string, car_count bigint")
     got = sorted((r.count_key, r.car_count) for r in upsert_counts(df).collect())
     assert got == [("600_1", 2), ("600_2", 1)]
+
+
+def test_messages(spark):
+    from roadwatch.functions.messages import area_message, danger_message, pair_message, top_n_message
+    a = spark.createDataFrame([("3", 0, 10_000, 7)], "area_id string, start_time bigint, end_time bigint, car_count bigint")
+    assert area_message(a).collect()[0].message == "区域3,在窗口其实时间0,到窗口结束时间10000 ,一共有7 辆车"
+    d = spark.createDataFrame([("c", ["m1", "m2"])], "car string, monitor_ids array<string>")
+    assert danger_message(d).collect()[0].message == "该车辆涉嫌危险驾驶,第1个经过卡口是:m1 -->第2个经过卡口是:m2 -->"
+    t = spark.createDataFrame([(0, 60, "b", 1.5, 3, 2), (0, 60, "a", 2.0, 4, 1)],
+                              "start_time bigint, end_time bigint, monitor_id string, avg_speed double, car_count int, rank bigint")
+    msg = top_n_message(t).collect()[0].message
+    assert msg.startswith("在窗口0 ----60 时间范围内:") and msg.index("卡口:a") < msg.index("卡口:b")
+    p = spark.createDataFrame([("c", "no_violation", None, None, None, None)],
+                              "car string, outcome string, create_time bigint, police_id string, action_status string, action_time bigint")
+    assert pair_message(p).collect()[0].message == "没有对应的违法车辆信息"
+
+
+def test_stream_writers_batch_semantics(spark, tmp_path):
+    from roadwatch.streaming.sinks import counter_writer, outcome_writer, read_counters, violation_writer
+    d = 10 * DAY_MS
+    w = violation_writer(str(tmp_path / "vl"))
+    w(viol(spark, [("X", "a", d + 1), ("X", "b", d + 2)]), 0)
+    w(viol(spark, [("X", "c", d + 3), ("Y", "a", d + 4)]), 1)     # X already stored today
+    got = sorted((r.car, r.violation) for r in spark.read.parquet(str(tmp_path / "vl")).collect())
+    assert got == [("X", "a"), ("Y", "a")]
+    cw = counter_writer(str(tmp_path / "cnt"))
+    df = spark.createDataFrame([(600, "1", 1), (600, "1", 2)], "end_time bigint, area_id string, car_count bigint")
+    cw(df, 0)
+    cw(spark.createDataFrame([(600, "1", 3)], df.schema), 1)
+    assert [tuple(r) for r in read_counters(spark, str(tmp_path / "cnt")).collect()] == [("600_1", 3)]
+    ow = outcome_writer({"matched": str(tmp_path / "m"), "no_police": str(tmp_path / "np")})
+    ow(spark.createDataFrame([("c", "matched"), ("d", "no_police"), ("e", "no_violation")],
+                             "car string, outcome string"), 0)
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "np")).count() == 1
