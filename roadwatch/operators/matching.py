@@ -29,32 +29,58 @@ def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_ti
     """``right_time BETWEEN left_time + lower AND left_time + upper`` (both ends
     inclusive) on equal ``key``; many-to-many.
 
-    ``how="full_outer"`` adds left rows without a partner and right rows
-    without a partner (the other side's columns NULL); it needs row ids
-    (``left_id`` / ``right_id``). Apart from ``key`` the two sides must have
-    distinct column names.
+    Bucketed range join: every left row sits in exactly one time bucket of
+    width ``upper - lower``; every right row is copied into the (at most two)
+    left buckets whose rows it can match. The join is then an equi-join on
+    ``(key, bucket)`` plus the range filter, each pair is produced once, and a
+    busy key is spread over its buckets.
+
+    ``how="full_outer"`` = the left-outer form of that join (a left row without
+    a partner appears once, with NULLs) plus the right rows no left row
+    matches (an anti join in the mirrored layout). Apart from ``key`` the two
+    sides must have distinct column names. ``left_id``/``right_id`` are
+    accepted for compatibility and not needed.
     """
     lo, hi = duration_ms(lower), duration_ms(upper)
     if hi < lo:
         raise ValueError("upper must not be below lower")
+    if how not in ("inner", "full_outer"):
+        raise ValueError("how must be 'inner' or 'full_outer'")
     width = max(hi - lo, 1)
     lt, rt = F.col(left_time), F.col(right_time)
-    first_b = _bucket_expr(f"({left_time} + ({lo}))", width)
-    last_b = _bucket_expr(f"({left_time} + ({hi}))", width)
-    lb = left.withColumn("_jb", F.explode(F.sequence(first_b, last_b)))
-    rb = right.withColumn("_jb", _bucket_expr(right_time, width))
-    matched = lb.join(rb, [key, "_jb"], "inner") \
-        .where(rt.between(lt + F.lit(lo), lt + F.lit(hi))).drop("_jb")
+    in_range = rt.between(lt + F.lit(lo), lt + F.lit(hi))
+
+    def spread(df, t, a, b):  # copies of a row into the buckets of [t + a, t + b]
+        return df.withColumn("_jb", F.explode(F.sequence(_bucket_expr(f"({t} + ({a}))", width),
+                                                         _bucket_expr(f"({t} + ({b}))", width))))
+
+    lb = left.withColumn("_jb", _bucket_expr(left_time, width))
+    rb = spread(right, right_time, -hi, -lo)
     if how == "inner":
-        return matched
-    if how != "full_outer":
-        raise ValueError("how must be 'inner' or 'full_outer'")
-    if not (left_id and right_id):
-        raise ValueError("full_outer needs left_id and right_id")
-    lone_left = left.join(matched.select(left_id), left_id, "left_anti")
-    lone_right = right.join(matched.select(right_id), right_id, "left_anti")
-    return matched.unionByName(lone_left, allowMissingColumns=True) \
-        .unionByName(lone_right, allowMissingColumns=True)
+        return lb.join(rb, [key, "_jb"], "inner").where(in_range).drop("_jb")
+    l_side = lb.alias("_l")
+    r_side = rb.alias("_r")
+    cond = (F.col(f"_l.{key}") == F.col(f"_r.{key}")) & (F.col("_l._jb") == F.col("_r._jb")) \
+        & F.col(f"_r.{right_time}").between(F.col(f"_l.{left_time}") + F.lit(lo),
+                                            F.col(f"_l.{left_time}") + F.lit(hi))
+    left_outer = l_side.join(r_side, cond, "left_outer").select(
+        F.col(f"_l.{key}").alias(key),
+        *[F.col(f"_l.{c}") for c in left.columns if c != key],
+        *[F.col(f"_r.{c}") for c in right.columns if c != key])
+    lone_right = _lone_right(left, right, key, left_time, right_time, lo, hi, width)
+    return left_outer.unionByName(lone_right, allowMissingColumns=True)
+
+
+def _lone_right(left, right, key, left_time, right_time, lo, hi, width):
+    """Right rows without any left partner: right in one bucket, left copied to neighbours."""
+    rb = right.withColumn("_jb", _bucket_expr(right_time, width)).alias("_r")
+    lb = left.select(key, left_time).withColumn("_jb", F.explode(F.sequence(
+        _bucket_expr(f"({left_time} + ({lo}))", width), _bucket_expr(f"({left_time} + ({hi}))", width)))) \
+        .alias("_l")
+    cond = (F.col(f"_r.{key}") == F.col(f"_l.{key}")) & (F.col("_r._jb") == F.col("_l._jb")) \
+        & F.col(f"_r.{right_time}").between(F.col(f"_l.{left_time}") + F.lit(lo),
+                                            F.col(f"_l.{left_time}") + F.lit(hi))
+    return rb.join(lb, cond, "left_anti").select(*[F.col(f"_r.{c}") for c in right.columns])
 
 
 _V_COLS = ["violation_id", "create_time", "msg"]

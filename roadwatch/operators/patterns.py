@@ -91,11 +91,14 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
         .where(severe_overspeed("limit_speed", "real_speed", factor)) \
         .select("car", "action_time", id_col, "monitor_id")
     hits = with_time_bucket(hits, "action_time", width, "_hb")
-    native = hits.withColumn("_native", F.lit(True))
-    # Halo: a copy of rows close to the start of their bucket, for the previous bucket's starts.
-    halo = hits.where(F.col("action_time") - F.col("_hb") * F.lit(width) < F.lit(span)) \
-        .withColumn("_hb", F.col("_hb") - 1).withColumn("_native", F.lit(False))
-    rows = native.unionByName(halo)
+    # Halo: rows close to the start of their bucket are also copied (as non-starts)
+    # into the previous bucket, for that bucket's starts. One scan, one explode.
+    near_start = F.col("action_time") - F.col("_hb") * F.lit(width) < F.lit(span)
+    own = F.struct(F.col("_hb").alias("b"), F.lit(True).alias("native"))
+    prev = F.struct((F.col("_hb") - 1).alias("b"), F.lit(False).alias("native"))
+    rows = hits.withColumn("_copy", F.explode(F.when(near_start, F.array(own, prev))
+                                              .otherwise(F.array(own)))) \
+        .withColumn("_hb", F.col("_copy.b")).withColumn("_native", F.col("_copy.native")).drop("_copy")
 
     w = Window.partitionBy("car", "_hb").orderBy("action_time").rangeBetween(0, span - 1)
     elem = F.struct(F.col("action_time").alias("t"), F.col(id_col).alias("i"), F.col("monitor_id").alias("m"))

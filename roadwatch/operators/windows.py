@@ -98,19 +98,25 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
     """F3 (exact): one row per passage with the number of distinct cars seen so far
     in its area and tumbling window (event-time order, ties by ``id_col``).
 
-    A passage is a car's first in the window when it equals the grouped
-    minimum ``(action_time, id)``; the running count of firsts is a skew-safe
-    keyed scan over ``(area, window)``.
+    The count at a passage is the number of cars whose first passage in the
+    window is at or before it. First passages come from a grouped minimum
+    (partial aggregation, so a busy car shrinks map-side); they are unioned
+    into the passages as weight-1 markers that sort just before their own
+    passage, and a skew-safe running sum over ``(area, window)`` counts
+    them -- no join back and a single large shuffle.
     """
     order = ["action_time", id_col]
     d = _tumbling(passages, duration_ms(size))
-    firsts = d.groupBy("area_id", "start_time", "car") \
-        .agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_first"))
-    d = d.join(firsts, ["area_id", "start_time", "car"]) \
-        .withColumn("_is_first", (F.struct(*[F.col(c) for c in order]) == F.col("_first")).cast("long"))
-    d = with_time_bucket(d, "action_time", bucket_ms)
-    d = keyed_scan(d, ["area_id", "start_time"], order, [("distinct_cars", "sum", F.col("_is_first"))])
-    return d.select("area_id", "start_time", "end_time", "car", "action_time", id_col, "distinct_cars")
+    cols = ["area_id", "start_time", "end_time", "car", "action_time", id_col]
+    firsts = d.groupBy("area_id", "start_time", "end_time", "car") \
+        .agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_f")) \
+        .select("area_id", "start_time", "end_time", "car",
+                *[F.col(f"_f.{c}").alias(c) for c in order],
+                F.lit(1).cast("long").alias("_w"), F.lit(0).alias("_row"))
+    rows = d.select(*cols, F.lit(0).cast("long").alias("_w"), F.lit(1).alias("_row"))
+    u = with_time_bucket(rows.unionByName(firsts), "action_time", bucket_ms)
+    u = keyed_scan(u, ["area_id", "start_time"], order + ["_row"], [("distinct_cars", "sum", F.col("_w"))])
+    return u.where(F.col("_row") == 1).select(*cols, "distinct_cars")
 
 
 def count_batches(df: DataFrame, n: int = 10, order=("action_time", "event_id"),
