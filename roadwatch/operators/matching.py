@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadwatch.operators.windows import duration_ms
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, keyed_scan, with_time_bucket
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, island_scan, with_time_bucket
 
 
 def _bucket_expr(col: str, width: int):
@@ -128,14 +128,8 @@ def pair_actions(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
     payload = F.struct(F.col("_kind").alias("k"), F.col("_t").alias("t"),
                        *[F.col(c) for c in _V_COLS + _P_COLS])
     u = with_time_bucket(_events(violations, actions, violation_id, action_id), "_t", bucket_ms)
-    u = keyed_scan(u, ["car"], order, [("_prev", "prev", payload), ("_seq", "sum", F.lit(1))])
-    link = F.col("_prev").isNotNull() & (F.col("_prev.k") != F.col("_kind")) \
-        & (F.col("_t") - F.col("_prev.t") <= F.lit(limit))
-    u = u.withColumn("_link", link)
-    u = keyed_scan(u, ["car"], order, [
-        ("_island_start", "max", F.when(~F.col("_link"), F.col("_seq"))),
-        ("_next_link", "next", F.col("_link")),
-    ])
+    u = island_scan(u, ["car"], order, payload,
+                    lambda p, c: (p["k"] != c["k"]) & (c["t"] - p["t"] <= F.lit(limit)))
     pos = F.col("_seq") - F.col("_island_start")
     second = (pos % 2) == 1
     alone = ((pos % 2) == 0) & ~F.coalesce(F.col("_next_link"), F.lit(False))
@@ -241,10 +235,10 @@ def pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 se
     limit = duration_ms(timeout)
     order = ["_t", "_kind", "_id"]
     u = with_time_bucket(_events(violations, actions, violation_id, action_id), "_t", bucket_ms)
-    u = keyed_scan(u, ["car"], order, [("_pt", "prev", F.col("_t"))])
-    u = u.withColumn("_brk", F.when(F.col("_pt").isNull() | (F.col("_t") - F.col("_pt") > limit), 1)
-                     .otherwise(0))
-    u = keyed_scan(u, ["car"], order, [("_session", "sum", F.col("_brk"))])
+    # A session is an island of records at most ``timeout`` apart; its id is its first position.
+    u = island_scan(u, ["car"], order, F.struct(F.col("_t").alias("t")),
+                    lambda p, c: c["t"] - p["t"] <= F.lit(limit)) \
+        .withColumnRenamed("_island_start", "_session")
     u = u.select("car", "_session", "_kind", "_t", "_id", *_V_COLS, *_P_COLS) \
         .repartition("car", "_session") \
         .sortWithinPartitions("car", "_session", *order)

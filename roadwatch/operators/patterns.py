@@ -15,7 +15,7 @@ from roadwatch.functions.broadcast import DEFAULT_MAX_ROWS
 from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, severe_overspeed
 from roadwatch.operators.enrich import with_limits
 from roadwatch.operators.windows import duration_ms
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, keyed_scan, with_time_bucket
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, island_scan, with_time_bucket
 
 # The reference's display texts.
 CLONE_MSG = "涉嫌套牌车"          # "suspected cloned plate"
@@ -39,15 +39,10 @@ def clone_plates(passages: DataFrame, within_s: int = 10, id_col: str = "event_i
     """
     order = ["action_time", id_col]
     d = with_time_bucket(passages, "action_time", bucket_ms)
-    d = keyed_scan(d, ["car"], order, [
-        ("_prev", "prev", F.struct(F.col("action_time").alias("t"), F.col("monitor_id").alias("m"))),
-        ("_seq", "sum", F.lit(1)),
-    ])
-    link = F.col("_prev").isNotNull() & (F.expr("abs(action_time - _prev.t) div 1000") <= F.lit(within_s))
-    d = d.withColumn("_link", link)
-    d = keyed_scan(d, ["car"], order, [
-        ("_island_start", "max", F.when(~F.col("_link"), F.col("_seq"))),
-    ])
+    limit_ms = (int(within_s) + 1) * 1000          # |dt| div 1000 <= s  <=>  |dt| < (s + 1) * 1000
+    d = island_scan(d, ["car"], order,
+                    F.struct(F.col("action_time").alias("t"), F.col("monitor_id").alias("m")),
+                    lambda p, c: F.abs(c["t"] - p["t"]) < F.lit(limit_ms))
     hits = d.where(((F.col("_seq") - F.col("_island_start")) % 2) == 1)
     return hits.select(
         "car",

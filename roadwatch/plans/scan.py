@@ -20,7 +20,7 @@ Scan kinds (all inclusive of the current row unless noted):
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,3 +101,71 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             val = F.greatest(car, loc)
         out = out.withColumn(name, val).drop(f"_l_{name}", f"_c_{name}")
     return out.drop("_scan_first", "_scan_last")
+
+
+def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column,
+                link: Callable[[Column, Column], Column], bucket: str = BUCKET_COL) -> DataFrame:
+    """Gaps-and-islands over each key's ordered rows, in one shuffle.
+
+    ``payload`` is a struct of the fields ``link(prev, cur)`` needs; a row
+    *links* to its predecessor when ``link`` holds. Adds ``_prev`` (the
+    predecessor's payload), ``_link``, ``_next_link`` (the successor links to
+    this row), ``_seq`` (0-based position in the key) and ``_island_start``
+    (position of the island's first row), so ``_seq - _island_start`` is the
+    offset inside the island.
+
+    Plan: rows are shuffled once on ``(key, bucket)`` and scanned locally; a
+    one-row-per-bucket summary (count, first and last payload, pre-aggregated
+    map-side) gives each bucket its neighbours across bucket edges, and a
+    second per-bucket aggregate of the local scan gives its last island
+    start; both are combined per key (one row per bucket) and joined back.
+    """
+    keys, order = list(keys), list(order)
+    part = keys + [bucket]
+    ord_struct = F.struct(*[F.col(c) for c in order])
+    w_loc = Window.partitionBy(*part).orderBy(*order)
+    w_cum = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    staged = df.withColumn("_pl", payload) \
+        .withColumn("_li", F.row_number().over(w_loc) - 1) \
+        .withColumn("_lp", F.lag("_pl").over(w_loc)) \
+        .withColumn("_ln", F.lead("_pl").over(w_loc))
+    staged = staged.withColumn("_llink", F.when(F.col("_li") > 0, F.coalesce(link(F.col("_lp"), F.col("_pl")), F.lit(False)))) \
+        .withColumn("_lnext", F.when(F.col("_ln").isNotNull(), F.coalesce(link(F.col("_pl"), F.col("_ln")), F.lit(False))))
+    staged = staged.withColumn("_lstart", F.max(F.when(F.col("_li") > 0, F.when(~F.col("_llink"), F.col("_li"))))
+                               .over(w_cum))
+
+    # Per bucket: size and edge rows straight from the input (partial aggregation) ...
+    edges = df.withColumn("_pl", payload).groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by("_pl", ord_struct).alias("_first"),
+        F.max_by("_pl", ord_struct).alias("_last"))
+    # ... and the last island start inside the bucket (rows after its first), from the local scan.
+    starts = staged.groupBy(*part).agg(F.max("_lstart").alias("_bstart"))
+    w_k = Window.partitionBy(*keys).orderBy(bucket)
+    summary = edges.join(starts, part, "left") \
+        .withColumn("_off", F.coalesce(F.sum("_n").over(w_k.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
+        .withColumn("_prev_last", F.lag("_last").over(w_k)) \
+        .withColumn("_next_first", F.lead("_first").over(w_k))
+    summary = summary.withColumn(
+        "_first_link", F.coalesce(link(F.col("_prev_last"), F.col("_first")), F.lit(False))) \
+        .withColumn("_last_next_link", F.when(F.col("_next_first").isNotNull(),
+                                               F.coalesce(link(F.col("_last"), F.col("_next_first")), F.lit(False))))
+    bucket_start = F.coalesce(F.col("_off") + F.col("_bstart"),
+                              F.when(~F.col("_first_link"), F.col("_off")))
+    summary = summary.withColumn("_bucket_start", bucket_start) \
+        .withColumn("_carry_start", F.max("_bucket_start").over(w_k.rowsBetween(Window.unboundedPreceding, -1))) \
+        .select(*part, "_off", "_prev_last", "_first_link", "_last_next_link", "_carry_start")
+
+    out = staged.join(summary, part, "inner")
+    first = F.col("_li") == 0
+    out = out.withColumn("_prev", F.when(first, F.col("_prev_last")).otherwise(F.col("_lp"))) \
+        .withColumn("_link", F.when(first, F.col("_first_link")).otherwise(F.col("_llink"))) \
+        .withColumn("_next_link", F.when(F.col("_ln").isNull(), F.col("_last_next_link"))
+                    .otherwise(F.col("_lnext"))) \
+        .withColumn("_seq", F.col("_off") + F.col("_li")) \
+        .withColumn("_island_start", F.greatest(
+            F.col("_carry_start"),
+            F.when(~F.col("_first_link"), F.col("_off")),
+            F.col("_off") + F.col("_lstart")))
+    return out.drop("_pl", "_li", "_lp", "_ln", "_llink", "_lnext", "_lstart", "_off", "_prev_last",
+                    "_first_link", "_last_next_link", "_carry_start")
