@@ -20,8 +20,14 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows, else ``df``."""
-    if row_count_at_most(df, max_rows):
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                    bound_by: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows, else ``df``.
+
+    ``bound_by`` may name a cheaper DataFrame with at least as many rows as
+    ``df`` (e.g. its input before deduplication); the probe then reads that
+    one -- a single scan that stops after ``max_rows + 1`` rows.
+    """
+    if row_count_at_most(bound_by if bound_by is not None else df, max_rows):
         return F.broadcast(df)
     return df

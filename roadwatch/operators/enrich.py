@@ -18,9 +18,10 @@ from roadwatch.sources.tables import one_row_per_station
 
 
 def _station_limits(monitors: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    dim = one_row_per_station(monitors.where(F.col("speed_limit") > 0)) \
-        .select("monitor_id", F.col("speed_limit").alias("limit_speed"))
-    return sized_broadcast(dim, max_broadcast_rows)
+    listed = monitors.where(F.col("speed_limit") > 0)
+    dim = one_row_per_station(listed).select("monitor_id", F.col("speed_limit").alias("limit_speed"))
+    # Deduplication only removes rows: the listed rows bound the broadcast side.
+    return sized_broadcast(dim, max_broadcast_rows, bound_by=listed.select("monitor_id"))
 
 
 def _speeding_projection(df: DataFrame) -> DataFrame:
@@ -56,7 +57,8 @@ def listed_cars_only(passages: DataFrame, listed: DataFrame,
     The list is reduced to distinct cars (partial aggregation) before the semi join.
     """
     cars = listed.select("car").distinct()
-    return passages.join(sized_broadcast(cars, max_broadcast_rows), "car", "left_semi")
+    return passages.join(sized_broadcast(cars, max_broadcast_rows, bound_by=listed.select("car")),
+                         "car", "left_semi")
 
 
 def track_rows(passages: DataFrame) -> DataFrame:

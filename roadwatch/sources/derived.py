@@ -22,9 +22,14 @@ def _k():
 
 
 def passages_from_events(events: DataFrame) -> DataFrame:
-    """One passage per event; ``event_id`` is kept as the tie-breaking id."""
-    k = _k()
-    return events.select(
+    """One passage per event; ``event_id`` is kept as the tie-breaking id.
+
+    ``k`` is extracted from the JSON once into a staged column (the optimizer
+    keeps a non-trivial expression used three times in its own projection).
+    """
+    staged = events.select("event_id", "ts", "user_id", "value", _k().alias("_k"))
+    k = F.col("_k")
+    return staged.select(
         ts_to_millis("ts").alias("action_time"),
         F.lpad(k.cast("string"), 4, "0").alias("monitor_id"),
         F.lpad((F.col("event_id") % 100000).cast("string"), 5, "0").alias("camera_id"),
