@@ -170,3 +170,60 @@ def test_foreach_batch_sinks_with_refreshed_dimension(spark, data):
     stored = spark.read.parquet(out_viol)
     per_day = stored.groupBy("car", F.expr("create_time div 86400000")).count()
     assert per_day.where("count > 1").count() == 0
+
+
+def _feed_files(spark, root, batches, schema, start=0):
+    """One parquet file per micro-batch, written in order."""
+    for i, rows in enumerate(batches, start):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/{i:03d}")
+        time.sleep(1.05)
+
+
+def test_window_closes_at_end_plus_delay(spark, data):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    schema = data["p_schema"]
+
+    def row(t, i):
+        return (t, "0001", "00000", "c", 10.0, "1", "1", i)
+
+    q = None
+    try:
+        src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(root + "/*")
+        _feed_files(spark, root, [[row(1_000, 1)]], schema)
+        agg = jobs.stream_avg_speed(src, "1 minute", "1 minute", delay="5 seconds")
+        q = jobs.start(agg, "s_close")
+        q.processAllAvailable()
+        _feed_files(spark, root, [[row(64_999, 2)]], schema, 1)     # watermark 59,999 < end 60,000
+        q.processAllAvailable(); time.sleep(1); q.processAllAvailable()
+        assert spark.table("s_close").count() == 0
+        _feed_files(spark, root, [[row(65_000, 3)]], schema, 2)     # watermark 60,000: [0, 60 s) closes
+        q.processAllAvailable(); time.sleep(1); q.processAllAvailable()
+        got = [tuple(r) for r in spark.table("s_close").collect()]
+        assert got == [(0, 60_000, "0001", 10.0, 1)]
+    finally:
+        if q is not None:
+            q.stop()
+
+
+def test_stream_top_n_and_processing_time(spark, data):
+    from roadwatch.operators import top_n_monitors
+    out = []
+    ps = stream_of(spark, data["p_dir"], data["p_schema"])
+    avg = jobs.stream_avg_speed(ps, "1 day", "6 hours", delay="1 hour")
+    writer = jobs.top_n_batch_writer(3, lambda df, epoch: out.extend(tuple(r) for r in df.collect()))
+    q = jobs.start(avg, "s_topn", foreach_batch=writer)
+    try:
+        for _ in range(6):
+            q.processAllAvailable()
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    want = rows(top_n_monitors(avg_speed(data["t"].passages(), "1 day", "6 hours"), 3))
+    assert sorted(out) == sorted(want)
+    ps2 = stream_of(spark, data["p_dir"], data["p_schema"])
+    q2 = jobs.start(jobs.stream_area_distinct(ps2, "10 seconds", time="processing"), "s_proc")
+    try:
+        q2.processAllAvailable()
+        assert q2.exception() is None
+    finally:
+        q2.stop()
