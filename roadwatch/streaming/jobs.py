@@ -176,6 +176,21 @@ def _severe_hits(timed: DataFrame, monitors: DataFrame, factor: float, default:
     return j.where(severe_overspeed("limit_speed", "speed", factor)).select(*keep)
 
 
+def stream_pair_actions(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
+                        delay="2 seconds", mode: str = "paired", violation_id: str = "event_id",
+                        action_id: str = "event_id") -> DataFrame:
+    """D6 on streams, ``paired`` (one-to-one, default) or ``replay`` (the original
+    timer state machine): both inputs unioned per car, timers in event time."""
+    if mode == "replay":
+        return stream_pair_actions_replay(violations, actions, timeout, delay, violation_id, action_id)
+    u = _events(violations, actions, violation_id, action_id) \
+        .withColumnsRenamed({"_kind": "kind", "_t": "t", "_id": "rid"})
+    ms = duration_ms(timeout)
+    return fold_by_key(watermarked(u, "t", delay), ["car"],
+                       lambda s: machines.PairOneToOne(s, ms), _REPLAY_SCHEMA, "t",
+                       ["t", "kind", "rid"])
+
+
 def stream_pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
                                delay="2 seconds", violation_id: str = "event_id",
                                action_id: str = "event_id") -> DataFrame:

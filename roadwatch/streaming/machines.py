@@ -15,6 +15,8 @@ import heapq
 import json
 import zlib
 
+import numpy as np
+
 
 class Machine:
     def __init__(self, state: str | None = None):
@@ -29,6 +31,11 @@ class Machine:
     def feed(self, rec: dict, out: list) -> None:
         raise NotImplementedError
 
+    def feed_all(self, recs: list[dict], out: list) -> None:
+        """Feed records already in event-time order (machines may vectorise this)."""
+        for r in recs:
+            self.feed(r, out)
+
     def advance(self, watermark: int, out: list) -> None:
         pass
 
@@ -100,15 +107,26 @@ class SevereChains(Machine):
         return not self.s["hits"]
 
 
+V_COLS = ["violation_id", "create_time", "msg"]
+P_COLS = ["action_id", "police_id", "action_status", "action_time"]
+
+
+def emit_pair(out: list, car, outcome: str, v: dict | None, p: dict | None) -> None:
+    """One D6 output row: the violation's and the action's fields (NULL when absent)."""
+    row = {"car": car, "outcome": outcome}
+    for c in V_COLS:
+        row[c] = None if v is None else v[c]
+    for c in P_COLS:
+        row[c] = None if p is None else p[c]
+    out.append(row)
+
+
 class PairReplay(Machine):
     """D6 replay: one pending record, a never-cancelled timer per stored record.
 
     Records carry ``kind`` (0 violation, 1 police action) and ``t`` (epoch ms).
     """
 
-    V_COLS = ["violation_id", "create_time", "msg"]
-    P_COLS = ["action_id", "police_id", "action_status", "action_time"]
-
     def __init__(self, state=None, timeout_ms: int = 5_000):
         super().__init__(state)
         self.timeout = timeout_ms
@@ -116,14 +134,6 @@ class PairReplay(Machine):
     def initial(self):
         return {"slot": None, "timers": []}
 
-    def _emit(self, out, car, outcome, v, p):
-        row = {"car": car, "outcome": outcome}
-        for c in self.V_COLS:
-            row[c] = None if v is None else v[c]
-        for c in self.P_COLS:
-            row[c] = None if p is None else p[c]
-        out.append(row)
-
     def _fire_before(self, t, out, inclusive=False):
         timers = self.s["timers"]
         while timers and (timers[0] <= t if inclusive else timers[0] < t):
@@ -132,7 +142,7 @@ class PairReplay(Machine):
             if slot is not None:
                 v = slot if slot["kind"] == 0 else None
                 p = slot if slot["kind"] == 1 else None
-                self._emit(out, slot["car"], "no_police" if v else "no_violation", v, p)
+                emit_pair(out, slot["car"], "no_police" if v else "no_violation", v, p)
                 self.s["slot"] = None
 
     def feed(self, rec, out):
@@ -140,11 +150,11 @@ class PairReplay(Machine):
         slot = self.s["slot"]
         if slot is not None and slot["kind"] != rec["kind"]:
             v, p = (rec, slot) if rec["kind"] == 0 else (slot, rec)
-            self._emit(out, rec["car"], "matched", v, p)
+            emit_pair(out, rec["car"], "matched", v, p)
             self.s["slot"] = None
         else:
             heapq.heappush(self.s["timers"], rec["t"] + self.timeout)
-            self.s["slot"] = {k: rec.get(k) for k in ["car", "kind", "t"] + self.V_COLS + self.P_COLS}
+            self.s["slot"] = {k: rec.get(k) for k in ["car", "kind", "t"] + V_COLS + P_COLS}
 
     def advance(self, watermark, out):
         # Every later record has t > watermark, so timers at or before it fire now.
@@ -157,6 +167,48 @@ class PairReplay(Machine):
         return self.s["slot"] is None and not self.s["timers"]
 
 
+class PairOneToOne(Machine):
+    """D6 paired: one pending record; the next record of the other kind at most
+    ``timeout`` later pairs with it, anything else reports it alone."""
+
+    def __init__(self, state=None, timeout_ms: int = 5_000):
+        super().__init__(state)
+        self.timeout = timeout_ms
+
+    def initial(self):
+        return {"slot": None}
+
+    def _alone(self, out):
+        slot = self.s["slot"]
+        emit_pair(out, slot["car"], "no_police" if slot["kind"] == 0 else "no_violation",
+                         slot if slot["kind"] == 0 else None, slot if slot["kind"] == 1 else None)
+        self.s["slot"] = None
+
+    def feed(self, rec, out):
+        slot = self.s["slot"]
+        if slot is not None and slot["kind"] != rec["kind"] and rec["t"] - slot["t"] <= self.timeout:
+            v, p = (rec, slot) if rec["kind"] == 0 else (slot, rec)
+            emit_pair(out, rec["car"], "matched", v, p)
+            self.s["slot"] = None
+            return
+        if slot is not None:
+            self._alone(out)
+        self.s["slot"] = {k: rec.get(k) for k in ["car", "kind", "t"] + V_COLS + P_COLS}
+
+    def advance(self, watermark, out):
+        # Later records have t > watermark: none can pair once watermark >= t + timeout.
+        slot = self.s["slot"]
+        if slot is not None and watermark >= slot["t"] + self.timeout:
+            self._alone(out)
+
+    def wakeups(self):
+        slot = self.s["slot"]
+        return [] if slot is None else [slot["t"] + self.timeout]
+
+    def empty(self):
+        return self.s["slot"] is None
+
+
 class BloomDistinct(Machine):
     """F3 bloom: a fixed bitmap of ``bits`` bits per (area, window); a car whose
     two bits are both set counts as seen (false positives only undercount).
@@ -185,6 +237,28 @@ class BloomDistinct(Machine):
                 self.bitmap[o >> 3] |= 1 << (o & 7)
         return seen
 
+    def feed_all(self, recs, out):
+        """Vectorised: a bit is set before record i iff it was set in the stored
+        bitmap or belongs to an earlier record (a seen record's bits are already
+        set, so setting them again changes nothing)."""
+        if not recs:
+            return
+        n = len(recs)
+        bits = np.array([[int(r["bit1"]) % self.bits, int(r["bit2"]) % self.bits] for r in recs],
+                        dtype=np.int64).reshape(-1)
+        bm = np.frombuffer(self.bitmap, dtype=np.uint8)          # writable view of the bitmap
+        stored = ((bm[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1).astype(bool)
+        uniq, first_at, inv = np.unique(bits, return_index=True, return_inverse=True)
+        carried_before = (first_at[inv] // 2) < np.repeat(np.arange(n), 2)
+        seen = (stored | carried_before).reshape(n, 2).all(axis=1)
+        counts = self.s["count"] + np.cumsum(~seen)
+        np.bitwise_or.at(bm, uniq >> 3, (1 << (uniq & 7)).astype(np.uint8))
+        self.s["count"] = int(counts[-1])
+        for r, c in zip(recs, counts):
+            out.append({"area_id": r["area_id"], "start_time": r["start_time"],
+                        "end_time": r["end_time"], "car": r["car"], "action_time": r["action_time"],
+                        "event_id": r.get("event_id"), "distinct_cars": int(c)})
+
     def feed(self, rec, out):
         offs = [int(rec["bit1"]) % self.bits, int(rec["bit2"]) % self.bits]
         if not self._test_and_set(offs):

@@ -51,8 +51,7 @@ class EventTimeFold(StatefulProcessor):
                        key=lambda r: tuple(r[c] for c in self.order))
         rest = [r for r in rows if r[self.time_col] > watermark]
         out: list[dict] = []
-        for r in ready:
-            m.feed(r, out)
+        m.feed_all(ready, out)
         m.advance(watermark, out)
         if rest:
             self.buffer.put([(json.dumps(r, default=_plain),) for r in rest])

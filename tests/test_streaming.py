@@ -227,3 +227,30 @@ def test_stream_top_n_and_processing_time(spark, data):
         assert q2.exception() is None
     finally:
         q2.stop()
+
+
+def test_bloom_vectorised_equals_row_by_row():
+    import random as _r
+    from roadwatch.streaming.machines import BloomDistinct
+    rnd = _r.Random(4)
+    recs = [{"area_id": "1", "start_time": 0, "end_time": 1, "car": f"c{rnd.randint(0, 300)}",
+             "action_time": i, "event_id": i, "bit1": rnd.randint(0, 511), "bit2": rnd.randint(0, 511)}
+            for i in range(1500)]
+    a, b, out_a, out_b = BloomDistinct(None, 512), BloomDistinct(None, 512), [], []
+    a.feed_all(recs[:700], out_a)
+    a = BloomDistinct(a.dump(), 512)            # state survives a round trip between batches
+    a.feed_all(recs[700:], out_a)
+    for r in recs:
+        b.feed(r, out_b)
+    assert [o["distinct_cars"] for o in out_a] == [o["distinct_cars"] for o in out_b]
+
+
+def test_stream_pair_paired_equals_batch(spark, data):
+    vs = stream_of(spark, data["v_dir"], data["v_schema"])
+    acts = stream_of(spark, data["a_dir"], data["a_schema"])
+    s = jobs.stream_pair_actions(vs, acts, timeout="12 hours", delay="1 hour")
+    got = sorted((r[0], r[1], r[2], r[5]) for r in drain(s, "s_paired") if r[0] != SENT)
+    t = data["t"]
+    b = pair_actions(t.violations(), t.police_actions(), "12 hours")
+    want = sorted((r.car, r.outcome, r.violation_id, r.action_id) for r in b.collect())
+    assert got == want and len(want) > 0
