@@ -105,7 +105,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column,
                 link: Callable[[Column, Column], Column], bucket: str = BUCKET_COL) -> DataFrame:
-    """Gaps-and-islands over each key's ordered rows, in one shuffle.
+    """Gaps-and-islands over each key's ordered rows, without a per-key task.
 
     ``payload`` is a struct of the fields ``link(prev, cur)`` needs; a row
     *links* to its predecessor when ``link`` holds. Adds ``_prev`` (the
@@ -114,11 +114,14 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
     (position of the island's first row), so ``_seq - _island_start`` is the
     offset inside the island.
 
-    Plan: rows are shuffled once on ``(key, bucket)`` and scanned locally; a
+    Plan: rows are shuffled on ``(key, bucket)`` and scanned locally; a
     one-row-per-bucket summary (count, first and last payload, pre-aggregated
-    map-side) gives each bucket its neighbours across bucket edges, and a
-    second per-bucket aggregate of the local scan gives its last island
-    start; both are combined per key (one row per bucket) and joined back.
+    map-side from a second read of the input) gives each bucket its
+    neighbours across bucket edges, and a per-bucket aggregate of the local
+    scan gives its last island start (Spark re-runs the local scan for it on a
+    column-pruned copy: a second, narrower shuffle of only the key, order and
+    link fields); both are combined per key (one row per bucket) and joined
+    back on the partitioning the scan already has.
     """
     keys, order = list(keys), list(order)
     part = keys + [bucket]
