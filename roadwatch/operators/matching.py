@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadwatch.operators.windows import duration_ms
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, island_scan, with_time_bucket
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan
 
 
 def _bucket_expr(col: str, width: int):
@@ -100,7 +100,7 @@ def _events(violations: DataFrame, actions: DataFrame, v_id: str, p_id: str) ->
 
 def pair_actions(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
                  mode: str = "paired", violation_id: str = "event_id", action_id: str = "event_id",
-                 bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                 bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time") -> DataFrame:
     """One-to-one matching of violations and police actions per car.
 
     ``mode="paired"`` (default): per car in event-time order (violation
@@ -120,14 +120,16 @@ def pair_actions(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
     ``matched / no_police / no_violation``.
     """
     if mode == "replay":
-        return pair_actions_replay(violations, actions, timeout, violation_id, action_id, bucket_ms)
+        return pair_actions_replay(violations, actions, timeout, violation_id, action_id, bucket_ms,
+                                   bucketing)
     if mode != "paired":
         raise ValueError("mode must be 'paired' or 'replay'")
     limit = duration_ms(timeout)
     order = ["_t", "_kind", "_id"]
     payload = F.struct(F.col("_kind").alias("k"), F.col("_t").alias("t"),
                        *[F.col(c) for c in _V_COLS + _P_COLS])
-    u = with_time_bucket(_events(violations, actions, violation_id, action_id), "_t", bucket_ms)
+    u = bucketed(_events(violations, actions, violation_id, action_id), ["car"], order, "_t",
+                 bucket_ms, bucketing)
     u = island_scan(u, ["car"], order, payload,
                     lambda p, c: (p["k"] != c["k"]) & (c["t"] - p["t"] <= F.lit(limit)))
     pos = F.col("_seq") - F.col("_island_start")
@@ -222,7 +224,7 @@ def _row(car, outcome, v, p):
 
 def pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
                         violation_id: str = "event_id", action_id: str = "event_id",
-                        bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                        bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time") -> DataFrame:
     """D6 ``replay``: the reference's state machine exactly, run per *session*.
 
     When two consecutive records of a car are more than ``timeout`` apart,
@@ -234,7 +236,8 @@ def pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 se
     """
     limit = duration_ms(timeout)
     order = ["_t", "_kind", "_id"]
-    u = with_time_bucket(_events(violations, actions, violation_id, action_id), "_t", bucket_ms)
+    u = bucketed(_events(violations, actions, violation_id, action_id), ["car"], order, "_t",
+                 bucket_ms, bucketing)
     # A session is an island of records at most ``timeout`` apart; its id is its first position.
     u = island_scan(u, ["car"], order, F.struct(F.col("_t").alias("t")),
                     lambda p, c: c["t"] - p["t"] <= F.lit(limit)) \

@@ -15,7 +15,7 @@ from roadwatch.functions.broadcast import DEFAULT_MAX_ROWS
 from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, severe_overspeed
 from roadwatch.operators.enrich import with_limits
 from roadwatch.operators.windows import duration_ms
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, island_scan, with_time_bucket
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan, with_time_bucket
 
 # The reference's display texts.
 CLONE_MSG = "涉嫌套牌车"          # "suspected cloned plate"
@@ -23,7 +23,7 @@ DANGEROUS_MSG = "该车辆涉嫌危险驾驶"  # "vehicle suspected of dangerous
 
 
 def clone_plates(passages: DataFrame, within_s: int = 10, id_col: str = "event_id",
-                 bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                 bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time") -> DataFrame:
     """The same plate seen twice with ``|dt| div 1000 <= within_s``.
 
     The reference keeps one stored passage per car: a hit emits and clears
@@ -38,7 +38,7 @@ def clone_plates(passages: DataFrame, within_s: int = 10, id_col: str = "event_i
     times both monitors are the later record's, as in the reference.
     """
     order = ["action_time", id_col]
-    d = with_time_bucket(passages, "action_time", bucket_ms)
+    d = bucketed(passages, ["car"], order, "action_time", bucket_ms, bucketing)
     limit_ms = (int(within_s) + 1) * 1000          # |dt| div 1000 <= s  <=>  |dt| < (s + 1) * 1000
     d = island_scan(d, ["car"], order,
                     F.struct(F.col("action_time").alias("t"), F.col("monitor_id").alias("m")),

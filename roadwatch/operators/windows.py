@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from roadwatch.functions.broadcast import sized_broadcast
 from roadwatch.functions.columns import millis_to_ts, rounded_average, ts_to_millis
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, keyed_scan, with_time_bucket
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, keyed_scan
 
 _UNITS = {"millisecond": 1, "ms": 1, "second": 1000, "s": 1000, "minute": 60_000, "min": 60_000,
           "hour": 3_600_000, "h": 3_600_000, "day": 86_400_000, "d": 86_400_000}
@@ -94,7 +94,7 @@ def area_distinct_approx(passages: DataFrame, size="10 minutes", rsd: float = 0.
 
 
 def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str = "event_id",
-                          bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                          bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time") -> DataFrame:
     """F3 (exact): one row per passage with the number of distinct cars seen so far
     in its area and tumbling window (event-time order, ties by ``id_col``).
 
@@ -114,7 +114,8 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
                 *[F.col(f"_f.{c}").alias(c) for c in order],
                 F.lit(1).cast("long").alias("_w"), F.lit(0).alias("_row"))
     rows = d.select(*cols, F.lit(0).cast("long").alias("_w"), F.lit(1).alias("_row"))
-    u = with_time_bucket(rows.unionByName(firsts), "action_time", bucket_ms)
+    u = bucketed(rows.unionByName(firsts), ["area_id", "start_time"], order + ["_row"], "action_time",
+                 bucket_ms, bucketing)
     u = keyed_scan(u, ["area_id", "start_time"], order + ["_row"], [("distinct_cars", "sum", F.col("_w"))])
     return u.where(F.col("_row") == 1).select(*cols, "distinct_cars")
 

@@ -102,3 +102,15 @@ def test_replay_quirks():
     out = replay_fold(recs, 5_000)
     assert [(r["outcome"], r["violation_id"], r["action_id"]) for r in out] == [
         ("no_police", 2, None), ("no_violation", None, 3)]
+
+
+def test_rank_bucketing_matches_folds(spark):
+    vs, ps = random_streams(8)
+    v, p = frames(spark, vs, ps)
+    paired = pair_actions(v, p, 5_000, bucketing="rank")
+    got = sorted(((r.car, r.outcome, r.violation_id, r.action_id) for r in paired.collect()), key=str)
+    assert got == one_slot_fold(vs, ps, 5_000)
+    replay_rank = pair_actions(v, p, 5_000, mode="replay", bucketing="rank")
+    replay_time = pair_actions(v, p, 5_000, mode="replay")
+    key = lambda r: (r.car, r.outcome, r.violation_id, r.action_id)
+    assert sorted(map(key, replay_rank.collect()), key=str) == sorted(map(key, replay_time.collect()), key=str)

@@ -119,3 +119,19 @@ def test_cep_random_matches_brute_force_with_halo(spark):
     # A 150 s bucket puts many frames across bucket edges (served by the halo copies).
     got = run_cep(spark, rows, lim, bucket_ms=150_000)
     assert got == cep_brute(hits, 3, 120_000)
+
+
+def test_clone_rank_buckets_split_a_burst(spark):
+    """A hot car whose passages share few timestamps: rank buckets still agree with the fold."""
+    rnd = random.Random(21)
+    rows, i = [], 0
+    for car, n in [("HOT", 900), ("a", 50), ("b", 50)]:
+        t = 0
+        for _ in range(n):
+            t += rnd.choice([0, 0, 0, 9_000, 12_000]) if car == "HOT" else rnd.choice([3_000, 20_000])
+            rows.append((t, f"m{rnd.randint(0, 3)}", car, i))
+            i += 1
+    p = passages_df(spark, [(t, m, car, 50.0, i) for t, m, car, i in rows])
+    got = sorted((r.car, r.first_monitor, r.second_monitor, r.action_time)
+                 for r in clone_plates(p, 10, bucketing="rank").collect())
+    assert got == clone_fold(rows, 10)

@@ -53,6 +53,9 @@ def test_area_distinct_and_running(spark):
     assert exact == {k: len(v) for k, v in want.items()}
     run = {r.event_id: r.distinct_cars
            for r in area_distinct_running(p, "100 seconds", bucket_ms=7_000).collect()}
+    ranked = {r.event_id: r.distinct_cars
+              for r in area_distinct_running(p, "100 seconds", bucketing="rank").collect()}
+    assert ranked == run
     seen, brute = {}, {}
     for t, _, car, _, i in sorted(rows, key=lambda r: (r[0], r[4])):
         s = seen.setdefault(t - t % 100_000, set())
