@@ -60,6 +60,15 @@ SQL: dict[str, str] = {
     "parse_passages": BASE + """
 SELECT action_time, monitor_id, camera_id, car, speed, road_id, area_id FROM passages""",
 
+    "parse_passages_permissive": BASE + """
+SELECT p.action_time, p.monitor_id, p.camera_id, p.car, p.speed, p.road_id, p.area_id
+FROM passages p JOIN events e ON p.event_id = e.event_id WHERE e.event_type <> 'signup'""",
+
+    "parse_rejects": BASE + """
+SELECT concat_ws(',', CAST(p.action_time AS VARCHAR), p.monitor_id, p.camera_id, p.car, p.road_id) AS line,
+       'expected 7 fields, got 5' AS reason
+FROM passages p JOIN events e ON p.event_id = e.event_id WHERE e.event_type = 'signup'""",
+
     "overspeed": BASE + f"""
 SELECT {_SPEEDING}, s.limit_speed, p.action_time, p.event_id
 FROM passages p JOIN stations s ON p.monitor_id = s.monitor_id
@@ -120,6 +129,22 @@ m AS (
 SELECT m.car, m.start_time, m.end_time, CAST(m.re - m.rs + 1 AS BIGINT) AS n_events,
        string_agg(h.monitor_id, ',' ORDER BY h.rn) AS monitor_ids, CAST(0.0 AS DOUBLE) AS avg_speed
 FROM m JOIN h ON h.car = m.car AND h.rn BETWEEN m.rs AND m.re
+GROUP BY m.car, m.start_time, m.end_time, m.rs, m.re""",
+
+    "dangerous_driving_first": BASE + """
+, lim AS (
+  SELECT p.car, p.action_time, p.event_id, p.monitor_id, p.speed, coalesce(s.limit_speed, 60) AS limit_speed
+  FROM passages p LEFT JOIN stations s ON p.monitor_id = s.monitor_id),
+h AS (
+  SELECT car, action_time, event_id, monitor_id,
+         row_number() OVER (PARTITION BY car ORDER BY action_time, event_id) AS rn
+  FROM lim WHERE limit_speed * CAST(1.2 AS DOUBLE) <= speed),
+m AS (
+  SELECT a.car, a.action_time AS start_time, b.action_time AS end_time, a.rn AS rs, b.rn AS re
+  FROM h a JOIN h b ON a.car = b.car AND b.rn = a.rn + 2 AND b.action_time - a.action_time < 86400000)
+SELECT m.car, m.start_time, m.end_time, CAST(m.re - m.rs + 1 AS BIGINT) AS n_events,
+       string_agg(h.monitor_id, ',' ORDER BY h.rn) AS monitor_ids, CAST(0.0 AS DOUBLE) AS avg_speed
+FROM m JOIN h ON h.car = m.car AND h.rn BETWEEN m.rs AND m.re
 GROUP BY m.car, m.start_time, m.end_time, m.rs, m.re""",
 
     "interval_join": BASE + """

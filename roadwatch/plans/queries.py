@@ -20,7 +20,7 @@ from roadwatch.operators import (
 )
 from roadwatch.schemas import PASSAGE_COLS
 from roadwatch.sinks.writers import violations_to_insert
-from roadwatch.sources.derived import Tables, violations_from_events
+from roadwatch.sources.derived import Tables, passages_from_events, violations_from_events
 from roadwatch.sources.lines import parse_passages, to_lines
 
 # Parameters of the registered queries (test-data scale).
@@ -39,6 +39,26 @@ def q_parse_passages(spark: SparkSession, sf: str) -> DataFrame:
     return parse_passages(lines, mode="failfast")
 
 
+def _mixed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Passage lines where ``signup`` events arrive as 5-field lines (the shape of
+    the reference simulator's malformed sends); all other events are whole."""
+    p = passages_from_events(Tables(spark, sf).events(), extra=("event_type",))
+    whole = F.concat_ws(",", *[F.col(c).cast("string") for c in PASSAGE_COLS])
+    short = F.concat_ws(",", *[F.col(c).cast("string") for c in
+                               ["action_time", "monitor_id", "camera_id", "car", "road_id"]])
+    return p.select(F.when(F.col("event_type") == "signup", short).otherwise(whole).alias("value"))
+
+
+def q_parse_passages_permissive(spark: SparkSession, sf: str) -> DataFrame:
+    good, _ = parse_passages(_mixed_lines(spark, sf), mode="permissive")
+    return good
+
+
+def q_parse_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    _, rejected = parse_passages(_mixed_lines(spark, sf), mode="permissive")
+    return rejected
+
+
 def q_overspeed(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     return overspeed_passages(t.passages(), t.monitors())
@@ -81,6 +101,13 @@ def q_dangerous_driving(spark: SparkSession, sf: str) -> DataFrame:
     return m.withColumn("monitor_ids", F.array_join("monitor_ids", ","))
 
 
+def q_dangerous_driving_first(spark: SparkSession, sf: str) -> DataFrame:
+    t = Tables(spark, sf)
+    m = dangerous_driving(t.passages(), t.monitors(), factor=1.2, times=3,
+                          within=DANGER_WITHIN, default=60, emit="first")
+    return m.withColumn("monitor_ids", F.array_join("monitor_ids", ","))
+
+
 def _match_inputs(spark: SparkSession, sf: str):
     t = Tables(spark, sf)
     v = t.violations().withColumnRenamed("event_id", "violation_id")
@@ -133,6 +160,8 @@ def q_count_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_passages": q_parse_passages,
+    "parse_passages_permissive": q_parse_passages_permissive,
+    "parse_rejects": q_parse_rejects,
     "overspeed": q_overspeed,
     "limits_with_default": q_limits_with_default,
     "avg_speed": q_avg_speed,
@@ -142,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_distinct_approx": q_area_distinct_approx,
     "clone_plates": q_clone_plates,
     "dangerous_driving": q_dangerous_driving,
+    "dangerous_driving_first": q_dangerous_driving_first,
     "interval_join": q_interval_join,
     "interval_join_outer": q_interval_join_outer,
     "pair_actions": q_pair_actions,

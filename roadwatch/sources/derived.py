@@ -21,13 +21,14 @@ def _k():
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def passages_from_events(events: DataFrame) -> DataFrame:
-    """One passage per event; ``event_id`` is kept as the tie-breaking id.
+def passages_from_events(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One passage per event; ``event_id`` is kept as the tie-breaking id and
+    ``extra`` event columns are carried along.
 
     ``k`` is extracted from the JSON once into a staged column (the optimizer
     keeps a non-trivial expression used three times in its own projection).
     """
-    staged = events.select("event_id", "ts", "user_id", "value", _k().alias("_k"))
+    staged = events.select("event_id", "ts", "user_id", "value", *extra, _k().alias("_k"))
     k = F.col("_k")
     return staged.select(
         ts_to_millis("ts").alias("action_time"),
@@ -38,6 +39,7 @@ def passages_from_events(events: DataFrame) -> DataFrame:
         (k % 20).cast("string").alias("road_id"),
         (k % 10).cast("string").alias("area_id"),
         F.col("event_id"),
+        *extra,
     )
 
 
