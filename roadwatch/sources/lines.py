@@ -57,7 +57,12 @@ def _parse(lines: DataFrame, fields, mode: str, line_col: str):
                                           F.col("_line"))))
              .otherwise(F.struct(*values)).alias("_rec"))
         return checked.select(*[F.col(f"_rec.{n}").alias(n) for n in names])
-    staged = split.select("_line", *values, reason.alias("_reason"))
+    # The typed record and its reject reason are emitted as one generated row:
+    # filters on the reason then stay above the Generate and read the staged
+    # record, instead of being pushed below the split and re-deriving the
+    # line for every reference.
+    staged = split.select(F.inline(F.array(F.struct(F.col("_line"), *values,
+                                                     reason.alias("_reason")))))
     good = staged.where(F.col("_reason").isNull()).select(*names)
     rejected = staged.where(F.col("_reason").isNotNull()) \
         .select(F.col("_line").alias("line"), F.col("_reason").alias("reason"))
