@@ -254,6 +254,7 @@ class BloomDistinct(Machine):
         counts = self.s["count"] + np.cumsum(~seen)
         np.bitwise_or.at(bm, uniq >> 3, (1 << (uniq & 7)).astype(np.uint8))
         self.s["count"] = int(counts[-1])
+        self.s["end"] = int(recs[0]["end_time"])
         for r, c in zip(recs, counts):
             out.append({"area_id": r["area_id"], "start_time": r["start_time"],
                         "end_time": r["end_time"], "car": r["car"], "action_time": r["action_time"],
@@ -263,10 +264,22 @@ class BloomDistinct(Machine):
         offs = [int(rec["bit1"]) % self.bits, int(rec["bit2"]) % self.bits]
         if not self._test_and_set(offs):
             self.s["count"] += 1
+        self.s["end"] = int(rec["end_time"])
         out.append({"area_id": rec["area_id"], "start_time": rec["start_time"],
                     "end_time": rec["end_time"], "car": rec["car"],
                     "action_time": rec["action_time"], "event_id": rec.get("event_id"),
                     "distinct_cars": self.s["count"]})
 
+    def advance(self, watermark, out):
+        # Rows of the window are < end; once the watermark reaches end - 1 none can come.
+        end = self.s.get("end")
+        if end is not None and watermark >= end - 1:
+            self.s = self.initial()
+            self.bitmap = bytearray((self.bits + 7) // 8)
+
+    def wakeups(self):
+        end = self.s.get("end")
+        return [] if end is None else [end - 1]
+
     def empty(self):
         return self.s["count"] == 0

@@ -254,3 +254,29 @@ def test_stream_pair_paired_equals_batch(spark, data):
     b = pair_actions(t.violations(), t.police_actions(), "12 hours")
     want = sorted((r.car, r.outcome, r.violation_id, r.action_id) for r in b.collect())
     assert got == want and len(want) > 0
+
+
+def test_machines_release_state():
+    from roadwatch.streaming.machines import BloomDistinct, ClonePlates, PairOneToOne, SevereChains
+    out = []
+    b = BloomDistinct(None, 64)
+    b.feed({"area_id": "1", "start_time": 0, "end_time": 600, "car": "c", "action_time": 5,
+            "event_id": 1, "bit1": 3, "bit2": 9}, out)
+    assert b.wakeups() == [599] and not b.empty()
+    b.advance(599, out)
+    assert b.empty()                                  # the window's bitmap is dropped
+    c = ClonePlates(None, 10)
+    c.feed({"car": "x", "action_time": 0, "monitor_id": "m"}, out)
+    c.advance(10_999, out)
+    assert not c.empty()
+    c.advance(11_000, out)
+    assert c.empty()                                  # no later passage can hit it
+    s = SevereChains(None, 3, 120_000)
+    s.feed({"car": "x", "action_time": 0, "monitor_id": "m"}, out)
+    s.advance(120_000, out)
+    assert s.empty()
+    p = PairOneToOne(None, 5_000)
+    p.feed({"car": "x", "kind": 0, "t": 0, "violation_id": 1, "create_time": 0, "msg": "e",
+            "action_id": None, "police_id": None, "action_status": None, "action_time": None}, out)
+    p.advance(5_000, out)
+    assert p.empty() and out[-1]["outcome"] == "no_police"
