@@ -77,16 +77,23 @@ def append_violations_once_per_day(new: DataFrame, existing: DataFrame, target:
     return rows
 
 
-def write_tracks(tracks: DataFrame, target: str, mode: str = "append") -> None:
+def write_tracks(tracks: DataFrame, target: str, mode: str = "append", epoch: int | None = None) -> None:
     """B4 + H2: row-keyed track rows, newest first per car.
 
     Last write wins per ``row_key``; files are range-partitioned and sorted on
     ``row_key`` so each file holds a contiguous key range (parquet min/max
     statistics then prune files for a car lookup).
+
+    With ``epoch`` (a stream's micro-batch id) the rows replace partition
+    ``epoch=<id>``, so a retried micro-batch does not add them twice.
     """
     deduped = last_write_per_row_key(tracks)
-    deduped.repartitionByRange("row_key").sortWithinPartitions("row_key") \
-        .write.mode(mode).parquet(target)
+    laid_out = deduped.repartitionByRange("row_key").sortWithinPartitions("row_key")
+    if epoch is None:
+        laid_out.write.mode(mode).parquet(target)
+    else:
+        laid_out.withColumn("epoch", F.lit(int(epoch)).cast("long")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(target)
 
 
 def latest_tracks(spark: SparkSession, target: str, car: str, k: int = 10) -> DataFrame:
@@ -96,8 +103,9 @@ def latest_tracks(spark: SparkSession, target: str, car: str, k: int = 10) -> Da
     """
     lo, hi = car + "_", car + "_￿"
     rows = spark.read.parquet(target).where((F.col("row_key") >= lo) & (F.col("row_key") < hi))
-    return last_write_per_row_key(rows.withColumn("event_id", F.lit(0))) \
-        .orderBy("row_key").limit(k)
+    tie = "epoch" if "epoch" in rows.columns else None
+    rows = rows.withColumn("event_id", F.col(tie) if tie else F.lit(0))
+    return last_write_per_row_key(rows).orderBy("row_key").limit(k)
 
 
 def write_console(df: DataFrame, n: int = 20) -> None:

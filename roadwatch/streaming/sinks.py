@@ -1,10 +1,12 @@
 """``foreachBatch`` writers: the batch sinks applied one micro-batch at a time.
 
-Each writer persists the micro-batch when it is read more than once and
-writes with plain DataFrame writers, so a retried batch (same epoch id)
-rewrites the same rows. The once-per-day violation writer must be the only
-query appending to its table (two concurrent batches could both insert the
-same car-day).
+File tables are written idempotently: every micro-batch owns the partition
+``epoch=<id>`` and replaces it with dynamic partition overwrite, so a batch
+that is re-run after a failure (same epoch id) rewrites the same rows instead
+of appending them twice. The once-per-day violation writer reads the stored
+rows of *other* epochs only, so its retry computes the same inserts; it must
+be the only query writing its table (two concurrent batches could both insert
+the same car-day).
 """
 
 from __future__ import annotations
@@ -27,36 +29,54 @@ def _existing(batch: DataFrame, target: str) -> DataFrame | None:
         return None
 
 
+def write_epoch(df: DataFrame, target: str, epoch: int) -> None:
+    """Replace partition ``epoch=<epoch>`` of a parquet table with ``df``."""
+    df.withColumn("epoch", F.lit(int(epoch)).cast("long")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(target)
+
+
 def table_writer(name: str, target: str, fmt: str = "parquet", **options) -> BatchFn:
-    """B1/B2: append every micro-batch to a table."""
+    """B1/B2: every micro-batch into the table (idempotent per epoch for files;
+    JDBC targets append)."""
+    from roadwatch.schemas import TABLES
+
     def write(batch: DataFrame, epoch: int) -> None:
-        write_table(batch, name, target, fmt, **options)
+        if fmt == "jdbc":
+            write_table(batch, name, target, fmt, **options)
+        else:
+            src = batch.withColumnRenamed("msg", "violation") if name == "violation_list" else batch
+            write_epoch(src.select(*TABLES[name]), target, epoch)
     return write
 
 
 def violation_writer(target: str) -> BatchFn:
     """Insert a violation only if its car has none stored for that day."""
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = violations_to_insert(batch, _existing(batch, target))
-        write_table(rows, "violation_list", target)
+        stored = _existing(batch, target)
+        if stored is not None:
+            stored = stored.where(F.col("epoch") != F.lit(int(epoch))).drop("epoch")
+        rows = violations_to_insert(batch, stored).withColumnRenamed("msg", "violation") \
+            .select("car", "violation", "create_time")
+        write_epoch(rows, target, epoch)
     return write
 
 
 def track_writer(target: str) -> BatchFn:
     """B4 (+E5's purpose): each micro-batch is one batched write; nothing is held back."""
     def write(batch: DataFrame, epoch: int) -> None:
-        write_tracks(track_rows(batch), target)
+        write_tracks(track_rows(batch), target, epoch=epoch)
     return write
 
 
 def outcome_writer(targets: dict[str, str]) -> BatchFn:
-    """One table per outcome (the reference's side outputs), one pass over the batch."""
+    """One table per outcome (the reference's side outputs); the batch is
+    persisted so the branches do not recompute it."""
     def write(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
             for tag, df in split_outcomes(batch).items():
                 if tag in targets:
-                    df.write.mode("append").parquet(targets[tag])
+                    write_epoch(df, targets[tag], epoch)
         finally:
             batch.unpersist()
     return write
@@ -66,8 +86,7 @@ def counter_writer(target: str, key_cols=("end_time", "area_id"), value: str = "
     """Running counters ``<windowEnd>_<area>``; each batch appends its latest
     value per key, :func:`read_counters` keeps the last (largest) one."""
     def write(batch: DataFrame, epoch: int) -> None:
-        upsert_counts(batch, key_cols, value).withColumn("epoch", F.lit(epoch)) \
-            .write.mode("append").parquet(target)
+        write_epoch(upsert_counts(batch, key_cols, value), target, epoch)
     return write
 
 
