@@ -116,9 +116,10 @@ def stream_interval_join(violations: DataFrame, actions: DataFrame, lower="-5 se
         & (F.col("a.a_ts") >= F.col("v.v_ts") + F.expr(f"INTERVAL {duration_ms(lower)} MILLISECONDS")) \
         & (F.col("a.a_ts") <= F.col("v.v_ts") + F.expr(f"INTERVAL {duration_ms(upper)} MILLISECONDS"))
     j = v.join(a, cond, "inner" if how == "inner" else "full_outer")
+    vid = [F.col(f"v.{violation_id}").alias("violation_id")] if violation_id in violations.columns else []
+    aid = [F.col(f"a.{action_id}").alias("action_id")] if action_id in actions.columns else []
     return j.select(F.coalesce(F.col("v.car"), F.col("a.car")).alias("car"), "v.msg", "v.create_time",
-                    F.col(f"v.{violation_id}").alias("violation_id"), "a.police_id", "a.action_status",
-                    "a.action_time", F.col(f"a.{action_id}").alias("action_id"))
+                    *vid, "a.police_id", "a.action_status", "a.action_time", *aid)
 
 
 # ---- keyed event-time folds ---------------------------------------------------------------
