@@ -53,3 +53,45 @@ def test_apps_end_to_end(spark):
                                         bits=1 << 20, delay="1 hour"))
     counts = spark.read.parquet(f"{root}/counts").groupBy("count_key").agg(F.max("distinct_cars"))
     assert counts.count() > 0
+
+
+def test_more_apps_end_to_end(spark):
+    from roadwatch.operators import avg_speed, dangerous_driving, interval_join, pair_actions
+    from roadwatch.sources.lines import POLICE_FIELDS, VIOLATION_FIELDS
+    t = Tables(spark, SF)
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    to_lines(t.passages()).coalesce(1).write.text(f"{root}/p/a")
+    to_lines(t.violations(), VIOLATION_FIELDS).coalesce(1).write.text(f"{root}/v/a")
+    to_lines(t.police_actions(), POLICE_FIELDS).coalesce(1).write.text(f"{root}/a/a")
+    time.sleep(1.1)
+    spark.createDataFrame([(SENTINEL,)], "value string").coalesce(1).write.text(f"{root}/p/b")
+    spark.createDataFrame([("SENTINEL,error,7000000000000",)], "value string").coalesce(1).write.text(f"{root}/v/b")
+    spark.createDataFrame([("0,SENTINEL,done,7000000000000",)], "value string").coalesce(1).write.text(f"{root}/a/b")
+    t.monitors().write.parquet(f"{root}/stations")
+    p, v, a = f"{root}/p/*", f"{root}/v/*", f"{root}/a/*"
+
+    finish(apps.average_speed(spark, lines=p, out=f"{root}/avg", size="1 day", slide="6 hours", delay="1 hour"))
+    assert spark.read.parquet(f"{root}/avg").count() == avg_speed(t.passages(), "1 day", "6 hours").count()
+
+    finish(apps.dangerous_driving(spark, lines=p, stations=f"{root}/stations", within="24 hours",
+                                  delay="1 hour", sink="memory"))
+    want = dangerous_driving(t.passages(), t.monitors(), within="24 hours").count()
+    got = spark.table("dangerous_driving")
+    assert got.count() == want and got.where(F.col("message").startswith("该车辆涉嫌危险驾驶")).count() == want
+
+    finish(apps.police_join(spark, violations=v, actions=a, lower="-2 hours", upper="2 hours",
+                            delay="1 hour", sink="memory"))
+    vv = t.violations().withColumnRenamed("event_id", "violation_id")
+    aa = t.police_actions().withColumnRenamed("event_id", "action_id")
+    assert spark.table("police_join").where("car != 'SENTINEL'").count() == \
+        interval_join(vv, aa, lower="-2 hours", upper="2 hours").count()
+
+    outs = {k: f"{root}/{k}" for k in ["matched", "no_police", "no_violation"]}
+    finish(apps.police_pairing(spark, violations=v, actions=a, outcomes=outs, timeout="12 hours",
+                               delay="1 hour"))
+    batch = pair_actions(t.violations(), t.police_actions(), "12 hours").groupBy("outcome").count().collect()
+    for r in batch:
+        assert spark.read.parquet(outs[r.outcome]).where("car != 'SENTINEL'").count() == r["count"]
+
+    finish(apps.area_distribution(spark, lines=p, size="1 day", delay="1 hour", sink="memory"))
+    assert spark.table("area_distribution").count() > 0
