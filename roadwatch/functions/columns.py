@@ -59,8 +59,3 @@ def rounded_average(sum_col: str, n_col: str) -> Column:
     """
     return F.expr(
         f"cast((2 * ({sum_col} * 10000) + 100 * {n_col}) div (200 * {n_col}) as double) / 100D")
-
-
-def station_message(monitor_ids: Column) -> Column:
-    """Optional display text listing the stations of a match, in order."""
-    return F.array_join(monitor_ids, ",")
