@@ -113,9 +113,9 @@ def police_pairing(spark, violations: str, actions: str, outcomes: dict[str, str
                    fmt: str = "text", timeout="5 seconds", delay="2 seconds", mode: str = "paired",
                    **options):
     """Violations paired with police actions; unmatched ones to side tables."""
-    # Text records carry no id: equal-time records of one kind tie on the (constant) id.
-    v = parse_violations(_lines(spark, violations, fmt, options)).withColumn("event_id", F.lit(0).cast("long"))
-    a = parse_police_actions(_lines(spark, actions, fmt, options)).withColumn("event_id", F.lit(0).cast("long"))
+    # Text records carry no id: ties among equal times use an id derived from each record.
+    v = parse_violations(_lines(spark, violations, fmt, options))
+    a = parse_police_actions(_lines(spark, actions, fmt, options))
     pairs = jobs.stream_pair_actions(v, a, timeout, delay, mode)
     if outcomes:
         return jobs.start(pairs, "police_pairing", foreach_batch=ssinks.outcome_writer(outcomes))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's defaults.
@@ -59,3 +59,16 @@ def rounded_average(sum_col: str, n_col: str) -> Column:
     """
     return F.expr(
         f"cast((2 * ({sum_col} * 10000) + 100 * {n_col}) div (200 * {n_col}) as double) / 100D")
+
+
+def with_tie_id(df: DataFrame, id_col: str) -> DataFrame:
+    """Make sure ``id_col`` exists as the tie-breaker among records of equal time.
+
+    Records parsed from text logs carry no id; then a deterministic one is
+    derived from the record's own fields (``xxhash64`` of every column), so
+    ordering is total and repeatable (identical records tie, which changes no
+    output).
+    """
+    if id_col in df.columns:
+        return df
+    return df.withColumn(id_col, F.xxhash64(*[F.col(c) for c in df.columns]))

@@ -24,9 +24,9 @@ def _station_limits(monitors: DataFrame, max_broadcast_rows: int) -> DataFrame:
     return sized_broadcast(dim, max_broadcast_rows, bound_by=listed.select("monitor_id"))
 
 
-def _speeding_projection(df: DataFrame) -> DataFrame:
+def _speeding_projection(df: DataFrame, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     # road_id comes from the passage, not from the station row.
-    extra = [c for c in df.columns if c == "event_id"]
+    extra = [c for c in df.columns if c in keep]
     return df.select("car", "monitor_id", "road_id", F.col("speed").alias("real_speed"),
                      F.col("limit_speed").cast("int").alias("limit_speed"), "action_time", *extra)
 
@@ -43,11 +43,11 @@ def overspeed_passages(passages: DataFrame, monitors: DataFrame,
 
 
 def with_limits(passages: DataFrame, monitors: DataFrame, default: int = DEFAULT_LIMIT,
-                max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_MAX_ROWS, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """D2 + C7: every passage with its station limit, ``default`` for unknown stations."""
     joined = passages.join(_station_limits(monitors, max_broadcast_rows), "monitor_id", "left")
     return _speeding_projection(
-        joined.withColumn("limit_speed", F.coalesce(F.col("limit_speed"), F.lit(int(default)))))
+        joined.withColumn("limit_speed", F.coalesce(F.col("limit_speed"), F.lit(int(default)))), keep)
 
 
 def listed_cars_only(passages: DataFrame, listed: DataFrame,

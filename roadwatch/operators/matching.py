@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadwatch.functions.columns import with_tie_id
 from roadwatch.operators.windows import duration_ms
 from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan
 
@@ -89,6 +90,7 @@ PAIR_COLS = ["car", "outcome"] + _V_COLS + _P_COLS
 
 
 def _events(violations: DataFrame, actions: DataFrame, v_id: str, p_id: str) -> DataFrame:
+    violations, actions = with_tie_id(violations, v_id), with_tie_id(actions, p_id)
     v = violations.select("car", F.lit(0).alias("_kind"), F.col("create_time").alias("_t"),
                           F.col(v_id).alias("_id"), F.col(v_id).alias("violation_id"),
                           "create_time", "msg")

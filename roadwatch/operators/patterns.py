@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from roadwatch.functions.broadcast import DEFAULT_MAX_ROWS
-from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, severe_overspeed
+from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, severe_overspeed, with_tie_id
 from roadwatch.operators.enrich import with_limits
 from roadwatch.operators.windows import duration_ms
 from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan, with_time_bucket
@@ -38,7 +38,7 @@ def clone_plates(passages: DataFrame, within_s: int = 10, id_col: str = "event_i
     times both monitors are the later record's, as in the reference.
     """
     order = ["action_time", id_col]
-    d = bucketed(passages, ["car"], order, "action_time", bucket_ms, bucketing)
+    d = bucketed(with_tie_id(passages, id_col), ["car"], order, "action_time", bucket_ms, bucketing)
     limit_ms = (int(within_s) + 1) * 1000          # |dt| div 1000 <= s  <=>  |dt| < (s + 1) * 1000
     d = island_scan(d, ["car"], order,
                     F.struct(F.col("action_time").alias("t"), F.col("monitor_id").alias("m")),
@@ -82,7 +82,8 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
         raise ValueError("emit must be 'all' or 'first'")
     span = duration_ms(within)
     width = max(int(bucket_ms), span)
-    hits = with_limits(passages, monitors, default, max_broadcast_rows) \
+    hits = with_limits(with_tie_id(passages, id_col), monitors, default, max_broadcast_rows,
+                       keep=(id_col,)) \
         .where(severe_overspeed("limit_speed", "real_speed", factor)) \
         .select("car", "action_time", id_col, "monitor_id")
     hits = with_time_bucket(hits, "action_time", width, "_hb")

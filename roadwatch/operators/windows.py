@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from roadwatch.functions.broadcast import sized_broadcast
-from roadwatch.functions.columns import millis_to_ts, rounded_average, ts_to_millis
+from roadwatch.functions.columns import millis_to_ts, rounded_average, ts_to_millis, with_tie_id
 from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, keyed_scan
 
 _UNITS = {"millisecond": 1, "ms": 1, "second": 1000, "s": 1000, "minute": 60_000, "min": 60_000,
@@ -106,7 +106,7 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
     them -- no join back and a single large shuffle.
     """
     order = ["action_time", id_col]
-    d = _tumbling(passages, duration_ms(size))
+    d = _tumbling(with_tie_id(passages, id_col), duration_ms(size))
     cols = ["area_id", "start_time", "end_time", "car", "action_time", id_col]
     firsts = d.groupBy("area_id", "start_time", "end_time", "car") \
         .agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_f")) \

@@ -135,3 +135,17 @@ def test_clone_rank_buckets_split_a_burst(spark):
     got = sorted((r.car, r.first_monitor, r.second_monitor, r.action_time)
                  for r in clone_plates(p, 10, bucketing="rank").collect())
     assert got == clone_fold(rows, 10)
+
+
+def test_operators_accept_records_without_ids(spark):
+    """Passages parsed from text have no id column: a derived id breaks ties."""
+    from roadwatch.operators import area_distinct_running, pair_actions
+    p = passages_df(spark, [(0, "a", "X", 99.0), (5_000, "b", "X", 99.0), (9_000, "c", "X", 99.0)]).drop("event_id")
+    assert len(clone_plates(p, 10).collect()) == 1
+    m = monitors_df(spark, [("a", 50), ("b", 50), ("c", 50)])
+    assert len(dangerous_driving(p, m).collect()) == 1
+    assert [r.distinct_cars for r in area_distinct_running(p, "1 minute").orderBy("action_time").collect()] == [1, 1, 1]
+    v = spark.createDataFrame([("X", "e", 0)], "car string, msg string, create_time bigint")
+    a = spark.createDataFrame([("1", "X", "done", 1_000)],
+                              "police_id string, car string, action_status string, action_time bigint")
+    assert [r.outcome for r in pair_actions(v, a, "5 seconds").collect()] == ["matched"]
