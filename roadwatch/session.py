@@ -23,6 +23,35 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for the target deployment: ~1000 executors reading ~100 TB of
+# passages. Scan tasks of 512 MB give ~200,000 splits; the shuffles start at
+# 100,000 reducers (the sequential operators shuffle the projected rows, a few
+# tens of TB, so ~300 MB per reducer before compression) and AQE coalesces
+# them towards 256 MB and splits any reducer above 1 GB that feeds a join.
+# Broadcasts chosen at run time are capped at 64 MB per table.
+SCALE_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 ** 2),
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 ** 3),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply :data:`SCALE_CONF` (SQL settings only; executor sizing stays with the
+    deployment) to an existing cluster session."""
+    for k, v in {**SCALE_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "roadwatch", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster the deployment's own session is used instead."""
