@@ -44,13 +44,20 @@ def with_rank_bucket(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     index as the bucket. A key's rows occupy consecutive partitions, so the
     bucket is non-decreasing along the key's order -- all the scans need --
     and no bucket holds more than about ``rows / num_buckets`` rows, even when
-    one key's rows all share one timestamp. Costs one range shuffle (plus its
-    sampling pass) on top of the scan's own shuffle; time buckets are the
-    cheaper default.
+    one key's rows all share one timestamp.
+
+    The assignment is checkpointed to the shared ``spark.checkpoint.dir``:
+    the scans read their input in more than one branch, and two range
+    exchanges sample with different seeds, so only a materialised assignment
+    guarantees every branch sees the same bucket for a row (and a recomputed
+    task cannot move a row). Cost: one range shuffle plus one write and read
+    of the input; time buckets are the cheaper default.
     """
+    from roadwatch.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys, *order)
-    return ranged.withColumn(name, F.spark_partition_id().cast("long"))
+    return ranged.withColumn(name, F.spark_partition_id().cast("long")).checkpoint(eager=True)
 
 
 def bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], time_col: str,
