@@ -125,8 +125,8 @@ def police_pairing(spark, violations: str, actions: str, outcomes: dict[str, str
 def vehicle_tracks(spark, log: str, violation_list: str, out: str, list_fmt: str = "parquet"):
     """Vehicle tracks (batch): passages of listed violators -> newest-first track table."""
     passages = parse_passages(read_lines(spark, log))
-    listed = read_violations(spark, violation_list, list_fmt)
-    write_tracks(track_rows(listed_cars_only(passages, listed)), out)
+    listed = read_violations(spark, violation_list, list_fmt)          # a table scan: probe its size
+    write_tracks(track_rows(listed_cars_only(passages, listed, max_broadcast_rows=2_000_000)), out)
 
 
 def area_distribution(spark, lines: str, fmt: str = "text", size="10 seconds", delay="0 seconds",

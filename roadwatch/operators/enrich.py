@@ -51,14 +51,19 @@ def with_limits(passages: DataFrame, monitors: DataFrame, default: int = DEFAULT
 
 
 def listed_cars_only(passages: DataFrame, listed: DataFrame,
-                     max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                     max_broadcast_rows: int | None = None) -> DataFrame:
     """D3 + C4: passages whose car appears in the list (membership; duplicates never multiply).
 
-    The list is reduced to distinct cars (partial aggregation) before the semi join.
+    The list is reduced to distinct cars (partial aggregation) before the
+    semi join. Its size is then known at run time: adaptive execution
+    broadcasts it when it is small and keeps a shuffle join otherwise, without
+    computing a derived list twice. Pass ``max_broadcast_rows`` to force the
+    row-count probe instead (cheap when the list is a plain table scan).
     """
     cars = listed.select("car").distinct()
-    return passages.join(sized_broadcast(cars, max_broadcast_rows, bound_by=listed.select("car")),
-                         "car", "left_semi")
+    if max_broadcast_rows is not None:
+        cars = sized_broadcast(cars, max_broadcast_rows, bound_by=listed.select("car"))
+    return passages.join(cars, "car", "left_semi")
 
 
 def track_rows(passages: DataFrame) -> DataFrame:

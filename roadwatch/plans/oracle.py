@@ -205,10 +205,15 @@ SELECT car, msg, create_time FROM n
 WHERE rn = 1 AND NOT EXISTS (
   SELECT 1 FROM existing e WHERE e.car = n.car AND e.create_time BETWEEN n.day AND n.day + {DAY})""",
 
-    "tracks": BASE + f"""
-, listed AS (
-  SELECT DISTINCT 'C' || CAST(user_id AS VARCHAR) AS car FROM events
-  WHERE event_type = 'error' AND {_K} < 3),
+    "tracks": BASE + """
+, l AS (
+  SELECT car, monitor_id, action_time, event_id,
+         lag(action_time) OVER w AS pt, row_number() OVER w AS seq
+  FROM passages WINDOW w AS (PARTITION BY car ORDER BY action_time, event_id)),
+k AS (SELECT *, CASE WHEN pt IS NOT NULL AND abs(action_time - pt) // 1000 <= 300 THEN 0 ELSE 1 END AS brk FROM l),
+i AS (SELECT *, max(CASE WHEN brk = 1 THEN seq END) OVER (PARTITION BY car ORDER BY action_time, event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS istart FROM k),
+listed AS (SELECT DISTINCT car FROM i WHERE (seq - istart) % 2 = 1),
 t AS (
   SELECT p.car || '_' || CAST(9223372036854775807 - p.action_time AS VARCHAR) AS row_key, p.*
   FROM passages p WHERE p.car IN (SELECT car FROM listed)),
