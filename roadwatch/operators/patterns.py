@@ -15,7 +15,7 @@ from roadwatch.functions.broadcast import DEFAULT_MAX_ROWS
 from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, severe_overspeed, with_tie_id
 from roadwatch.operators.enrich import with_limits
 from roadwatch.operators.windows import duration_ms
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan, with_time_bucket
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan, keyed_scan, with_time_bucket
 
 # The reference's display texts.
 CLONE_MSG = "涉嫌套牌车"          # "suspected cloned plate"
@@ -59,7 +59,7 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
                       times: int = 3, within="2 minutes", default: int = DEFAULT_LIMIT,
                       emit: str = "all", id_col: str = "event_id",
                       bucket_ms: int = DEFAULT_BUCKET_MS,
-                      max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_MAX_ROWS, bucketing: str = "time") -> DataFrame:
     """``times`` or more severe overspeeds of one car within ``within``.
 
     Semantics of the reference's pattern (single looping condition, relaxed
@@ -75,6 +75,9 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
     copied into the previous bucket when it lies within ``within`` of that
     bucket's end (a halo), after which every bucket is scanned on its own.
 
+    ``bucketing="rank"`` (bursts that crowd one time bucket): positions
+    instead of frames -- see :func:`_chains_by_position`.
+
     Output: ``car, start_time, end_time, n_events, monitor_ids (array), avg_speed``
     (``avg_speed`` is 0.0 as in the reference).
     """
@@ -86,6 +89,8 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
                        keep=(id_col,)) \
         .where(severe_overspeed("limit_speed", "real_speed", factor)) \
         .select("car", "action_time", id_col, "monitor_id")
+    if bucketing == "rank":
+        return _chains_by_position(hits, times, span, emit, id_col)
     hits = with_time_bucket(hits, "action_time", width, "_hb")
     # Halo: rows close to the start of their bucket are also copied (as non-starts)
     # into the previous bucket, for that bucket's starts. One scan, one explode.
@@ -116,3 +121,45 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
         F.transform(chain, lambda x: x["m"]).alias("monitor_ids"),
         F.lit(0.0).alias("avg_speed"),
     )
+
+
+def _chains_by_position(hits: DataFrame, times: int, span: int, emit: str, id_col: str) -> DataFrame:
+    """I2 without time frames, for any skew.
+
+    Each car's severe passages get their position ``seq`` (a rank-bucketed
+    running count). A probe row at ``t + span - 1`` per passage, ordered after
+    the passages of that instant, counts the passages before the chain's
+    deadline (``reach``), so a start's chain holds ``m = reach - seq + 1``
+    passages. Chains are then fetched by an equi-join on ``(car, position)``
+    (unique keys, no skew) and cut into matches; the work grows with the
+    output, never with a key's size.
+    """
+    order = ["action_time", "_probe", id_col]
+    real = hits.select("car", "action_time", id_col, "monitor_id", F.lit(0).alias("_probe"))
+    probes = hits.select("car", (F.col("action_time") + F.lit(span - 1)).alias("action_time"), id_col,
+                         F.lit(None).cast("string").alias("monitor_id"), F.lit(1).alias("_probe"))
+    u = bucketed(real.unionByName(probes), ["car"], order, "action_time", DEFAULT_BUCKET_MS, "rank")
+    u = keyed_scan(u, ["car"], order, [("_cnt", "sum", (F.col("_probe") == 0).cast("long"))])
+    seq = u.where(F.col("_probe") == 0).select("car", id_col, "action_time", "monitor_id",
+                                               F.col("_cnt").alias("_seq"))
+    reach = u.where(F.col("_probe") == 1).select("car", id_col, F.col("_cnt").alias("_reach"))
+    starts = seq.join(reach, ["car", id_col]) \
+        .withColumn("_m", F.col("_reach") - F.col("_seq") + 1).where(F.col("_m") >= times)
+    if emit == "first":
+        starts = starts.withColumn("_m", F.lit(times).cast("long"))
+    members = starts.select("car", F.col(id_col).alias("_start"), F.col("action_time").alias("start_time"),
+                            "_m", F.explode(F.sequence(F.col("_seq"), F.col("_seq") + F.col("_m") - 1)).alias("_k"))
+    elems = seq.select("car", F.col("_seq").alias("_k"), F.col("action_time").alias("_t"),
+                       F.col("monitor_id").alias("_mon"))
+    chains = members.join(elems, ["car", "_k"]) \
+        .groupBy("car", "_start", "start_time", "_m") \
+        .agg(F.array_sort(F.collect_list(F.struct("_k", "_t", "_mon"))).alias("_chain"))
+    matches = chains.withColumn("_len", F.explode(F.sequence(F.lit(times).cast("long"), F.col("_m"))))
+    chain = F.slice("_chain", 1, F.col("_len").cast("int"))
+    return matches.select(
+        "car", "start_time",
+        F.element_at(chain, -1)["_t"].alias("end_time"),
+        F.col("_len").cast("long").alias("n_events"),
+        F.transform(chain, lambda x: x["_mon"]).alias("monitor_ids"),
+        F.lit(0.0).alias("avg_speed"),
+    )

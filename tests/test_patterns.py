@@ -149,3 +149,22 @@ def test_operators_accept_records_without_ids(spark):
     a = spark.createDataFrame([("1", "X", "done", 1_000)],
                               "police_id string, car string, action_status string, action_time bigint")
     assert [r.outcome for r in pair_actions(v, a, "5 seconds").collect()] == ["matched"]
+
+
+def test_cep_rank_positions_match_brute_force(spark):
+    rnd = random.Random(31)
+    rows, i = [], 0
+    for car in ["A", "HOT"]:
+        t = 0
+        for _ in range(250 if car == "HOT" else 60):
+            t += rnd.choice([0, 0, 1_000, 50_000, 119_999, 120_000])
+            rows.append((t, f"m{rnd.randint(0, 3)}", car, rnd.choice([30.0, 60.0, 90.0]), i))
+            i += 1
+    lim = [(f"m{k}", 50) for k in range(4)]
+    hits = [(t, i, m, car) for t, m, car, s, i in rows if 50 * 1.2 <= s]
+    p, m = passages_df(spark, rows), monitors_df(spark, lim)
+    got = sorted((r.car, r.start_time, r.end_time, r.n_events, ",".join(r.monitor_ids))
+                 for r in dangerous_driving(p, m, bucketing="rank").collect())
+    assert got == cep_brute(hits, 3, 120_000)
+    first = dangerous_driving(p, m, emit="first", bucketing="rank").count()
+    assert first == dangerous_driving(p, m, emit="first").count()
