@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadwatch.functions.broadcast import sized_broadcast
 from roadwatch.functions.columns import millis_to_ts, rounded_average, ts_to_millis, with_tie_id
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, keyed_scan
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, keyed_scan, with_rank_bucket
 
 _UNITS = {"millisecond": 1, "ms": 1, "second": 1000, "s": 1000, "minute": 60_000, "min": 60_000,
           "hour": 3_600_000, "h": 3_600_000, "day": 86_400_000, "d": 86_400_000}
@@ -121,34 +120,27 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
 
 
 def count_batches(df: DataFrame, n: int = 10, order=("action_time", "event_id"),
-                  drop_incomplete: bool = True, num_partitions: int | None = None) -> DataFrame:
+                  drop_incomplete: bool = True, num_partitions: int | None = None,
+                  bucketing: str = "time", bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
     """E5: consecutive groups of ``n`` rows in global ``order``; a trailing partial
     group is dropped (it never fires), unless ``drop_incomplete=False``.
 
-    Global positions without a single-task sort: range-partition on the
-    order (balanced by sampling, so a hot value range is split), number rows
-    inside each partition, checkpoint that numbering to the shared checkpoint
-    folder (a retried task can then never renumber), and add each partition's
-    offset from a per-partition count table -- one row per partition, a
-    proven size bound for its broadcast.
+    A global position is a running count over a key-less scan: rows are cut
+    into time buckets of ``order[0]`` (epoch ms), numbered inside each bucket,
+    and offset by the counts of earlier buckets (one summary row per bucket).
+    Everything is a function of the data, so recomputed tasks number rows the
+    same way and nothing is materialised. ``bucketing="rank"`` balances a
+    burst that fills one time bucket (range buckets, checkpointed -- see
+    :func:`roadwatch.plans.scan.with_rank_bucket`). The row count for
+    ``drop_incomplete`` is one scalar aggregate.
     """
-    spark = df.sparkSession
-    from roadwatch.session import checkpoint_root
-    checkpoint_root(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
-    staged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order) \
-        .withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mid", F.monotonically_increasing_id()) \
-        .checkpoint(eager=True)
-    counts = staged.groupBy("_pid").agg(F.count("*").alias("_cnt"), F.min("_mid").alias("_base"))
-    w_all = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_base",
-                            F.coalesce(F.sum("_cnt").over(w_all), F.lit(0)).alias("_off"),
-                            F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
-    out = staged.join(sized_broadcast(offsets, max(parts, 1) * 4), "_pid") \
-        .withColumn("row_index", F.col("_off") + F.col("_mid") - F.col("_base")) \
-        .withColumn("batch_id", F.expr(f"row_index div {int(n)}"))
+    d = bucketed(df, [], order, order[0], bucket_ms, bucketing) if bucketing == "time" \
+        else with_rank_bucket(df, [], order, num_partitions)
+    d = keyed_scan(d, [], order, [("_pos", "sum", F.lit(1).cast("long"))])
+    out = d.withColumn("row_index", F.col("_pos") - 1) \
+        .withColumn("batch_id", F.expr(f"row_index div {int(n)}")).drop("_pos", "_tb")
     if drop_incomplete:
-        out = out.where(F.col("row_index") < F.expr(f"(_total div {int(n)}) * {int(n)}"))
-    return out.drop("_pid", "_mid", "_base", "_off", "_total")
+        total = df.count()
+        out = out.where(F.col("row_index") < F.lit((total // int(n)) * int(n)))
+    return out

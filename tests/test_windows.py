@@ -62,3 +62,12 @@ def test_area_distinct_and_running(spark):
         s.add(car)
         brute[i] = len(s)
     assert run == brute
+
+
+def test_count_batches_rank_equals_time(spark):
+    rnd = random.Random(12)
+    p = passages_df(spark, [(rnd.choice([0, 0, 5, 7_200_000]), "A", "c", 1.0, i) for i in range(203)])
+    a = sorted((r.event_id, r.row_index, r.batch_id) for r in count_batches(p, 10).collect())
+    b = sorted((r.event_id, r.row_index, r.batch_id)
+               for r in count_batches(p, 10, bucketing="rank", num_partitions=3).collect())
+    assert a == b and len(a) == 200
