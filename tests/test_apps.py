@@ -95,3 +95,15 @@ def test_more_apps_end_to_end(spark):
 
     finish(apps.area_distribution(spark, lines=p, size="1 day", delay="1 hour", sink="memory"))
     assert spark.table("area_distribution").count() > 0
+
+
+def test_cli_runs_a_batch_program(spark):
+    t = Tables(spark, SF)
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    to_lines(t.passages()).coalesce(1).write.text(f"{root}/log")
+    t.violations().select("car", "msg", "create_time").write.parquet(f"{root}/list")
+    apps.main(["vehicle_tracks", "--opt", f"log={root}/log", "--opt", f"violation_list={root}/list",
+               "--opt", f"out={root}/tracks"])
+    listed = t.violations().select("car")
+    assert spark.read.parquet(f"{root}/tracks").count() == \
+        track_rows(listed_cars_only(t.passages(), listed)).count()
