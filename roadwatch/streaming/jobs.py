@@ -93,14 +93,16 @@ def stream_area_distinct_approx(passages: DataFrame, size="10 minutes", delay="0
 # ---- joins --------------------------------------------------------------------------------
 
 def stream_overspeed(passages: DataFrame, monitors: DataFrame, factor: float = 1.1) -> DataFrame:
-    """D1 as a stream-static join; the station table is re-read every micro-batch."""
+    """D1 as a stream-static join with the station table as planned at start; use
+    :func:`with_refreshed_dim` (A8) to pick up changes to the table."""
     return overspeed_passages(passages, monitors, factor)
 
 
 def with_refreshed_dim(stream: DataFrame, loader: Callable[[SparkSession], DataFrame],
                        fn: Callable[[DataFrame, DataFrame, int], None]):
     """Reload the dimension for every micro-batch, then run a batch join inside
-    ``foreachBatch``. Returns the started query builder's writer function."""
+    ``foreachBatch``. Returns the ``DataStreamWriter`` (not started): set its
+    ``checkpointLocation`` and call ``start()``."""
     def each(batch: DataFrame, epoch: int) -> None:
         fn(batch, loader(batch.sparkSession), epoch)
     return stream.writeStream.foreachBatch(each)
