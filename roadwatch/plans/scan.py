@@ -148,14 +148,13 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
     (position of the island's first row), so ``_seq - _island_start`` is the
     offset inside the island.
 
-    Plan: rows are shuffled on ``(key, bucket)`` and scanned locally; a
-    one-row-per-bucket summary (count, first and last payload, pre-aggregated
-    map-side from a second read of the input) gives each bucket its
-    neighbours across bucket edges, and a per-bucket aggregate of the local
-    scan gives its last island start (Spark re-runs the local scan for it on a
-    column-pruned copy: a second, narrower shuffle of only the key, order and
-    link fields); both are combined per key (one row per bucket) and joined
-    back on the partitioning the scan already has.
+    Plan: rows are shuffled on ``(key, bucket)`` and scanned locally; one
+    aggregate of the local scan per bucket (count, first and last payload,
+    last island start) gives each bucket its neighbours across bucket edges
+    and its island state. Spark computes that aggregate from a column-pruned
+    re-run of the local scan (a second, narrower shuffle of only the key,
+    order and link fields). The summaries are combined per key (one row per
+    bucket) and joined back on the partitioning the scan already has.
     """
     keys, order = list(keys), list(order)
     part = keys + [bucket]
@@ -172,14 +171,13 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
     staged = staged.withColumn("_lstart", F.max(F.when(F.col("_li") > 0, F.when(~F.col("_llink"), F.col("_li"))))
                                .over(w_cum))
 
-    # Per bucket: size and edge rows straight from the input (partial aggregation) ...
-    edges = df.withColumn("_pl", payload).groupBy(*part).agg(
+    # Per bucket, from the local scan: size, edge rows and the last island start
+    # after the bucket's first row.
+    summary_rows = staged.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"), F.min_by("_pl", ord_struct).alias("_first"),
-        F.max_by("_pl", ord_struct).alias("_last"))
-    # ... and the last island start inside the bucket (rows after its first), from the local scan.
-    starts = staged.groupBy(*part).agg(F.max("_lstart").alias("_bstart"))
+        F.max_by("_pl", ord_struct).alias("_last"), F.max("_lstart").alias("_bstart"))
     w_k = Window.partitionBy(*keys).orderBy(bucket)
-    summary = edges.join(starts, part, "left") \
+    summary = summary_rows \
         .withColumn("_off", F.coalesce(F.sum("_n").over(w_k.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
         .withColumn("_prev_last", F.lag("_last").over(w_k)) \
         .withColumn("_next_first", F.lead("_first").over(w_k))
