@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, millis_to_ts, severe_overspeed
+from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, millis_to_ts, severe_overspeed, with_tie_id
 from roadwatch.operators.enrich import overspeed_passages, with_limits
 from roadwatch.operators.matching import _REPLAY_SCHEMA, _events
 from roadwatch.operators.patterns import CLONE_MSG
@@ -207,6 +207,27 @@ def stream_pair_actions_replay(violations: DataFrame, actions: DataFrame, timeou
                        ["t", "kind", "rid"])
 
 
+def stream_area_distinct_running(passages: DataFrame, size="10 minutes", method: str = "bloom",
+                                 bits: int = 1 << 22, delay="0 seconds",
+                                 id_col: str = "event_id") -> DataFrame:
+    """F3 on a stream, one output row per passage: ``method="bloom"`` (fixed
+    memory per window, may undercount) or ``"exact"`` (a set of cars per
+    window)."""
+    if method == "bloom":
+        return stream_area_distinct_bloom(passages, size, bits, delay, id_col)
+    if method != "exact":
+        raise ValueError("method must be 'bloom' or 'exact'")
+    size_ms = duration_ms(size)
+    t = F.col("action_time")
+    df = with_tie_id(passages, id_col).withColumnRenamed(id_col, "event_id") \
+        .withColumn("start_time", t - F.pmod(t, F.lit(size_ms))) \
+        .withColumn("end_time", F.col("start_time") + F.lit(size_ms))
+    cols = ["area_id", "start_time", "end_time", "car", "action_time", "event_id"]
+    return fold_by_key(watermarked(df.select(*cols), "action_time", delay), ["area_id", "start_time"],
+                       lambda s: machines.ExactDistinct(s), BLOOM_SCHEMA, "action_time",
+                       ["action_time", "event_id"])
+
+
 def stream_area_distinct_bloom(passages: DataFrame, size="10 minutes", bits: int = 1 << 22,
                                delay="0 seconds", id_col: str = "event_id") -> DataFrame:
     """F3 (bloom) on a stream: a fixed-size bitmap per (area, window); the two bit

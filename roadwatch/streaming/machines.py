@@ -283,3 +283,37 @@ class BloomDistinct(Machine):
 
     def empty(self):
         return self.s["count"] == 0
+
+
+class ExactDistinct(Machine):
+    """F3 exact: the set of cars seen in one (area, window); every record emits the
+    running count. State grows with the distinct cars of the window (what the
+    Bloom bitmap bounds), and is dropped when the window ends."""
+
+    def initial(self):
+        return {"seen": []}
+
+    def feed_all(self, recs, out):
+        seen = set(self.s["seen"])
+        for r in recs:
+            seen.add(r["car"])
+            self.s["end"] = int(r["end_time"])
+            out.append({"area_id": r["area_id"], "start_time": r["start_time"], "end_time": r["end_time"],
+                        "car": r["car"], "action_time": r["action_time"], "event_id": r.get("event_id"),
+                        "distinct_cars": len(seen)})
+        self.s["seen"] = sorted(seen)
+
+    def feed(self, rec, out):
+        self.feed_all([rec], out)
+
+    def advance(self, watermark, out):
+        end = self.s.get("end")
+        if end is not None and watermark >= end - 1:
+            self.s = self.initial()
+
+    def wakeups(self):
+        end = self.s.get("end")
+        return [] if end is None else [end - 1]
+
+    def empty(self):
+        return not self.s["seen"]

@@ -280,3 +280,12 @@ def test_machines_release_state():
             "action_id": None, "police_id": None, "action_status": None, "action_time": None}, out)
     p.advance(5_000, out)
     assert p.empty() and out[-1]["outcome"] == "no_police"
+
+
+def test_stream_exact_running_distinct_equals_batch(spark, data):
+    ps = stream_of(spark, data["p_dir"], data["p_schema"])
+    s = jobs.stream_area_distinct_running(ps, size="1 day", method="exact", delay="1 hour")
+    got = {r[5]: r[6] for r in drain(s, "s_exact_running") if r[3] != SENT}
+    exact = {r.event_id: r.distinct_cars for r in
+             area_distinct_running(data["t"].passages(), "1 day").collect()}
+    assert got == exact
