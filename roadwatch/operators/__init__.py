@@ -1,5 +1,5 @@
 from roadwatch.operators.enrich import (
-    last_write_per_row_key, listed_cars_only, overspeed_passages, track_rows, with_limits,
+    last_write_per_row_key, listed_cars_only, overspeed_passages, track_rows, tracks, with_limits,
 )
 from roadwatch.operators.matching import interval_join, pair_actions, pair_actions_replay, replay_fold
 from roadwatch.operators.patterns import clone_plates, dangerous_driving

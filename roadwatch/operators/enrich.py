@@ -87,5 +87,12 @@ def last_write_per_row_key(tracks: DataFrame, tie: str = "event_id") -> DataFram
     return agg.select("row_key", *[F.col(f"_w.{c}").alias(c) for c in cols])
 
 
-__all__ = ["overspeed_passages", "with_limits", "listed_cars_only", "track_rows",
+def tracks(passages: DataFrame, violations: DataFrame,
+           max_broadcast_rows: int | None = None) -> DataFrame:
+    """D3 + C6 + C8 + B4: newest-first track rows of the cars in the violation list,
+    one row per row key (the last write wins)."""
+    return last_write_per_row_key(track_rows(listed_cars_only(passages, violations, max_broadcast_rows)))
+
+
+__all__ = ["tracks", "overspeed_passages", "with_limits", "listed_cars_only", "track_rows",
            "last_write_per_row_key", "SPEEDING_COLS"]

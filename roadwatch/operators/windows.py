@@ -93,7 +93,8 @@ def area_distinct_approx(passages: DataFrame, size="10 minutes", rsd: float = 0.
 
 
 def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str = "event_id",
-                          bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time") -> DataFrame:
+                          bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time",
+                          method: str = "exact") -> DataFrame:
     """F3 (exact): one row per passage with the number of distinct cars seen so far
     in its area and tumbling window (event-time order, ties by ``id_col``).
 
@@ -104,6 +105,9 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
     passage, and a skew-safe running sum over ``(area, window)`` counts
     them -- no join back and a single large shuffle.
     """
+    if method != "exact":
+        raise ValueError("batch running distinct is exact; the Bloom form is "
+                         "roadwatch.streaming.stream_area_distinct_running(method='bloom')")
     order = ["action_time", id_col]
     d = _tumbling(with_tie_id(passages, id_col), duration_ms(size))
     cols = ["area_id", "start_time", "end_time", "car", "action_time", id_col]

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from roadwatch.operators import (
     area_distinct, area_distinct_approx, area_distinct_running, avg_speed, clone_plates,
-    count_batches, dangerous_driving, interval_join, last_write_per_row_key, listed_cars_only,
-    overspeed_passages, pair_actions, top_n_monitors, track_rows, with_limits,
+    count_batches, dangerous_driving, interval_join, overspeed_passages, pair_actions,
+    top_n_monitors, tracks, with_limits,
 )
 from roadwatch.schemas import PASSAGE_COLS
 from roadwatch.sinks.writers import violations_to_insert
@@ -150,7 +150,7 @@ def q_tracks(spark: SparkSession, sf: str) -> DataFrame:
     within 5 minutes)."""
     passages = Tables(spark, sf).passages()
     listed = clone_plates(passages, within_s=LIST_CLONE_WITHIN_S).select("car")
-    return last_write_per_row_key(track_rows(listed_cars_only(passages, listed)))
+    return tracks(passages, listed)
 
 
 def q_count_batches(spark: SparkSession, sf: str) -> DataFrame:
