@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from roadwatch.functions.broadcast import DEFAULT_MAX_ROWS, sized_broadcast
 from roadwatch.functions.columns import DEFAULT_LIMIT, OVERSPEED_FACTOR, newest_first_key, overspeed
-from roadwatch.schemas import SPEEDING_COLS, TRACK_COLS
+from roadwatch.schemas import TRACK_COLS
 from roadwatch.sources.tables import one_row_per_station
 
 
@@ -95,4 +95,4 @@ def tracks(passages: DataFrame, violations: DataFrame,
 
 
 __all__ = ["tracks", "overspeed_passages", "with_limits", "listed_cars_only", "track_rows",
-           "last_write_per_row_key", "SPEEDING_COLS"]
+           "last_write_per_row_key"]

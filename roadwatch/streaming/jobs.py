@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, millis_to_ts, severe_overspeed, with_tie_id
-from roadwatch.operators.enrich import overspeed_passages, with_limits
+from roadwatch.operators.enrich import overspeed_passages
 from roadwatch.operators.matching import _REPLAY_SCHEMA, _events
 from roadwatch.operators.patterns import CLONE_MSG
 from roadwatch.operators.windows import avg_speed, duration_ms, top_n_monitors
