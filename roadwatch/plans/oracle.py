@@ -227,3 +227,66 @@ SELECT action_time, monitor_id, camera_id, car, speed, road_id, area_id, event_i
        row_index, row_index // 7 AS batch_id
 FROM r WHERE row_index < (total // 7) * 7""",
 }
+
+
+# ---- pair_actions_replay: the timer state machine as a recursive walk over each
+# car's records (slot = the pending record, timers = pending deadlines; a timer
+# below the next record's time fires first and reports the pending record).
+_TIMEOUT = 43200000
+_FIELDS = ("violation_id BIGINT, create_time BIGINT, msg VARCHAR, action_id BIGINT, "
+           "police_id VARCHAR, action_status VARCHAR, action_time BIGINT")
+_SLOT_T = f"STRUCT(kind INTEGER, t BIGINT, {_FIELDS})"
+_OUT_T = f"STRUCT(outcome VARCHAR, {_FIELDS})"
+_FIRED = "(len(list_filter(s.timers, lambda x: x < e.t)) > 0)"
+_SLOT1 = f"(CASE WHEN {_FIRED} THEN NULL ELSE s.slot END)"
+_MATCH = f"({_SLOT1}.kind IS NOT NULL AND {_SLOT1}.kind <> e.kind)"
+_E_SLOT = ("{'kind': e.kind, 't': e.t, 'violation_id': e.violation_id, 'create_time': e.create_time, "
+           "'msg': e.msg, 'action_id': e.action_id, 'police_id': e.police_id, "
+           "'action_status': e.action_status, 'action_time': e.action_time}")
+
+
+def _alone(slot):
+    return (f"{{'outcome': CASE WHEN {slot}.kind = 0 THEN 'no_police' ELSE 'no_violation' END, "
+            f"'violation_id': {slot}.violation_id, 'create_time': {slot}.create_time, 'msg': {slot}.msg, "
+            f"'action_id': {slot}.action_id, 'police_id': {slot}.police_id, "
+            f"'action_status': {slot}.action_status, 'action_time': {slot}.action_time}}")
+
+_MATCHED = ("{'outcome': 'matched', " + ", ".join(
+    f"'{c}': coalesce(e.{c}, {_SLOT1}.{c})" for c in
+    ["violation_id", "create_time", "msg", "action_id", "police_id", "action_status", "action_time"]) + "}")
+
+_REPLAY_SQL = BASE.replace("WITH passages AS (", "WITH RECURSIVE passages AS (", 1) + f"""
+, u AS (
+  SELECT car, 0 AS kind, create_time AS t, event_id AS id, event_id AS violation_id, create_time, msg,
+         CAST(NULL AS BIGINT) AS action_id, CAST(NULL AS VARCHAR) AS police_id,
+         CAST(NULL AS VARCHAR) AS action_status, CAST(NULL AS BIGINT) AS action_time
+  FROM violations
+  UNION ALL
+  SELECT car, 1, action_time, event_id, NULL, NULL, NULL, event_id, police_id, action_status, action_time
+  FROM actions),
+e AS (SELECT *, row_number() OVER (PARTITION BY car ORDER BY t, kind, id) AS rn FROM u),
+s AS (
+  SELECT car, CAST(0 AS BIGINT) AS rn, CAST(NULL AS {_SLOT_T}) AS slot, CAST([] AS BIGINT[]) AS timers,
+         CAST([] AS {_OUT_T}[]) AS outs
+  FROM (SELECT DISTINCT car FROM e)
+  UNION ALL
+  SELECT s.car, e.rn,
+         CASE WHEN {_MATCH} THEN NULL ELSE {_E_SLOT} END,
+         CASE WHEN {_MATCH} THEN list_filter(s.timers, lambda x: x >= e.t)
+              ELSE list_append(list_filter(s.timers, lambda x: x >= e.t), e.t + {_TIMEOUT}) END,
+         list_concat(CASE WHEN {_FIRED} AND s.slot IS NOT NULL THEN [{_alone('s.slot')}] ELSE [] END,
+                     CASE WHEN {_MATCH} THEN [{_MATCHED}] ELSE [] END)
+  FROM s JOIN e ON e.car = s.car AND e.rn = s.rn + 1),
+last AS (SELECT car, max(rn) AS rn FROM s GROUP BY car),
+o AS (
+  SELECT s.car, unnest(s.outs) AS r FROM s
+  UNION ALL
+  SELECT s.car, {_alone('s.slot')} FROM s JOIN last ON s.car = last.car AND s.rn = last.rn
+  WHERE s.slot IS NOT NULL)
+SELECT car, r.outcome AS outcome, r.violation_id AS violation_id, r.create_time AS create_time, r.msg AS msg,
+       r.action_id AS action_id, r.police_id AS police_id, r.action_status AS action_status,
+       r.action_time AS action_time
+FROM o"""
+
+
+SQL["pair_actions_replay"] = _REPLAY_SQL
