@@ -27,4 +27,31 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
 FROM p
 """
 
-SQL = {"op8_mixing": OP8_MIXING}
+# Matches and the pieces between them give the spans: a match starts after all
+# pieces up to it and all matches before it.
+_ASSIGN = ("""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
+           """|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def _found(kind: str, number: int, pattern: str, group: int, least: int) -> str:
+    return f"""
+    SELECT doc_id, row_id, {number} AS k, '{kind}' AS kind,
+           (list_sum(list_transform(p[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0))::BIGINT AS b,
+           length(m[i]) AS n
+    FROM (SELECT doc_id, row_id, unnest(range(1, len(m) + 1)) AS i, m, g, string_split_regex(t, '{pattern}') AS p
+          FROM (SELECT *, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS g FROM d) WHERE len(m) > 0)
+    WHERE length(g[i]) >= {least}"""
+
+
+OP1_SECRET_SCAN = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row_id, coalesce(text, '') AS t FROM documents),
+f AS ({_found('assign', 0, _ASSIGN, 2, 8)} UNION ALL {_found('access', 1, 'AKIA[A-Z0-9]+', 0, 16)}
+      UNION ALL {_found('hex', 2, '[0-9a-f]{32,}', 0, 32)}),
+a AS (SELECT row_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+             string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, k) AS spans FROM f GROUP BY row_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (row_id)
+"""
+
+SQL = {"op1_secret_scan": OP1_SECRET_SCAN, "op8_mixing": OP8_MIXING}

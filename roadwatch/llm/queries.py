@@ -5,21 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadwatch.llm import mixing, simhash
+from roadwatch.llm import mixing, secret_scan, simhash, toxicity
 from roadwatch.llm.common import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.with_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.array(*[F.lit(r.kind) for r in secret_scan.RULES])
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+        F.sha2(joined(F.filter("spans", lambda s: F.array_contains(base, s["kind"]))), 256).alias("base_sha256"),
+        joined("spans").alias("spans"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, toxicity.training_rows(table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_simhash": op3_simhash,
+    "op6_toxicity": op6_toxicity,
     "op8_mixing": op8_mixing,
 }
