@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadwatch.llm import mixing, secret_scan, simhash, toxicity
+from roadwatch.llm import mixing, secret_scan, simhash, token_counts, token_output, toxicity
 from roadwatch.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_files(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, toxicity.training_rows(table(spark, sf_dir, "labels")))
@@ -39,9 +43,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents")).drop("name")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_simhash": op3_simhash,
+    "op5_token_output": op5_token_output,
     "op6_toxicity": op6_toxicity,
     "op8_mixing": op8_mixing,
+    "op9_token_counts": op9_token_counts,
 }
