@@ -62,14 +62,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     keyed = plain.withColumn("size", word_count(F.col(text_col))) \
         .withColumn("__key", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))) \
         .withColumn("__s", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")))  \
+        .withColumn("__h", F.xxhash64(text_col)) \
         .withColumn("__r", F.conv(F.substring("__key", 1, RANGE_DIGITS), 16, 10).cast("int"))
-    tot = cut(keyed.groupBy("__s", "__r").agg(F.first(source_col).alias("source"), F.sum("size").alias("__sum")))
-    sizes = tot.groupBy("__s").agg(F.first("source").alias("source"), F.sum("__sum").alias("source_size"))
+    tot = cut(keyed.groupBy("__s", F.col(source_col).alias("source"), "__r").agg(F.sum("size").alias("__sum")))
+    sizes = tot.groupBy("__s", "source").agg(F.sum("__sum").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     prior = Window.partitionBy("__s").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     ranges = tot.select("__s", "__r", F.coalesce(F.sum("__sum").over(prior), F.lit(0)).alias("__prior")) \
         .join(targets.select("__s", "source_size", "target"), "__s")
-    in_order = Window.partitionBy("__s", "__r").orderBy("__key", id_col, "size", F.xxhash64(text_col)) \
+    in_order = Window.partitionBy("__s", "__r").orderBy("__key", id_col, "size", "__h") \
         .rowsBetween(Window.unboundedPreceding, -1)
     rows = keyed.join(ranges, ["__s", "__r"])
     ahead = F.col("__prior") + F.coalesce(F.sum("size").over(in_order), F.lit(0))
