@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadwatch.llm import mixing, secret_scan, simhash, token_counts, token_output, toxicity
+from roadwatch.llm import ann, embed_dedup, mixing, packing, secret_scan, sharding, simhash, token_counts, token_output, toxicity
 from roadwatch.llm.common import table
 
 
@@ -21,11 +21,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined("spans").alias("spans"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_files(table(spark, sf_dir, "documents"))
 
@@ -38,6 +47,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -47,11 +60,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents")).drop("name")
 
 
+#: The shards of op10: fixed names, equal weights.
+SHARDS = [f"shard-{i:03d}" for i in range(256)]
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_ann": op2_ann,
     "op3_simhash": op3_simhash,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_token_output": op5_token_output,
     "op6_toxicity": op6_toxicity,
+    "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
+    "op10_sharding": op10_sharding,
 }
