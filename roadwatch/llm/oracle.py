@@ -55,3 +55,19 @@ FROM d LEFT JOIN a USING (row_id)
 """
 
 SQL = {"op1_secret_scan": OP1_SECRET_SCAN, "op8_mixing": OP8_MIXING}
+
+
+def _op10_sharding() -> str:
+    """The lookup table is filled from the shard names alone and written out here; SQL
+    hashes the ids and looks them up."""
+    from roadwatch.llm.queries import SHARDS
+    from roadwatch.llm.sharding import SLOTS, fill
+    names = ", ".join(f"'{s}'" for s in SHARDS)
+    return f"""
+WITH t AS (SELECT string_split('{",".join(map(str, fill(SHARDS)))}', ',') AS slots, [{names}] AS names),
+d AS (SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {SLOTS})::INTEGER AS slot FROM documents)
+SELECT doc_id, slot, names[slots[slot + 1]::INTEGER + 1] AS shard FROM d, t
+"""
+
+
+SQL["op10_sharding"] = _op10_sharding()
