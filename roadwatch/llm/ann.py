@@ -28,7 +28,7 @@ SAMPLE = 16384
 SAMPLE_VALUES = 4_000_000
 MAX_LISTS = 1024
 #: Share of the sample's true neighbours that the probed lists must hold.
-AIM = 0.985
+AIM = 0.99
 #: Width of a column block, and the test's significance (epsilon in the paper).
 COLUMNS = 16
 EPSILON = 2.1
@@ -81,9 +81,9 @@ def fit(sample: np.ndarray, count: int, k: int, seed: int = 7) -> Index:
 def scan(q: np.ndarray, x: np.ndarray, bound: float, k: int, epsilon: float = EPSILON) -> np.ndarray:
     """Positions in ``x`` (columns: vectors) that may be among the ``k`` nearest to ``q``.
 
-    Column blocks are read in turn for the candidates still alive. Without a
-    bound (infinite) the whole of the first ``k`` candidates by partial
-    distance are measured to get one.
+    Column blocks are read in turn for the candidates still alive; the bound
+    (infinite if there is none yet) falls to the whole distance of the ``k``
+    nearest of them so far.
     """
     d, alive = len(q), np.arange(x.shape[1])
     partial = np.zeros(len(alive))
@@ -91,11 +91,10 @@ def scan(q: np.ndarray, x: np.ndarray, bound: float, k: int, epsilon: float = EP
         z = min(d, a + COLUMNS)
         block = x[a:z, alive] - q[a:z, None]
         partial += (block * block).sum(axis=0)
-        if not np.isfinite(bound) and len(alive) >= k:
-            first = alive[np.argpartition(partial, k - 1)[:k]]
-            whole = x[:, first] - q[:, None]
-            bound = float((whole * whole).sum(axis=0).max())
-        slack = 1.0 if z == d else (1 + epsilon / np.sqrt(z)) ** 2 * z / d
+        if len(alive) >= k:
+            whole = x[:, alive[np.argpartition(partial, k - 1)[:k]]] - q[:, None]
+            bound = min(bound, float((whole * whole).sum(axis=0).max()))
+        slack = 1.0 if z == d else min(1.0, (1 + epsilon / np.sqrt(z)) ** 2 * z / d)
         keep = partial <= bound * slack + 1e-9
         alive, partial = alive[keep], partial[keep]
     return alive

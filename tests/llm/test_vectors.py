@@ -1,0 +1,145 @@
+import numpy as np
+import pytest
+
+from roadwatch.llm import ann, embed_dedup
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score string"
+
+
+def clustered(n=900, d=32, seed=1):
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((60, d))
+    x = base[rng.integers(0, 60, n)] + rng.standard_normal((n, d)) * rng.choice([0.1, 0.3, 0.6], n)[:, None]
+    x[100:150] = x[99]  # a group of exact copies
+    x[200:260] = x[200] + 0.05 * rng.standard_normal((60, d))
+    return x.astype(np.float32)
+
+
+def frame(spark, x, extra=()):
+    rows = [(i, [float(c) for c in v], i % 3, "s") for i, v in enumerate(x)] + list(extra)
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+ODD = [(5001, None, 0, ""), (5002, [0.0] * 32, 0, ""), (5003, [float("nan")] * 32, 0, ""), (5004, [None] + [1.0] * 31, 0, ""),
+       (5005, [float("inf")] + [1.0] * 31, 0, ""), (5006, [1.0, 2.0], 0, ""), (5007, [], 0, "")]
+
+
+def cosines(x):
+    u = x.astype(float)
+    u = u / np.sqrt((u * u).sum(axis=1, keepdims=True))
+    return u @ u.T
+
+
+def check_ann(spark, x, k=5):
+    df = frame(spark, x, ODD)
+    got = {}
+    for r in ann.search(df, df.where("vec_id % 50 = 0"), k).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    s = cosines(x)
+    hit = total = 0
+    assert set(got) == {i for i in range(0, len(x), 50)}
+    for q, rows in got.items():
+        assert [r for r, _, _ in rows] == list(range(1, min(k, len(x) - 1) + 1))
+        assert q not in {j for _, j, _ in rows}
+        assert rows == sorted(rows, key=lambda r: (-r[2], r[1]))
+        assert all(abs(s[q, j] - c) < 1e-12 for _, j, c in rows)
+        best = np.sort(np.delete(s[q], q))[::-1][:k]
+        hit += sum(c >= best[-1] - 1e-12 for _, _, c in rows)
+        total += len(rows)
+    return hit / total
+
+
+def test_ann_recall_and_exact_scores(spark):
+    assert check_ann(spark, clustered()) >= 0.95
+
+
+def test_ann_chunks_give_the_same(spark, monkeypatch):
+    df = frame(spark, clustered(n=300))
+    rows = [sorted(map(tuple, ann.search(df, df.where("vec_id % 10 = 0"), 5).collect()))]
+    monkeypatch.setattr(ann, "VECTOR_CHUNK", 7)
+    monkeypatch.setattr(ann, "QUERY_CHUNK", 2)
+    rows.append(sorted(map(tuple, ann.search(df, df.where("vec_id % 10 = 0"), 5).collect())))
+    assert rows[0] == rows[1]
+
+
+def test_ann_random_directions(spark):
+    assert check_ann(spark, np.random.default_rng(0).standard_normal((700, 32)).astype(np.float32)) >= 0.9
+
+
+def test_ann_ties_go_to_smaller_ids(spark):
+    df = frame(spark, np.tile(np.eye(1, 4, 0, dtype=np.float32), (200, 1)))
+    got = ann.search(df, df.where("vec_id IN (0, 3, 150)"), 5).collect()
+    by = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 3, 150)}
+    assert by == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 150: [0, 1, 2, 3, 4]}
+
+
+def test_ann_small_tables(spark):
+    one = frame(spark, np.ones((1, 4), np.float32))
+    assert ann.search(one, one, 5).count() == 0
+    assert ann.search(one.limit(0), one, 5).count() == 0
+    three = frame(spark, np.eye(3, 4, dtype=np.float32), [(0, [1.0, 0.0, 0.0, 0.0], 0, "")])
+    assert ann.search(three, three.where("vec_id = 0"), 5).count() == 2
+    assert ann.search(frame(spark, np.zeros((0, 4)), ODD[:5]), one, 5).count() == 0
+
+
+def test_scan_never_loses_the_nearest_without_the_test():
+    rng = np.random.default_rng(2)
+    x, q = rng.standard_normal((64, 500)), rng.standard_normal(64)
+    best = set(np.argsort(((x - q[:, None]) ** 2).sum(axis=0))[:6].tolist())
+    assert best <= set(ann.scan(q, x, np.inf, 6, epsilon=1e9).tolist())
+    assert 6 <= len(best & set(ann.scan(q, x, np.inf, 6).tolist())) and len(ann.scan(q, x, np.inf, 6)) < 20
+
+
+def brute_links(x, threshold=0.9):
+    s = cosines(x) >= threshold
+    np.fill_diagonal(s, False)
+    root = list(range(len(x)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a, b in zip(*np.nonzero(s)):
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    return s.sum(axis=1), [top(i) for i in range(len(x))]
+
+
+@pytest.mark.parametrize("chunk", [2048, 5])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, chunk):
+    monkeypatch.setattr(embed_dedup, "CHUNK", chunk)
+    x = clustered(n=600)
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(frame(spark, x, [*ODD, (None, [1.0] * 32, 0, "")])).collect()}
+    assert len(got) == len(x) + len(ODD) + 1
+    links, comp = brute_links(x)
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= links).all() and found.sum() >= 0.95 * links.sum()
+    # Copies and close copies are whole.
+    assert all(got[i].n_links >= 50 and got[i].component_id == comp[i] for i in range(100, 150))
+    for i, *_ in ODD:
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
+    assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, None)
+    assert all(got[i].kept == (got[i].component_id == i) for i in range(len(x)))
+
+
+def test_near_duplicates_small_tables(spark):
+    assert embed_dedup.near_duplicates(frame(spark, np.zeros((0, 4)))).count() == 0
+    one = embed_dedup.near_duplicates(frame(spark, np.ones((1, 4), np.float32))).collect()
+    assert [(r.vec_id, r.n_links, r.kept) for r in one] == [(0, 0, True)]
+    same = embed_dedup.near_duplicates(frame(spark, np.ones((3, 4), np.float32))).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in same) == [(0, 2, 0), (1, 2, 0), (2, 2, 0)]
+
+
+def test_recall_at_the_threshold():
+    """Pairs at exactly the threshold share enough pivots nearly always."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((2000, 64))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    w = rng.standard_normal(x.shape)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    y = 0.9 * u + np.sqrt(1 - 0.81) * w
+    pivots = embed_dedup.choose_pivots(rng.standard_normal((1024, 64)), 256)
+    a, b = embed_dedup.describe(x, pivots), embed_dedup.describe(y, pivots)
+    common = [len(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist())]
+    assert np.mean(np.array(common) >= embed_dedup.SHARED) >= 0.95
