@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # The reference's display templates, in its wording.
 AREA_TEMPLATE = "区域%s,在窗口其实时间%d,到窗口结束时间%d ,一共有%d 辆车"
 TOP_N_HEADER = "在窗口%d ----%d 时间范围内:"
-TOP_N_TITLE = "整个城市最拥堵的前3个卡口是:"
+TOP_N_TITLE = "整个城市最拥堵的前%d个卡口是:"
 TOP_N_ITEM = "卡口:%s,经过的车辆数量为:%d,平均车速为:%s"
 DANGER_HEADER = "该车辆涉嫌危险驾驶,"
 DANGER_ITEM = "第%d个经过卡口是:%s -->"
@@ -25,11 +25,11 @@ def area_message(df: DataFrame) -> DataFrame:
                                                     "end_time", "car_count"))
 
 
-def top_n_message(top: DataFrame) -> DataFrame:
+def top_n_message(top: DataFrame, n: int = 3) -> DataFrame:
     """One message per window from H1's output (at most ``n`` rows per window)."""
     items = F.array_sort(F.collect_list(F.struct("rank", "monitor_id", "car_count", "avg_speed")))
     text = F.concat(
-        F.format_string(TOP_N_HEADER, F.min("start_time"), F.col("end_time")), F.lit(TOP_N_TITLE),
+        F.format_string(TOP_N_HEADER, F.min("start_time"), F.col("end_time")), F.lit(TOP_N_TITLE % n),
         F.array_join(F.transform(items, lambda x: F.format_string(
             TOP_N_ITEM, x["monitor_id"], x["car_count"], x["avg_speed"].cast("string"))), ""),
         F.lit("\n"))

@@ -1,9 +1,9 @@
 """Station-limit enrichment and list filters.
 
-The station table is a dimension: it is deduplicated to one row per station
-(so the join can never multiply passages) and broadcast only after its row
-count has been proven small; otherwise Spark shuffles both sides and AQE's
-skew split handles a hot station.
+The station table is a dimension: it is deduplicated to one row per station,
+so the join can never multiply passages. The joins carry no hint: Spark
+broadcasts a side whose measured bytes are below its thresholds and otherwise
+shuffles both, and AQE's skew split handles a hot station.
 """
 
 from __future__ import annotations
@@ -11,17 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadwatch.functions.broadcast import DEFAULT_MAX_ROWS, sized_broadcast
-from roadwatch.functions.columns import DEFAULT_LIMIT, OVERSPEED_FACTOR, newest_first_key, overspeed
+from pyspark.sql.window import Window
+
+from roadwatch.functions.columns import DEFAULT_LIMIT, OVERSPEED_FACTOR, newest_first_key, overspeed, with_tie_id
 from roadwatch.schemas import TRACK_COLS
 from roadwatch.sources.tables import one_row_per_station
 
 
-def _station_limits(monitors: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    listed = monitors.where(F.col("speed_limit") > 0)
-    dim = one_row_per_station(listed).select("monitor_id", F.col("speed_limit").alias("limit_speed"))
-    # Deduplication only removes rows: the listed rows bound the broadcast side.
-    return sized_broadcast(dim, max_broadcast_rows, bound_by=listed.select("monitor_id"))
+def station_limits(monitors: DataFrame) -> DataFrame:
+    """``(monitor_id, limit_speed)``: one row per station with a positive limit."""
+    return one_row_per_station(monitors.where(F.col("speed_limit") > 0)) \
+        .select("monitor_id", F.col("speed_limit").alias("limit_speed"))
 
 
 def _speeding_projection(df: DataFrame, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
@@ -32,38 +32,31 @@ def _speeding_projection(df: DataFrame, keep: tuple[str, ...] = ("event_id",)) -
 
 
 def overspeed_passages(passages: DataFrame, monitors: DataFrame,
-                       factor: float = OVERSPEED_FACTOR,
-                       max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                       factor: float = OVERSPEED_FACTOR) -> DataFrame:
     """D1 + C1 + C5: passages of known stations with ``limit < factor * speed``.
 
     Passages of stations missing from the table produce nothing (inner join).
     """
-    joined = passages.join(_station_limits(monitors, max_broadcast_rows), "monitor_id", "inner")
+    joined = passages.join(station_limits(monitors), "monitor_id", "inner")
     return _speeding_projection(joined.where(overspeed("limit_speed", "speed", factor)))
 
 
 def with_limits(passages: DataFrame, monitors: DataFrame, default: int = DEFAULT_LIMIT,
-                max_broadcast_rows: int = DEFAULT_MAX_ROWS, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
+                keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """D2 + C7: every passage with its station limit, ``default`` for unknown stations."""
-    joined = passages.join(_station_limits(monitors, max_broadcast_rows), "monitor_id", "left")
+    joined = passages.join(station_limits(monitors), "monitor_id", "left")
     return _speeding_projection(
         joined.withColumn("limit_speed", F.coalesce(F.col("limit_speed"), F.lit(int(default)))), keep)
 
 
-def listed_cars_only(passages: DataFrame, listed: DataFrame,
-                     max_broadcast_rows: int | None = None) -> DataFrame:
+def listed_cars_only(passages: DataFrame, listed: DataFrame) -> DataFrame:
     """D3 + C4: passages whose car appears in the list (membership; duplicates never multiply).
 
     The list is reduced to distinct cars (partial aggregation) before the
-    semi join. Its size is then known at run time: adaptive execution
-    broadcasts it when it is small and keeps a shuffle join otherwise, without
-    computing a derived list twice. Pass ``max_broadcast_rows`` to force the
-    row-count probe instead (cheap when the list is a plain table scan).
+    semi join; adaptive execution broadcasts it when its measured size is
+    small and keeps a shuffle join otherwise.
     """
-    cars = listed.select("car").distinct()
-    if max_broadcast_rows is not None:
-        cars = sized_broadcast(cars, max_broadcast_rows, bound_by=listed.select("car"))
-    return passages.join(cars, "car", "left_semi")
+    return passages.join(listed.select("car").distinct(), "car", "left_semi")
 
 
 def track_rows(passages: DataFrame) -> DataFrame:
@@ -76,23 +69,34 @@ def track_rows(passages: DataFrame) -> DataFrame:
 def last_write_per_row_key(tracks: DataFrame, tie: str = "event_id") -> DataFrame:
     """B4 upsert semantics in batch: one row per ``row_key``, the last written wins.
 
-    Rows sharing a key (same car, same millisecond) are resolved by ``tie``
-    (arrival order). A grouped ``max_by`` aggregates partially map-side, so a
-    hot key never gathers in one task.
+    Rows sharing a key (same car, same millisecond) are resolved by the write
+    sequence where the table has one (``written_ms``), then by ``tie`` (arrival
+    order; without that column a hash of the record, so reruns agree). A grouped
+    ``max_by`` aggregates partially map-side, so a hot key never gathers in
+    one task.
     """
     cols = [c for c in TRACK_COLS if c != "row_key"]
-    order = F.col(tie) if tie in tracks.columns else F.lit(0)
-    agg = tracks.groupBy("row_key").agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_w"))
+    seq = [F.col("written_ms")] if "written_ms" in tracks.columns else []
+    rows = with_tie_id(tracks, tie)
+    agg = rows.groupBy("row_key").agg(
+        F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*seq, F.col(tie))).alias("_w"))
     return agg.select("row_key", *[F.col(f"_w.{c}").alias(c) for c in cols])
 
 
-def tracks(passages: DataFrame, violations: DataFrame,
-           max_broadcast_rows: int | None = None) -> DataFrame:
+def tracks(passages: DataFrame, violations: DataFrame) -> DataFrame:
     """D3 + C6 + C8 + B4: newest-first track rows of the cars in the violation list,
     one row per row key (the last write wins)."""
-    return last_write_per_row_key(track_rows(listed_cars_only(passages, violations, max_broadcast_rows)))
+    return last_write_per_row_key(track_rows(listed_cars_only(passages, violations)))
+
+
+def newest_tracks(track_table: DataFrame, k: int = 10) -> DataFrame:
+    """H2: the ``k`` newest track rows of every car (a top-k report), with their ``rank``.
+
+    Row keys sort newest first; the row number is cut to ``k`` per car before the shuffle.
+    """
+    n = F.row_number().over(Window.partitionBy("car").orderBy("row_key"))
+    return track_table.withColumn("rank", n.cast("long")).where(F.col("rank") <= int(k))
 
 
 __all__ = ["tracks", "overspeed_passages", "with_limits", "listed_cars_only", "track_rows",
-           "last_write_per_row_key"]
+           "last_write_per_row_key", "newest_tracks", "station_limits"]

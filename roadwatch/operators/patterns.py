@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadwatch.functions.broadcast import DEFAULT_MAX_ROWS
 from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, severe_overspeed, with_tie_id
 from roadwatch.operators.enrich import with_limits
 from roadwatch.operators.windows import duration_ms
@@ -48,18 +47,33 @@ def clone_plates(passages: DataFrame, within_s: int = 10, id_col: str = "event_i
         "car",
         F.when(F.col("action_time") > F.col("_prev.t"), F.col("_prev.m"))
          .otherwise(F.col("monitor_id")).alias("first_monitor"),
-        F.when(F.col("action_time") < F.col("_prev.t"), F.col("_prev.m"))
-         .otherwise(F.col("monitor_id")).alias("second_monitor"),
+        F.col("monitor_id").alias("second_monitor"),
         F.lit(CLONE_MSG).alias("msg"),
         "action_time",
     )
 
 
+def clone_plate_cars(passages: DataFrame, within_s: int = 10) -> DataFrame:
+    """The cars that :func:`clone_plates` reports at least once (``car``, distinct).
+
+    A car has a hit exactly if two of its passages lie within the limit: two
+    in one slice of that length, or the last of a slice and the first of the
+    next. One pre-aggregated shuffle, no ordering.
+    """
+    limit = (int(within_s) + 1) * 1000
+    t = F.col("action_time")
+    slot = F.expr(f"(action_time - pmod(action_time, {limit})) div {limit}")
+    copies = F.array(F.struct(slot.alias("s"), t.alias("own"), F.lit(None).cast("long").alias("after")),
+                     F.struct((slot - 1).alias("s"), F.lit(None).cast("long").alias("own"), t.alias("after")))
+    slots = passages.select("car", F.inline(copies)).groupBy("car", "s") \
+        .agg(F.count("own").alias("n"), F.max("own").alias("last"), F.min("after").alias("next"))
+    return slots.where((F.col("n") > 1) | (F.col("next") - F.col("last") < F.lit(limit))).select("car").distinct()
+
+
 def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float = SEVERE_FACTOR,
                       times: int = 3, within="2 minutes", default: int = DEFAULT_LIMIT,
                       emit: str = "all", id_col: str = "event_id",
-                      bucket_ms: int = DEFAULT_BUCKET_MS,
-                      max_broadcast_rows: int = DEFAULT_MAX_ROWS, bucketing: str = "time") -> DataFrame:
+                      bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time") -> DataFrame:
     """``times`` or more severe overspeeds of one car within ``within``.
 
     Semantics of the reference's pattern (single looping condition, relaxed
@@ -85,8 +99,7 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
         raise ValueError("emit must be 'all' or 'first'")
     span = duration_ms(within)
     width = max(int(bucket_ms), span)
-    hits = with_limits(with_tie_id(passages, id_col), monitors, default, max_broadcast_rows,
-                       keep=(id_col,)) \
+    hits = with_limits(with_tie_id(passages, id_col), monitors, default, keep=(id_col,)) \
         .where(severe_overspeed("limit_speed", "real_speed", factor)) \
         .select("car", "action_time", id_col, "monitor_id")
     if bucketing == "rank":

@@ -25,10 +25,12 @@ def duration_ms(d) -> int:
     """``"5 minutes"`` / ``"2 s"`` / ``120000`` -> milliseconds."""
     if isinstance(d, (int, float)):
         return int(d)
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]+?)s?\s*", str(d))
-    if not m or m.group(2).lower() not in _UNITS:
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]+)\s*", str(d))
+    unit = m.group(2).lower() if m else ""
+    unit = unit if unit in _UNITS else unit.removesuffix("s")
+    if unit not in _UNITS:
         raise ValueError(f"cannot read duration {d!r}")
-    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+    return int(m.group(1)) * _UNITS[unit]
 
 
 def _interval(d) -> str:
@@ -49,10 +51,23 @@ def avg_speed(passages: DataFrame, size="5 minutes", slide="1 minute", watermark
     Built-in ``sum``/``count`` aggregate partially before the shuffle (the
     reference's incremental accumulator). The average is rounded half up to
     cents from an exact decimal sum; ``car_count`` counts passages.
+
+    In batch, where the slide divides the size, passages are first aggregated
+    per slide-long pane and only the panes are copied into the windows that
+    hold them; a stream (``watermark``) uses Spark's sliding window.
     """
     df = with_event_time(passages, watermark=watermark)
-    g = df.groupBy(F.window("ts", _interval(size), _interval(slide)).alias("w"), "monitor_id") \
-        .agg(F.sum(F.col("speed").cast("decimal(18,4)")).alias("_s"), F.count("*").alias("_n"))
+    width, step = duration_ms(size), duration_ms(slide)
+    total, count = F.sum(F.col("speed").cast("decimal(18,4)")).alias("_s"), F.count("*").alias("_n")
+    if watermark is None and width % step == 0:
+        pane = F.col("action_time") - F.pmod(F.col("action_time"), F.lit(step))
+        panes = df.where("action_time IS NOT NULL").groupBy(pane.alias("_p"), "monitor_id").agg(total, count)
+        starts = F.explode(F.sequence(F.col("_p") - F.lit(width - step), F.col("_p"), F.lit(step).cast("long")))
+        g = panes.select("monitor_id", "_s", "_n", starts.alias("start_time")).groupBy("start_time", "monitor_id") \
+            .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+        return g.select("start_time", (F.col("start_time") + F.lit(width)).alias("end_time"), "monitor_id",
+                        rounded_average("_s", "_n").alias("avg_speed"), F.col("_n").cast("int").alias("car_count"))
+    g = df.groupBy(F.window("ts", _interval(size), _interval(slide)).alias("w"), "monitor_id").agg(total, count)
     return g.select(ts_to_millis("w.start").alias("start_time"), ts_to_millis("w.end").alias("end_time"),
                     "monitor_id", rounded_average("_s", "_n").alias("avg_speed"),
                     F.col("_n").cast("int").alias("car_count"))
@@ -92,59 +107,75 @@ def area_distinct_approx(passages: DataFrame, size="10 minutes", rsd: float = 0.
         .agg(F.approx_count_distinct("car", rsd).alias("car_count"))
 
 
+#: Time buckets per window of the running count: the scan's unit of work is
+#: (area, bucket), so a busy area's window spreads over this many tasks.
+RUNNING_BUCKETS = 64
+
+
 def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str = "event_id",
-                          bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time",
-                          method: str = "exact") -> DataFrame:
-    """F3 (exact): one row per passage with the number of distinct cars seen so far
-    in its area and tumbling window (event-time order, ties by ``id_col``).
-
-    The count at a passage is the number of cars whose first passage in the
-    window is at or before it. First passages come from a grouped minimum
-    (partial aggregation, so a busy car shrinks map-side); they are unioned
-    into the passages as weight-1 markers that sort just before their own
-    passage, and a skew-safe running sum over ``(area, window)`` counts
-    them -- no join back and a single large shuffle.
+                          bucket_ms: int | None = None, bucketing: str = "time",
+                          method: str = "exact", bits: int = 1 << 22) -> DataFrame:
+    """one row per passage with the number of distinct cars seen so far in its
+    area and tumbling window (event-time order, ties by ``id_col``).
+
+    ``method="exact"``: a passage counts if it is its car's first in the
+    window (rows without a car never count, as in :func:`area_distinct`).
+    ``method="bloom"``: the fixed bitmap of the original, two bits per car out
+    of ``bits`` (from md5, which other engines share); a passage counts if it
+    is the first to set one of its bits, so the count may be low.
+
+    First passages are marked with a row number over ``(area, window, car)``
+    or ``(area, window, bit)``, so a busy area is spread over its cars; a
+    skew-safe running sum over ``(area, window)`` in time buckets of a
+    fraction of the window (:data:`RUNNING_BUCKETS`, or ``bucket_ms``) adds
+    them up. The input is read once.
     """
-    if method != "exact":
-        raise ValueError("batch running distinct is exact; the Bloom form is "
-                         "roadwatch.streaming.stream_area_distinct_running(method='bloom')")
+    if method not in ("exact", "bloom"):
+        raise ValueError("method must be 'exact' or 'bloom'")
     order = ["action_time", id_col]
-    d = _tumbling(with_tie_id(passages, id_col), duration_ms(size))
+    width = duration_ms(size)
     cols = ["area_id", "start_time", "end_time", "car", "action_time", id_col]
-    firsts = d.groupBy("area_id", "start_time", "end_time", "car") \
-        .agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_f")) \
-        .select("area_id", "start_time", "end_time", "car",
-                *[F.col(f"_f.{c}").alias(c) for c in order],
-                F.lit(1).cast("long").alias("_w"), F.lit(0).alias("_row"))
-    rows = d.select(*cols, F.lit(0).cast("long").alias("_w"), F.lit(1).alias("_row"))
-    u = bucketed(rows.unionByName(firsts), ["area_id", "start_time"], order + ["_row"], "action_time",
-                 bucket_ms, bucketing)
-    u = keyed_scan(u, ["area_id", "start_time"], order + ["_row"], [("distinct_cars", "sum", F.col("_w"))])
-    return u.where(F.col("_row") == 1).select(*cols, "distinct_cars")
+    d = _tumbling(with_tie_id(passages, id_col), width).select(*cols)
+    if method == "exact":
+        nth = F.row_number().over(Window.partitionBy("area_id", "start_time", "car").orderBy(*order))
+        marked = d.withColumn("_w", F.when((nth == 1) & F.col("car").isNotNull(), 1).otherwise(0).cast("long"))
+    else:
+        offsets = [F.pmod(F.conv(F.substring(F.md5("car"), at, 15), 16, 10).cast("long"), F.lit(bits)) for at in (1, 17)]
+        nth = F.row_number().over(Window.partitionBy("area_id", "start_time", "_bit").orderBy(*order, "_i"))
+        touched = d.select(*cols, F.posexplode(F.array(*offsets)).alias("_i", "_bit"))
+        first = F.when((nth == 1) & F.col("_bit").isNotNull(), 1).otherwise(0)
+        # Both bits of a passage are brought together again by their position in the scan.
+        marked = touched.withColumn("_f", first.cast("long")).groupBy(*cols, "_i").agg(F.max("_f").alias("_f"), F.count("*").alias("_n"))
+        marked = marked.groupBy(*cols).agg(F.max("_f").alias("_w"), F.max("_n").alias("_n")) \
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))) \
+            .withColumn("_w", F.when(F.col("_copy") == 1, F.col("_w")).otherwise(0)).select(*cols, "_w")
+    u = bucketed(marked, ["area_id", "start_time"], order, "action_time",
+                 bucket_ms or max(1, width // RUNNING_BUCKETS), bucketing)
+    u = keyed_scan(u, ["area_id", "start_time"], order, [("distinct_cars", "sum", F.col("_w"))])
+    return u.select(*cols, "distinct_cars")
 
 
 def count_batches(df: DataFrame, n: int = 10, order=("action_time", "event_id"),
                   drop_incomplete: bool = True, num_partitions: int | None = None,
-                  bucketing: str = "time", bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+                  bucketing: str = "rank", bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
     """E5: consecutive groups of ``n`` rows in global ``order``; a trailing partial
     group is dropped (it never fires), unless ``drop_incomplete=False``.
 
     A global position is a running count over a key-less scan: rows are cut
-    into time buckets of ``order[0]`` (epoch ms), numbered inside each bucket,
-    and offset by the counts of earlier buckets (one summary row per bucket).
-    Everything is a function of the data, so recomputed tasks number rows the
-    same way and nothing is materialised. ``bucketing="rank"`` balances a
-    burst that fills one time bucket (range buckets, checkpointed -- see
-    :func:`roadwatch.plans.scan.with_rank_bucket`). The row count for
-    ``drop_incomplete`` is one scalar aggregate.
+    into balanced ranges of ``order`` (range buckets, checkpointed -- see
+    :func:`roadwatch.plans.scan.with_rank_bucket`), numbered inside each, and
+    offset by the counts of earlier ones (one summary row per range); the
+    total comes from the same summary. ``bucketing="time"`` cuts by time
+    slices of ``order[0]`` (epoch ms) instead and materialises nothing; a
+    slice is one task, so it must be narrow enough. Rows with a NULL time come
+    first.
     """
     order = list(order)
     d = bucketed(df, [], order, order[0], bucket_ms, bucketing) if bucketing == "time" \
         else with_rank_bucket(df, [], order, num_partitions)
-    d = keyed_scan(d, [], order, [("_pos", "sum", F.lit(1).cast("long"))])
-    out = d.withColumn("row_index", F.col("_pos") - 1) \
-        .withColumn("batch_id", F.expr(f"row_index div {int(n)}")).drop("_pos", "_tb")
+    one = F.lit(1).cast("long")
+    d = keyed_scan(d, [], order, [("_pos", "sum", one), ("_total", "total", one)])
+    out = d.withColumn("row_index", F.col("_pos") - 1).withColumn("batch_id", F.expr(f"row_index div {int(n)}"))
     if drop_incomplete:
-        total = df.count()
-        out = out.where(F.col("row_index") < F.lit((total // int(n)) * int(n)))
-    return out
+        out = out.where(F.col("row_index") < F.expr(f"_total div {int(n)}") * F.lit(int(n)))
+    return out.drop("_pos", "_total", "_tb")

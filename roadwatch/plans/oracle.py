@@ -111,7 +111,7 @@ i AS (SELECT *, max(CASE WHEN brk = 1 THEN seq END) OVER (PARTITION BY car ORDER
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS istart FROM k)
 SELECT car,
        CASE WHEN action_time > pt THEN pm ELSE monitor_id END AS first_monitor,
-       CASE WHEN action_time < pt THEN pm ELSE monitor_id END AS second_monitor,
+       monitor_id AS second_monitor,
        '涉嫌套牌车' AS msg, action_time
 FROM i WHERE (seq - istart) % 2 = 1""",
 
@@ -290,3 +290,52 @@ FROM o"""
 
 
 SQL["pair_actions_replay"] = _REPLAY_SQL
+
+SQL["parse_violations"] = BASE + """
+SELECT car, msg, create_time FROM violations"""
+
+SQL["parse_police_actions"] = BASE + """
+SELECT police_id, car, action_status, action_time FROM actions"""
+
+SQL["station_table"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS monitor_id, s_name AS road_id, CAST(s_nationkey AS INTEGER) AS speed_limit
+FROM supplier WHERE s_nationkey > 0"""
+
+SQL["violation_table"] = """
+SELECT CAST(l_orderkey AS VARCHAR) AS car, CAST(l_partkey AS VARCHAR) AS msg, CAST(l_suppkey AS BIGINT) AS create_time
+FROM lineitem"""
+
+SQL["newest_tracks"] = f"""
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY car ORDER BY row_key) AS BIGINT) AS rank
+               FROM ({SQL['tracks']})) WHERE rank <= 5"""
+
+SQL["outcome_tables"] = f"""
+SELECT *, outcome AS side FROM ({SQL['pair_actions']})"""
+
+SQL["area_counters"] = f"""
+SELECT CAST(end_time AS VARCHAR) || '_' || area_id AS count_key, max(distinct_cars) AS distinct_cars
+FROM ({SQL['area_distinct_running']}) GROUP BY ALL"""
+
+_BIT = "CAST(('0x' || substr(md5(car), {at}, 15))::BIGINT % 4096 AS BIGINT)"
+SQL["area_distinct_running_bloom"] = BASE + f"""
+, d AS (SELECT *, action_time - action_time % {DAY} AS start_time, {_BIT.format(at=1)} AS b1, {_BIT.format(at=17)} AS b2
+        FROM passages),
+t AS (SELECT area_id, start_time, action_time, event_id, b1 AS bit, 0 AS i FROM d
+      UNION ALL SELECT area_id, start_time, action_time, event_id, b2, 1 FROM d),
+f AS (SELECT *, row_number() OVER (PARTITION BY area_id, start_time, bit ORDER BY action_time, event_id, i) = 1 AS setter FROM t),
+n AS (SELECT area_id, start_time, event_id, CASE WHEN bool_or(setter) THEN 1 ELSE 0 END AS w FROM f GROUP BY ALL)
+SELECT d.area_id, d.start_time, d.start_time + {DAY} AS end_time, d.car, d.action_time, d.event_id,
+       CAST(sum(n.w) OVER (PARTITION BY d.area_id, d.start_time ORDER BY d.action_time, d.event_id
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS distinct_cars
+FROM d JOIN n ON d.event_id = n.event_id AND d.area_id = n.area_id AND d.start_time = n.start_time"""
+
+SQL["area_messages"] = f"""
+SELECT *, '区域' || area_id || ',在窗口其实时间' || start_time || ',到窗口结束时间' || end_time
+          || ' ,一共有' || car_count || ' 辆车' AS message
+FROM ({SQL['area_distinct']})"""
+
+SQL["top_n_messages"] = f"""
+SELECT end_time, '在窗口' || min(start_time) || ' ----' || end_time || ' 时间范围内:' || '整个城市最拥堵的前3个卡口是:'
+       || string_agg('卡口:' || monitor_id || ',经过的车辆数量为:' || car_count || ',平均车速为:' || CAST(avg_speed AS VARCHAR), '' ORDER BY rank)
+       || chr(10) AS message
+FROM ({SQL['top_n_monitors']}) GROUP BY end_time"""

@@ -14,14 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadwatch.operators import (
-    area_distinct, area_distinct_approx, area_distinct_running, avg_speed, clone_plates,
-    count_batches, dangerous_driving, interval_join, overspeed_passages, pair_actions,
+    area_distinct, area_distinct_approx, area_distinct_running, avg_speed, clone_plate_cars, clone_plates,
+    count_batches, dangerous_driving, interval_join, newest_tracks, overspeed_passages, pair_actions,
     top_n_monitors, tracks, with_limits,
 )
 from roadwatch.schemas import PASSAGE_COLS
-from roadwatch.sinks.writers import violations_to_insert
+from roadwatch.functions.messages import area_message, top_n_message
+from roadwatch.sinks.writers import split_outcomes, upsert_counts, violations_to_insert
 from roadwatch.sources.derived import Tables, passages_from_events, violations_from_events
-from roadwatch.sources.lines import parse_passages, to_lines
+from roadwatch.sources.lines import (
+    POLICE_FIELDS, VIOLATION_FIELDS, parse_passages, parse_police_actions, parse_violations, to_lines,
+)
+from roadwatch.sources.tables import read_monitors, read_violations
 
 # Parameters of the registered queries (test-data scale).
 AVG_SIZE, AVG_SLIDE = "1 day", "6 hours"
@@ -33,6 +37,8 @@ MATCH_SPAN = "2 hours"
 PAIR_TIMEOUT = "12 hours"
 BATCH_N = 7
 TOP_N = 3
+NEWEST_K = 5
+BLOOM_BITS = 4096           # small enough here that bits do collide
 
 
 def q_parse_passages(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,8 +155,55 @@ def q_tracks(spark: SparkSession, sf: str) -> DataFrame:
     what the clone-plate job writes: every car with a clone-plate warning (here
     within 5 minutes)."""
     passages = Tables(spark, sf).passages()
-    listed = clone_plates(passages, within_s=LIST_CLONE_WITHIN_S).select("car")
-    return tracks(passages, listed)
+    return tracks(passages, clone_plate_cars(passages, within_s=LIST_CLONE_WITHIN_S))
+
+
+def q_newest_tracks(spark: SparkSession, sf: str) -> DataFrame:
+    return newest_tracks(q_tracks(spark, sf), NEWEST_K)
+
+
+def q_parse_violations(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_violations(to_lines(Tables(spark, sf).violations(), VIOLATION_FIELDS))
+
+
+def q_parse_police_actions(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_police_actions(to_lines(Tables(spark, sf).police_actions(), POLICE_FIELDS))
+
+
+def q_station_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The station reader takes columns by position: here supplier's first four."""
+    return read_monitors(spark, f"{sf}/supplier.parquet").drop("area_id")
+
+
+def q_violation_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The violation-list reader by position: lineitem's order, part and supplier keys."""
+    return read_violations(spark, f"{sf}/lineitem.parquet")
+
+
+def q_outcome_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The side outputs of the pairing, each under its tag."""
+    sides = split_outcomes(q_pair_actions(spark, sf))
+    out = None
+    for tag, df in sides.items():
+        part = df.withColumn("side", F.lit(tag))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_area_counters(spark: SparkSession, sf: str) -> DataFrame:
+    return upsert_counts(q_area_distinct_running(spark, sf), value="distinct_cars")
+
+
+def q_area_distinct_running_bloom(spark: SparkSession, sf: str) -> DataFrame:
+    return area_distinct_running(Tables(spark, sf).passages(), AREA_WINDOW, method="bloom", bits=BLOOM_BITS)
+
+
+def q_area_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return area_message(q_area_distinct(spark, sf))
+
+
+def q_top_n_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return top_n_message(q_top_n_monitors(spark, sf), TOP_N)
 
 
 def q_count_batches(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,4 +232,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "violations_per_day": q_violations_per_day,
     "tracks": q_tracks,
     "count_batches": q_count_batches,
+    "parse_violations": q_parse_violations,
+    "parse_police_actions": q_parse_police_actions,
+    "station_table": q_station_table,
+    "violation_table": q_violation_table,
+    "newest_tracks": q_newest_tracks,
+    "outcome_tables": q_outcome_tables,
+    "area_counters": q_area_counters,
+    "area_distinct_running_bloom": q_area_distinct_running_bloom,
+    "area_messages": q_area_messages,
+    "top_n_messages": q_top_n_messages,
 }

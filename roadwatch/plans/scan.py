@@ -2,13 +2,16 @@
 
 A plain ``Window.partitionBy(key).orderBy(time)`` puts every row of a key
 into one task, so one busy car or station (a third of all rows, say) would
-serialise the job. Here a key's ordered sequence is cut into time buckets
-``(key, bucket)``; each bucket is scanned locally with window functions, a
-one-row-per-bucket summary is pre-aggregated map-side and scanned per key
-(a key only contributes one summary row per bucket), and the carry is joined
-back on ``(key, bucket)`` -- the partitioning the local window already has,
-so only the small summary side is shuffled. AQE's skew-join split covers a
-bucket that is itself oversized.
+serialise the job. Here a key's ordered sequence is cut into buckets
+``(key, bucket)``; rows are shuffled once by that pair and each bucket is
+scanned locally with window functions. One summary row per bucket, computed
+from the same shuffled rows (both branches ask for the same columns, so Spark
+reads and shuffles the input once and reuses the exchange), is scanned per key,
+and the carry is joined back on the partitioning the rows already have.
+
+A bucket is one task, so it must be small: time buckets by choosing their
+width, rank buckets by construction. Keys and buckets are compared as structs,
+in which NULL equals NULL, so rows with a NULL key or time keep their place.
 
 Scan kinds (all inclusive of the current row unless noted):
 
@@ -16,6 +19,7 @@ Scan kinds (all inclusive of the current row unless noted):
 ``next``   value of ``expr`` on the next row of the key (NULL on the last)
 ``sum``    running sum of ``expr``
 ``max``    running max of ``expr``
+``total``  sum of ``expr`` over the whole key
 """
 
 from __future__ import annotations
@@ -71,6 +75,13 @@ def bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], time_col:
     raise ValueError("bucketing must be 'time' or 'rank'")
 
 
+def _shuffled(df: DataFrame, keys: Sequence[str], bucket: str) -> tuple[DataFrame, Column]:
+    """``df`` shuffled once by ``_part`` (key and bucket), and an aggregate that needs all
+    its columns: a summary that includes it reads the very same exchange."""
+    part = df.withColumn("_part", F.struct(*keys, bucket)).repartition("_part")
+    return part, F.max(F.xxhash64(*part.columns)).alias("_all")
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                specs: Sequence[tuple[str, str, Column]],
                bucket: str = BUCKET_COL) -> DataFrame:
@@ -80,49 +91,35 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     and ``bucket`` a column that is non-decreasing along it.
     """
     keys, order = list(keys), list(order)
-    part = keys + [bucket]
-    w_loc = Window.partitionBy(*part).orderBy(*order)
+    rows, whole = _shuffled(df, keys, bucket)
+    w_loc = Window.partitionBy("_part").orderBy(*order)
     w_cum = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ord_struct = F.struct(*[F.col(c) for c in order])
 
-    staged = df.withColumn("_scan_first", F.lag(F.lit(1)).over(w_loc).isNull()) \
+    staged = rows.withColumn("_scan_first", F.lag(F.lit(1)).over(w_loc).isNull()) \
         .withColumn("_scan_last", F.lead(F.lit(1)).over(w_loc).isNull())
+    local = {"prev": lambda e: F.lag(e).over(w_loc), "next": lambda e: F.lead(e).over(w_loc),
+             "sum": lambda e: F.sum(e).over(w_cum), "max": lambda e: F.max(e).over(w_cum), "total": lambda e: F.lit(0)}
+    edge = {"prev": lambda e: F.max_by(e, ord_struct), "next": lambda e: F.min_by(e, ord_struct),
+            "sum": F.sum, "max": F.max, "total": F.sum}
     aggs: list[Column] = []
     for name, kind, expr in specs:
-        if kind == "prev":
-            staged = staged.withColumn(f"_l_{name}", F.lag(expr).over(w_loc))
-            aggs.append(F.max_by(expr, ord_struct).alias(f"_a_{name}"))
-        elif kind == "next":
-            staged = staged.withColumn(f"_l_{name}", F.lead(expr).over(w_loc))
-            aggs.append(F.min_by(expr, ord_struct).alias(f"_a_{name}"))
-        elif kind == "sum":
-            staged = staged.withColumn(f"_l_{name}", F.sum(expr).over(w_cum))
-            aggs.append(F.sum(expr).alias(f"_a_{name}"))
-        elif kind == "max":
-            staged = staged.withColumn(f"_l_{name}", F.max(expr).over(w_cum))
-            aggs.append(F.max(expr).alias(f"_a_{name}"))
-        else:
+        if kind not in local:
             raise ValueError(f"unknown scan kind {kind!r}")
+        staged = staged.withColumn(f"_l_{name}", local[kind](expr))
+        aggs.append(edge[kind](expr).alias(f"_a_{name}"))
 
-    # One row per (key, bucket), partially aggregated before its shuffle.
-    summary = df.groupBy(*part).agg(*aggs)
-    w_s = Window.partitionBy(*keys).orderBy(bucket)
+    # One row per (key, bucket), from the same shuffled rows.
+    summary = rows.groupBy("_part").agg(whole, *aggs).where(F.col("_all").isNotNull())
+    w_key = Window.partitionBy(*[F.col(f"_part.{k}") for k in keys])
+    w_s = w_key.orderBy(F.col(f"_part.{bucket}"))
     w_before = w_s.rowsBetween(Window.unboundedPreceding, -1)
-    carries = []
-    for name, kind, _ in specs:
-        a = F.col(f"_a_{name}")
-        if kind == "prev":
-            c = F.lag(a).over(w_s)
-        elif kind == "next":
-            c = F.lead(a).over(w_s)
-        elif kind == "sum":
-            c = F.sum(a).over(w_before)
-        else:
-            c = F.max(a).over(w_before)
-        carries.append(c.alias(f"_c_{name}"))
-    carry = summary.select(*part, *carries)
+    carry_of = {"prev": lambda a: F.lag(a).over(w_s), "next": lambda a: F.lead(a).over(w_s),
+                "sum": lambda a: F.sum(a).over(w_before), "max": lambda a: F.max(a).over(w_before),
+                "total": lambda a: F.sum(a).over(w_key)}
+    carry = summary.select("_part", *[carry_of[kind](F.col(f"_a_{name}")).alias(f"_c_{name}") for name, kind, _ in specs])
 
-    out = staged.join(carry, on=part, how="inner")
+    out = staged.join(carry, "_part", "inner")
     for name, kind, _ in specs:
         loc, car = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if kind == "prev":
@@ -131,10 +128,12 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             val = F.when(F.col("_scan_last"), car).otherwise(loc)
         elif kind == "sum":
             val = F.coalesce(car, F.lit(0)) + loc
+        elif kind == "total":
+            val = car
         else:
             val = F.greatest(car, loc)
         out = out.withColumn(name, val).drop(f"_l_{name}", f"_c_{name}")
-    return out.drop("_scan_first", "_scan_last")
+    return out.drop("_scan_first", "_scan_last", "_part")
 
 
 def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column,
@@ -148,22 +147,20 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
     (position of the island's first row), so ``_seq - _island_start`` is the
     offset inside the island.
 
-    Plan: rows are shuffled on ``(key, bucket)`` and scanned locally; one
+    Plan: rows are shuffled once on ``(key, bucket)`` and scanned locally; one
     aggregate of the local scan per bucket (count, first and last payload,
     last island start) gives each bucket its neighbours across bucket edges
-    and its island state. Spark computes that aggregate from a column-pruned
-    re-run of the local scan (a second, narrower shuffle of only the key,
-    order and link fields). The summaries are combined per key (one row per
-    bucket) and joined back on the partitioning the scan already has.
+    and its island state. It repeats the local scan over the reused exchange,
+    without another read or shuffle. The summaries are combined per key (one
+    row per bucket) and joined back on the partitioning the rows already have.
     """
     keys, order = list(keys), list(order)
-    part = keys + [bucket]
+    rows, whole = _shuffled(df.withColumn("_pl", payload), keys, bucket)
     ord_struct = F.struct(*[F.col(c) for c in order])
-    w_loc = Window.partitionBy(*part).orderBy(*order)
+    w_loc = Window.partitionBy("_part").orderBy(*order)
     w_cum = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    staged = df.withColumn("_pl", payload) \
-        .withColumn("_li", F.row_number().over(w_loc) - 1) \
+    staged = rows.withColumn("_li", F.row_number().over(w_loc) - 1) \
         .withColumn("_lp", F.lag("_pl").over(w_loc)) \
         .withColumn("_ln", F.lead("_pl").over(w_loc))
     staged = staged.withColumn("_llink", F.when(F.col("_li") > 0, F.coalesce(link(F.col("_lp"), F.col("_pl")), F.lit(False)))) \
@@ -173,10 +170,11 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
 
     # Per bucket, from the local scan: size, edge rows and the last island start
     # after the bucket's first row.
-    summary_rows = staged.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_n"), F.min_by("_pl", ord_struct).alias("_first"),
-        F.max_by("_pl", ord_struct).alias("_last"), F.max("_lstart").alias("_bstart"))
-    w_k = Window.partitionBy(*keys).orderBy(bucket)
+    summary_rows = staged.groupBy("_part").agg(
+        whole, F.count(F.lit(1)).alias("_n"), F.min_by("_pl", ord_struct).alias("_first"),
+        F.max_by("_pl", ord_struct).alias("_last"), F.max("_lstart").alias("_bstart")) \
+        .where(F.col("_all").isNotNull())
+    w_k = Window.partitionBy(*[F.col(f"_part.{k}") for k in keys]).orderBy(F.col(f"_part.{bucket}"))
     summary = summary_rows \
         .withColumn("_off", F.coalesce(F.sum("_n").over(w_k.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
         .withColumn("_prev_last", F.lag("_last").over(w_k)) \
@@ -189,9 +187,9 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
                               F.when(~F.col("_first_link"), F.col("_off")))
     summary = summary.withColumn("_bucket_start", bucket_start) \
         .withColumn("_carry_start", F.max("_bucket_start").over(w_k.rowsBetween(Window.unboundedPreceding, -1))) \
-        .select(*part, "_off", "_prev_last", "_first_link", "_last_next_link", "_carry_start")
+        .select("_part", "_off", "_prev_last", "_first_link", "_last_next_link", "_carry_start")
 
-    out = staged.join(summary, part, "inner")
+    out = staged.join(summary, "_part", "inner")
     first = F.col("_li") == 0
     out = out.withColumn("_prev", F.when(first, F.col("_prev_last")).otherwise(F.col("_lp"))) \
         .withColumn("_link", F.when(first, F.col("_first_link")).otherwise(F.col("_llink"))) \
@@ -202,5 +200,5 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
             F.col("_carry_start"),
             F.when(~F.col("_first_link"), F.col("_off")),
             F.col("_off") + F.col("_lstart")))
-    return out.drop("_pl", "_li", "_lp", "_ln", "_llink", "_lnext", "_lstart", "_off", "_prev_last",
+    return out.drop("_part", "_pl", "_li", "_lp", "_ln", "_llink", "_lnext", "_lstart", "_off", "_prev_last",
                     "_first_link", "_last_next_link", "_carry_start")

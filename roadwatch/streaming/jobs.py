@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, millis_to_ts, severe_overspeed, with_tie_id
-from roadwatch.operators.enrich import overspeed_passages
+from roadwatch.operators.enrich import overspeed_passages, station_limits
 from roadwatch.operators.matching import _REPLAY_SCHEMA, _events
 from roadwatch.operators.patterns import CLONE_MSG
 from roadwatch.operators.windows import avg_speed, duration_ms, top_n_monitors
@@ -170,11 +170,7 @@ def stream_dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: f
 
 def _severe_hits(timed: DataFrame, monitors: DataFrame, factor: float, default: int, keep):
     """Severe passages of a watermarked stream, keeping its event-time column."""
-    from roadwatch.functions.broadcast import sized_broadcast
-    from roadwatch.sources.tables import one_row_per_station
-    dim = sized_broadcast(one_row_per_station(monitors.where(F.col("speed_limit") > 0))
-                          .select("monitor_id", F.col("speed_limit").alias("limit_speed")))
-    j = timed.join(dim, "monitor_id", "left") \
+    j = timed.join(station_limits(monitors), "monitor_id", "left") \
         .withColumn("limit_speed", F.coalesce(F.col("limit_speed"), F.lit(int(default))))
     return j.where(severe_overspeed("limit_speed", "speed", factor)).select(*keep)
 
