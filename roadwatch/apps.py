@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from roadwatch.functions.columns import DEFAULT_LIMIT
 from roadwatch.functions.messages import area_message, danger_message, pair_message, police_message
 from roadwatch.operators import listed_cars_only, overspeed_passages, track_rows
-from roadwatch.sinks import write_lines_kafka, write_tracks
+from roadwatch.sinks import write_console, write_lines_kafka, write_tracks
+from roadwatch.session import STREAM_CONF
 from roadwatch.sources.lines import (
     parse_passages, parse_police_actions, parse_violations, read_lines, read_lines_stream,
 )
@@ -67,51 +68,54 @@ def average_speed(spark, lines: str, out: str, fmt: str = "text", size="5 minute
 
 def top_n(spark, lines: str, fmt: str = "text", n: int = 3, size="5 minutes",
           slide="1 minute", delay="5 seconds", out: str | None = None, **options):
-    """Busiest stations per window -> console (or a parquet folder)."""
+    """Busiest stations per window -> table ``out`` (or, for debugging, the console)."""
     from roadwatch.functions.messages import top_n_message
     passages = parse_passages(_lines(spark, lines, fmt, options))
     avg = jobs.stream_avg_speed(passages, size, slide, delay)
 
+    to_table = ssinks.epoch_writer(out) if out else None
+
     def sink(top, epoch):
-        if out:
-            ssinks.write_epoch(top, out, epoch)
+        if to_table:
+            to_table(top_n_message(top, n), epoch)
         else:
-            top_n_message(top).show(truncate=False)
+            write_console(top_n_message(top, n))
     return jobs.start(avg, "top_n", foreach_batch=jobs.top_n_batch_writer(n, sink))
 
 
 def clone_plates(spark, lines: str, out: str, fmt: str = "text", within_s: int = 10,
-                 delay="0 seconds", **options):
+                 delay="5 seconds", **options):
     """Clone-plate warning -> violation list, at most once per car and day."""
     passages = parse_passages(_lines(spark, lines, fmt, options))
-    warnings = jobs.stream_clone_plates(passages, within_s, delay, id_col="none") \
+    warnings = jobs.stream_clone_plates(passages, within_s, delay) \
         .select("car", "msg", F.col("action_time").alias("create_time"))
     return jobs.start(warnings, "clone_plates", foreach_batch=ssinks.violation_writer(out))
 
 
 def dangerous_driving(spark, lines: str, stations: str, fmt: str = "text",
                       stations_fmt: str = "parquet", within="2 minutes", times: int = 3,
-                      default: int = DEFAULT_LIMIT, delay="5 seconds", sink: str = "console", **options):
-    """Dangerous-driving alerts -> console."""
+                      default: int = DEFAULT_LIMIT, delay="5 seconds", out: str | None = None,
+                      sink: str = "console", **options):
+    """Dangerous-driving alerts -> table ``out`` (or, for debugging, the console)."""
     passages = parse_passages(_lines(spark, lines, fmt, options))
     alerts = jobs.stream_dangerous_driving(passages, read_monitors(spark, stations, stations_fmt),
                                            times=times, within=within, default=default,
-                                           delay=delay, id_col="none")
-    return jobs.start(danger_message(alerts), "dangerous_driving", sink=sink)
+                                           delay=delay)
+    return _alerts(danger_message(alerts), "dangerous_driving", out, sink)
 
 
 def police_join(spark, violations: str, actions: str, fmt: str = "text", lower="-5 seconds",
-                upper="5 seconds", delay="2 seconds", sink: str = "console", **options):
-    """Violations joined with police actions within an interval -> console."""
+                upper="5 seconds", delay="2 seconds", out: str | None = None, sink: str = "console", **options):
+    """Violations joined with police actions within an interval -> table ``out`` (or the console)."""
     v = parse_violations(_lines(spark, violations, fmt, options))
     a = parse_police_actions(_lines(spark, actions, fmt, options))
     joined = jobs.stream_interval_join(v, a, lower, upper, delay)
-    return jobs.start(police_message(joined), "police_join", sink=sink)
+    return _alerts(police_message(joined), "police_join", out, sink)
 
 
 def police_pairing(spark, violations: str, actions: str, outcomes: dict[str, str] | None = None,
                    fmt: str = "text", timeout="5 seconds", delay="2 seconds", mode: str = "paired",
-                   **options):
+                   out: str | None = None, **options):
     """Violations paired with police actions; unmatched ones to side tables."""
     # Text records carry no id: ties among equal times use an id derived from each record.
     v = parse_violations(_lines(spark, violations, fmt, options))
@@ -119,7 +123,7 @@ def police_pairing(spark, violations: str, actions: str, outcomes: dict[str, str
     pairs = jobs.stream_pair_actions(v, a, timeout, delay, mode)
     if outcomes:
         return jobs.start(pairs, "police_pairing", foreach_batch=ssinks.outcome_writer(outcomes))
-    return jobs.start(pair_message(pairs), "police_pairing", sink="console")
+    return _alerts(pair_message(pairs), "police_pairing", out, "console")
 
 
 def vehicle_tracks(spark, log: str, violation_list: str, out: str, list_fmt: str = "parquet"):
@@ -129,28 +133,35 @@ def vehicle_tracks(spark, log: str, violation_list: str, out: str, list_fmt: str
     write_tracks(track_rows(listed_cars_only(passages, listed)), out)
 
 
-def area_distribution(spark, lines: str, fmt: str = "text", size="10 seconds", delay="0 seconds",
-                      time: str = "event", sink: str = "console", **options):
-    """Exact distinct cars per area and window -> console."""
+def area_distribution(spark, lines: str, fmt: str = "text", size="10 seconds", delay="5 seconds",
+                      time: str = "event", out: str | None = None, sink: str = "console", **options):
+    """Exact distinct cars per area and window -> table ``out`` (or the console)."""
     passages = parse_passages(_lines(spark, lines, fmt, options))
     counts = jobs.stream_area_distinct(passages, size, delay, time)
-    return jobs.start(area_message(counts), "area_distribution", sink=sink)
+    return _alerts(area_message(counts), "area_distribution", out, sink)
 
 
 def area_distribution_bloom(spark, lines: str, out: str, fmt: str = "text", size="10 minutes",
-                            bits: int = 1 << 22, delay="0 seconds", **options):
+                            bits: int = 1 << 22, delay="5 seconds", **options):
     """Running distinct cars per area (Bloom bitmap), every passage -> counter table."""
-    passages = parse_passages(_lines(spark, lines, fmt, options)).withColumn("event_id", F.lit(0).cast("long"))
+    passages = parse_passages(_lines(spark, lines, fmt, options))
     running = jobs.stream_area_distinct_bloom(passages, size, bits, delay)
     return jobs.start(running, "area_distribution_bloom",
                       foreach_batch=ssinks.counter_writer(out, value="distinct_cars"))
 
 
-def feed_kafka(spark, log: str, topic: str = "t_traffic_msb", **options):
+def feed_kafka(spark, log: str, topic: str, **options):
     """Replay a text log into a Kafka topic (each line one record, null key)."""
     write_lines_kafka(read_lines(spark, log), topic, **options)
 
 
+def _alerts(df: DataFrame, name: str, out: str | None, sink: str):
+    """Every row of the stream into table ``out``; without one, to ``sink`` (debugging)."""
+    if out:
+        return jobs.start(df, name, foreach_batch=ssinks.epoch_writer(out))
+    return jobs.start(df, name, sink=sink)
+
+
 def _ckpt(spark, name):
     from roadwatch.session import checkpoint_path
     return checkpoint_path(spark, f"app-{name}")
@@ -165,6 +176,9 @@ APPS = {
 }
 
 
+BATCH_APPS = ("vehicle_tracks", "feed_kafka")
+
+
 def _value(text: str):
     """``10`` -> 10, ``1.1`` -> 1.1, ``{'matched': '/t'}`` -> dict; anything else stays text."""
     try:
@@ -181,7 +195,12 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     kwargs = {k: _value(v) for k, v in (o.split("=", 1) for o in args.opt)}
     spark = SparkSession.builder.appName(f"roadwatch-{args.app}").getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if not (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        # A stream that is started again must find its checkpoint.
+        raise SystemExit("set spark.checkpoint.dir to a folder that all executors share")
+    for k, v in STREAM_CONF.items():
+        if args.app not in BATCH_APPS or k == "spark.sql.session.timeZone":
+            spark.conf.set(k, v)
     result = APPS[args.app](spark, **kwargs)
     if result is not None:
         result.awaitTermination()

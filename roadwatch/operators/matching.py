@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 
 from roadwatch.functions.columns import with_tie_id
 from roadwatch.operators.windows import duration_ms
-from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan, time_bucket
 
 
 def _bucket_expr(col: str, width: int):
-    return F.expr(f"({col} - pmod({col}, {width})) div {width}")
+    return time_bucket(col, width)
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_time",

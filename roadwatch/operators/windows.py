@@ -33,7 +33,7 @@ def duration_ms(d) -> int:
     return int(m.group(1)) * _UNITS[unit]
 
 
-def _interval(d) -> str:
+def interval_text(d) -> str:
     return f"{duration_ms(d)} milliseconds"
 
 
@@ -41,7 +41,7 @@ def with_event_time(df: DataFrame, time_col: str = "action_time", watermark=None
     """Add ``ts`` (TIMESTAMP from epoch ms); with ``watermark`` also bound the disorder."""
     out = df.withColumn("ts", millis_to_ts(time_col))
     if watermark is not None:
-        out = out.withWatermark("ts", _interval(watermark))
+        out = out.withWatermark("ts", interval_text(watermark))
     return out
 
 
@@ -67,7 +67,7 @@ def avg_speed(passages: DataFrame, size="5 minutes", slide="1 minute", watermark
             .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
         return g.select("start_time", (F.col("start_time") + F.lit(width)).alias("end_time"), "monitor_id",
                         rounded_average("_s", "_n").alias("avg_speed"), F.col("_n").cast("int").alias("car_count"))
-    g = df.groupBy(F.window("ts", _interval(size), _interval(slide)).alias("w"), "monitor_id").agg(total, count)
+    g = df.groupBy(F.window("ts", interval_text(size), interval_text(slide)).alias("w"), "monitor_id").agg(total, count)
     return g.select(ts_to_millis("w.start").alias("start_time"), ts_to_millis("w.end").alias("end_time"),
                     "monitor_id", rounded_average("_s", "_n").alias("avg_speed"),
                     F.col("_n").cast("int").alias("car_count"))

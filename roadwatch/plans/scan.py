@@ -34,11 +34,15 @@ BUCKET_COL = "_tb"
 DEFAULT_BUCKET_MS = 60 * 60 * 1000   # one hour of a key's events per local scan
 
 
+def time_bucket(time: str, width: int) -> Column:
+    """Floor bucket index of an epoch-ms expression (exact integer arithmetic)."""
+    return F.expr(f"({time} - pmod({time}, {width})) div {width}")
+
+
 def with_time_bucket(df: DataFrame, time_col: str, bucket_ms: int,
                      name: str = BUCKET_COL) -> DataFrame:
-    """Floor bucket index of an epoch-ms column (exact integer arithmetic)."""
-    w = int(bucket_ms)
-    return df.withColumn(name, F.expr(f"({time_col} - pmod({time_col}, {w})) div {w}"))
+    """Add the floor bucket index of an epoch-ms column."""
+    return df.withColumn(name, time_bucket(time_col, int(bucket_ms)))
 
 
 def with_rank_bucket(df: DataFrame, keys: Sequence[str], order: Sequence[str],

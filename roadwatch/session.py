@@ -20,18 +20,31 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+# Settings a streaming program applies to its session. The number of state
+# partitions is fixed in a query's checkpoint, and every stateful operator has
+# that many stores: it follows the cores, not the size of a batch shuffle.
+STREAM_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.shuffle.partitions": "2000",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 # Settings for the target deployment: ~1000 executors reading ~100 TB of
-# passages. Scan tasks of 512 MB give ~200,000 splits; the shuffles start at
-# 100,000 reducers (the sequential operators shuffle the projected rows, a few
-# tens of TB, so ~300 MB per reducer before compression) and AQE coalesces
-# them towards 256 MB and splits any reducer above 1 GB that feeds a join.
+# passages. Scan tasks of 1 GB give ~100,000 splits and the shuffles start at
+# 16,000 reducers: 1.6e9 blocks of ~20 KB for a 30 TB shuffle, which the driver's
+# map status and the disks can carry (100,000 reducers would make blocks of
+# 3 KB), ~2 GB per reducer, sorted with spill; AQE coalesces small ones towards
+# 256 MB and splits any reducer above 1 GB that feeds a join.
 # Broadcasts chosen at run time are capped at 64 MB per table.
 SCALE_CONF = {
-    "spark.sql.files.maxPartitionBytes": str(512 * 1024 ** 2),
-    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.files.maxPartitionBytes": str(1024 ** 3),
+    "spark.sql.shuffle.partitions": "16000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),

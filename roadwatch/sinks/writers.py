@@ -4,10 +4,12 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadwatch.functions.columns import DAY_MS, day_start_ms
+from roadwatch.functions.columns import day_start_ms
 from roadwatch.operators.enrich import last_write_per_row_key
 from roadwatch.schemas import TABLES
 
@@ -19,7 +21,7 @@ JDBC_TABLES = {"speeding": "t_speeding_info", "average_speed": "t_average_speed"
 def _write(df: DataFrame, target: str, fmt: str, mode: str, options: dict, table: str | None):
     w = df.write.mode(mode)
     if fmt == "jdbc":
-        opts = {"dbtable": table, "batchsize": "10000", **options}
+        opts = {"dbtable": table, "batchsize": "10000", **options}   # ``dbtable=`` names another table
         w.format("jdbc").option("url", target).options(**opts).save()
     else:
         w.format(fmt).options(**options).save(target)
@@ -59,8 +61,11 @@ def violations_to_insert(new: DataFrame, existing: DataFrame | None = None,
         return firsts.drop("_day")
     e = existing.select("car", F.col(existing.columns[2]).alias("_e"))
     eday = day_start_ms("_e")
+    # The day before is the one that holds the last millisecond before midnight (days
+    # are not 24 h long where clocks change).
+    before = day_start_ms(F.col("_e") - F.lit(1))
     blocked = e.select("car", F.explode(F.array(
-        eday, F.when(F.col("_e") == eday, eday - F.lit(DAY_MS)))).alias("_day")) \
+        eday, F.when(F.col("_e") == eday, before))).alias("_day")) \
         .where(F.col("_day").isNotNull()).distinct()
     return firsts.join(blocked, ["car", "_day"], "left_anti").drop("_day")
 
@@ -77,40 +82,42 @@ def append_violations_once_per_day(new: DataFrame, existing: DataFrame, target:
     return rows
 
 
-def write_tracks(tracks: DataFrame, target: str, mode: str = "append", epoch: int | None = None) -> None:
+def write_tracks(tracks: DataFrame, target: str, mode: str = "append", epoch: int | None = None,
+                 run: str = "batch") -> None:
     """B4 + H2: row-keyed track rows, newest first per car.
 
-    Last write wins per ``row_key``; files are range-partitioned and sorted on
-    ``row_key`` so each file holds a contiguous key range (parquet min/max
+    Last write wins per ``row_key``: every row carries ``written_ms``, the time
+    of its write, and readers keep the latest. Files are range-partitioned and
+    sorted on ``row_key`` so each holds a contiguous key range (parquet min/max
     statistics then prune files for a car lookup).
 
     With ``epoch`` (a stream's micro-batch id) the rows replace partition
-    ``epoch=<id>``, so a retried micro-batch does not add them twice.
+    ``run=<run>/epoch=<id>``, so a retried micro-batch does not add them twice.
     """
-    deduped = last_write_per_row_key(tracks)
+    deduped = last_write_per_row_key(tracks).withColumn("written_ms", F.lit(time.time_ns() // 1_000_000))
     laid_out = deduped.repartitionByRange("row_key").sortWithinPartitions("row_key")
     if epoch is None:
         laid_out.write.mode(mode).parquet(target)
     else:
-        laid_out.withColumn("epoch", F.lit(int(epoch)).cast("long")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(target)
+        laid_out.withColumn("run", F.lit(run)).withColumn("epoch", F.lit(int(epoch)).cast("long")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("run", "epoch").parquet(target)
 
 
 def latest_tracks(spark: SparkSession, target: str, car: str, k: int = 10) -> DataFrame:
     """Reader for B4's layout: the ``k`` newest passages of one car (a top-k report).
 
-    The prefix range filter on ``row_key`` is pushed into the parquet scan.
+    The prefix range filter on ``row_key`` is pushed into the parquet scan; the
+    car itself is compared too (car ``A_1`` shares the prefix of car ``A``).
     """
     lo, hi = car + "_", car + "_￿"
-    rows = spark.read.parquet(target).where((F.col("row_key") >= lo) & (F.col("row_key") < hi))
-    tie = "epoch" if "epoch" in rows.columns else None
-    rows = rows.withColumn("event_id", F.col(tie) if tie else F.lit(0))
+    rows = spark.read.parquet(target).where((F.col("row_key") >= lo) & (F.col("row_key") < hi) & (F.col("car") == car))
     return last_write_per_row_key(rows).orderBy("row_key").limit(k)
 
 
-def write_console(df: DataFrame, n: int = 20) -> None:
-    """Debug print (streams use ``format("console")``)."""
-    df.show(n, truncate=False)
+def write_console(df: DataFrame) -> None:
+    """Print every row in full, as the reference does. For debugging: the rows
+    pass through the driver; jobs write to a table instead."""
+    df.show(2 ** 31 - 1, truncate=False)
 
 
 def split_outcomes(df: DataFrame, col: str = "outcome") -> dict[str, DataFrame]:
@@ -129,7 +136,7 @@ def upsert_counts(df: DataFrame, key_cols=("end_time", "area_id"), value: str =
     return df.groupBy(key).agg(F.max(value).alias(value))
 
 
-def write_lines_kafka(df: DataFrame, topic: str = "t_traffic_msb", **options) -> None:
+def write_lines_kafka(df: DataFrame, topic: str, **options) -> None:
     """Each line as the record value with a null key."""
     df.select(F.col("value").cast("string").alias("value")).write.format("kafka") \
         .option("topic", topic).options(**options).save()

@@ -115,6 +115,4 @@ def read_lines_stream(spark: SparkSession, fmt: str = "text", path: str | None =
             raise ValueError("text stream needs a path")
         return reader.load(path)
     df = reader.load() if path is None else reader.load(path)
-    if fmt == "kafka":
-        return df.select(F.col("value").cast("string").alias("value"))
     return df.select(F.col("value").cast("string").alias("value"))

@@ -19,7 +19,9 @@ def _load(spark: SparkSession, source: str, fmt: str, options: dict) -> DataFram
 
 
 def read_monitors(spark: SparkSession, source: str, fmt: str = "parquet", **options) -> DataFrame:
-    """A7 + C3: ``monitor_id, road_id, speed_limit, area_id`` with ``speed_limit > 0``."""
+    """A7 + C3: ``monitor_id, road_id, speed_limit, area_id`` with ``speed_limit > 0``.
+
+    A JDBC source names its table with ``dbtable=`` (default ``t_monitor_info``)."""
     if fmt == "jdbc":
         options.setdefault("dbtable", "t_monitor_info")
     raw = _load(spark, source, fmt, options)
@@ -32,7 +34,7 @@ def read_monitors(spark: SparkSession, source: str, fmt: str = "parquet", **opti
 
 
 def read_violations(spark: SparkSession, source: str, fmt: str = "parquet", **options) -> DataFrame:
-    """The stored violation list ``car, msg, create_time`` (read once)."""
+    """The stored violation list ``car, msg, create_time`` (read once; JDBC: ``dbtable=``)."""
     if fmt == "jdbc":
         options.setdefault("dbtable", "t_violation_list")
     raw = _load(spark, source, fmt, options)

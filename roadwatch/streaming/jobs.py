@@ -19,21 +19,18 @@ from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, millis_to_
 from roadwatch.operators.enrich import overspeed_passages, station_limits
 from roadwatch.operators.matching import _REPLAY_SCHEMA, _events
 from roadwatch.operators.patterns import CLONE_MSG
-from roadwatch.operators.windows import avg_speed, duration_ms, top_n_monitors
+from roadwatch.operators.windows import avg_speed, duration_ms, interval_text, top_n_monitors
 from roadwatch.session import checkpoint_path
 from roadwatch.sources.lines import parse_passages, read_lines_stream
 from roadwatch.streaming import machines
 from roadwatch.streaming.state import fold_by_key
 
 
-def _interval(d) -> str:
-    return f"{duration_ms(d)} milliseconds"
-
-
 def watermarked(df: DataFrame, time_col: str, delay, ts_col: str = "ts") -> DataFrame:
     """Event-time column from epoch ms plus a bounded-disorder watermark (5 s / 2 s in the
-    reference; ``0 seconds`` for its ascending-timestamp jobs)."""
-    return df.withColumn(ts_col, millis_to_ts(time_col)).withWatermark(ts_col, _interval(delay))
+    reference; its ascending-timestamp jobs get 5 s too, since files and topic
+    partitions interleave)."""
+    return df.withColumn(ts_col, millis_to_ts(time_col)).withWatermark(ts_col, interval_text(delay))
 
 
 def passage_stream(spark: SparkSession, path: str, fmt: str = "text", **options) -> DataFrame:
@@ -57,7 +54,7 @@ def top_n_batch_writer(n: int, sink: Callable[[DataFrame, int], None]):
 
 
 def _window_cols(df: DataFrame, size) -> DataFrame:
-    w = F.window("ts", _interval(size))
+    w = F.window("ts", interval_text(size))
     return df.withColumn("_w", w)
 
 
@@ -67,7 +64,7 @@ def processing_timed(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     return df.withColumn(ts_col, F.current_timestamp()).withWatermark(ts_col, "0 seconds")
 
 
-def stream_area_distinct(passages: DataFrame, size="10 seconds", delay="0 seconds",
+def stream_area_distinct(passages: DataFrame, size="10 seconds", delay="5 seconds",
                          time: str = "event") -> DataFrame:
     """F2 on a stream: streaming ``count(DISTINCT)`` is not supported, so cars are
     deduplicated per ``(window, area)`` (state evicted as the watermark passes
@@ -81,7 +78,7 @@ def stream_area_distinct(passages: DataFrame, size="10 seconds", delay="0 second
                     "area_id", "car_count")
 
 
-def stream_area_distinct_approx(passages: DataFrame, size="10 minutes", delay="0 seconds",
+def stream_area_distinct_approx(passages: DataFrame, size="10 minutes", delay="5 seconds",
                                 rsd: float = 0.05) -> DataFrame:
     """F4 on a stream: HyperLogLog++ per window and area."""
     df = _window_cols(watermarked(passages, "action_time", delay), size)
@@ -143,12 +140,12 @@ BLOOM_SCHEMA = T.StructType([
     T.StructField("distinct_cars", T.LongType())])
 
 
-def stream_clone_plates(passages: DataFrame, within_s: int = 10, delay="0 seconds",
+def stream_clone_plates(passages: DataFrame, within_s: int = 10, delay="5 seconds",
                         id_col: str = "event_id") -> DataFrame:
-    """I1 on a stream: per-car fold in event-time order."""
-    cols = ["car", "action_time", "monitor_id"] + ([id_col] if id_col in passages.columns else [])
-    df = watermarked(passages.select(*cols), "action_time", delay)
-    order = ["action_time"] + ([id_col] if id_col in passages.columns else [])
+    """I1 on a stream: per-car fold in event-time order (ties by ``id_col``, derived from
+    the record if absent). Late passages are compared as they arrive."""
+    df = watermarked(with_tie_id(passages, id_col).select("car", "action_time", "monitor_id", id_col), "action_time", delay)
+    order = ["action_time", id_col]
     return fold_by_key(df, ["car"], lambda s: machines.ClonePlates(s, within_s, CLONE_MSG),
                        CLONE_SCHEMA, "action_time", order)
 
@@ -160,12 +157,12 @@ def stream_dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: f
     the station table), then a per-car fold keeps only the last ``within`` of them."""
     span = duration_ms(within)
     # Watermark the passages themselves (not only the severe ones): every passage advances event time.
-    timed = watermarked(passages, "action_time", delay)
-    keep = ["car", "action_time", "monitor_id", "ts"] + ([id_col] if id_col in passages.columns else [])
-    hits = _severe_hits(timed, monitors, factor, default, keep)
-    order = ["action_time"] + ([id_col] if id_col in passages.columns else [])
+    timed = watermarked(with_tie_id(passages, id_col), "action_time", delay)
+    hits = _severe_hits(timed, monitors, factor, default, ["car", "action_time", "monitor_id", "ts", id_col])
+    order = ["action_time", id_col]
+    # As in the reference's pattern matching, passages behind the watermark take no part.
     return fold_by_key(hits, ["car"], lambda s: machines.SevereChains(s, times, span, emit),
-                       DANGER_SCHEMA, "action_time", order)
+                       DANGER_SCHEMA, "action_time", order, late="drop")
 
 
 def _severe_hits(timed: DataFrame, monitors: DataFrame, factor: float, default: int, keep):
@@ -187,7 +184,7 @@ def stream_pair_actions(violations: DataFrame, actions: DataFrame, timeout="5 se
     ms = duration_ms(timeout)
     return fold_by_key(watermarked(u, "t", delay), ["car"],
                        lambda s: machines.PairOneToOne(s, ms), _REPLAY_SCHEMA, "t",
-                       ["t", "kind", "rid"])
+                       ["t", "kind", "rid"], late="drop")
 
 
 def stream_pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
@@ -200,15 +197,18 @@ def stream_pair_actions_replay(violations: DataFrame, actions: DataFrame, timeou
     ms = duration_ms(timeout)
     return fold_by_key(watermarked(u, "t", delay), ["car"],
                        lambda s: machines.PairReplay(s, ms), _REPLAY_SCHEMA, "t",
-                       ["t", "kind", "rid"])
+                       ["t", "kind", "rid"], late="drop")
 
 
 def stream_area_distinct_running(passages: DataFrame, size="10 minutes", method: str = "bloom",
-                                 bits: int = 1 << 22, delay="0 seconds",
-                                 id_col: str = "event_id") -> DataFrame:
+                                 bits: int = 1 << 22, delay="5 seconds",
+                                 id_col: str = "event_id", time: str = "event") -> DataFrame:
     """F3 on a stream, one output row per passage: ``method="bloom"`` (fixed
     memory per window, may undercount) or ``"exact"`` (a set of cars per
-    window)."""
+    window). ``time="processing"`` windows and orders by arrival (E4): a
+    passage's time is its micro-batch's clock."""
+    if time == "processing":
+        passages, delay = passages.withColumn("action_time", F.unix_millis(F.current_timestamp())), "0 seconds"
     if method == "bloom":
         return stream_area_distinct_bloom(passages, size, bits, delay, id_col)
     if method != "exact":
@@ -225,7 +225,7 @@ def stream_area_distinct_running(passages: DataFrame, size="10 minutes", method:
 
 
 def stream_area_distinct_bloom(passages: DataFrame, size="10 minutes", bits: int = 1 << 22,
-                               delay="0 seconds", id_col: str = "event_id") -> DataFrame:
+                               delay="5 seconds", id_col: str = "event_id") -> DataFrame:
     """F3 (bloom) on a stream: a fixed-size bitmap per (area, window); the two bit
     offsets are computed in Catalyst (``xxhash64`` and ``hash``), Python only
     tests and sets bits. State is dropped once the watermark passes the window."""
@@ -254,6 +254,8 @@ def start(df: DataFrame, name: str, sink: str = "memory", output_mode: str = "ap
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format(sink)
+        if sink == "console":  # every row, in full
+            options = {"numRows": 2 ** 31 - 1, "truncate": False, **options}
     for k, v in options.items():
         w = w.option(k, v)
     return w.start()

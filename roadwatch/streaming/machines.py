@@ -36,6 +36,10 @@ class Machine:
         for r in recs:
             self.feed(r, out)
 
+    def feed_late(self, recs: list[dict], watermark: int, out: list) -> None:
+        """Records behind the watermark, in event-time order among themselves."""
+        self.feed_all(recs, out)
+
     def advance(self, watermark: int, out: list) -> None:
         pass
 
@@ -47,31 +51,35 @@ class Machine:
 
 
 class ClonePlates(Machine):
-    """One stored passage per car; a hit within ``within_s`` emits and clears."""
+    """I1 as links and parity: a passage links to the car's previous one if less than
+    ``(within_s + 1)`` seconds lie between; in a run of links every second passage is
+    a hit. The state is the latest passage and whether it may still be paired. A
+    late passage is compared with that one, whichever is older."""
 
     def __init__(self, state=None, within_s: int = 10, msg: str = ""):
         super().__init__(state)
-        self.within_s, self.msg = within_s, msg
+        self.limit, self.msg = (within_s + 1) * 1000, msg
 
     def feed(self, rec, out):
-        first = self.s.get("first")
-        t, m = rec["action_time"], rec["monitor_id"]
-        if first is None:
-            self.s["first"] = [t, m]
-            return
-        ft, fm = first
-        if abs(t - ft) // 1000 <= self.within_s:
-            out.append({"car": rec["car"], "first_monitor": fm if t > ft else m,
-                        "second_monitor": fm if t < ft else m, "msg": self.msg, "action_time": t})
-            self.s.pop("first")
-        elif t > ft:
-            self.s["first"] = [t, m]
+        now = [rec["action_time"], rec["monitor_id"]]
+        last, free = self.s.get("last"), self.s.get("free", False)
+        hit = free and abs(now[0] - last[0]) < self.limit
+        if hit:
+            # Equal times: both stations are the later record's.
+            first = min(last, now, key=lambda x: x[0]) if last[0] != now[0] else now
+            second = now if now[0] >= last[0] else last
+            out.append({"car": rec["car"], "first_monitor": first[1], "second_monitor": second[1],
+                        "msg": self.msg, "action_time": second[0]})
+        if last is None or now[0] >= last[0]:
+            self.s["last"], self.s["free"] = now, not hit
+        elif hit:
+            self.s["free"] = False
 
     def advance(self, watermark, out):
-        # A stored passage no later record can hit behaves like no stored passage.
-        first = self.s.get("first")
-        if first is not None and watermark - first[0] >= (self.within_s + 1) * 1000:
-            self.s.pop("first")
+        # A stored passage no later record can link to behaves like none.
+        last = self.s.get("last")
+        if last is not None and watermark - last[0] >= self.limit:
+            self.s = {}
 
 
 class SevereChains(Machine):
@@ -277,6 +285,16 @@ class BloomDistinct(Machine):
             self.s = self.initial()
             self.bitmap = bytearray((self.bits + 7) // 8)
 
+    def feed_late(self, recs, watermark, out):
+        """A late record of an open window is counted as it comes; of a window whose
+        state is gone it is reported with no count (``distinct_cars`` NULL)."""
+        self.feed_all([r for r in recs if int(r["end_time"]) - 1 > watermark], out)
+        for r in recs:
+            if int(r["end_time"]) - 1 <= watermark:
+                out.append({"area_id": r["area_id"], "start_time": r["start_time"], "end_time": r["end_time"],
+                            "car": r["car"], "action_time": r["action_time"], "event_id": r.get("event_id"),
+                            "distinct_cars": None})
+
     def wakeups(self):
         end = self.s.get("end")
         return [] if end is None else [end - 1]
@@ -311,6 +329,16 @@ class ExactDistinct(Machine):
         if end is not None and watermark >= end - 1:
             self.s = self.initial()
 
+    def feed_late(self, recs, watermark, out):
+        """A late record of an open window is counted as it comes; of a window whose
+        state is gone it is reported with no count (``distinct_cars`` NULL)."""
+        self.feed_all([r for r in recs if int(r["end_time"]) - 1 > watermark], out)
+        for r in recs:
+            if int(r["end_time"]) - 1 <= watermark:
+                out.append({"area_id": r["area_id"], "start_time": r["start_time"], "end_time": r["end_time"],
+                            "car": r["car"], "action_time": r["action_time"], "event_id": r.get("event_id"),
+                            "distinct_cars": None})
+
     def wakeups(self):
         end = self.s.get("end")
         return [] if end is None else [end - 1]

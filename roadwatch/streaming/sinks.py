@@ -1,92 +1,141 @@
 """``foreachBatch`` writers: the batch sinks applied one micro-batch at a time.
 
 File tables are written idempotently: every micro-batch owns the partition
-``epoch=<id>`` and replaces it with dynamic partition overwrite, so a batch
-that is re-run after a failure (same epoch id) rewrites the same rows instead
-of appending them twice. The once-per-day violation writer reads the stored
-rows of *other* epochs only, so its retry computes the same inserts; it must
-be the only query writing its table (two concurrent batches could both insert
-the same car-day).
+``run=<id>/epoch=<id>`` and replaces it with dynamic partition overwrite. The
+run is the streaming query's id, which its checkpoint keeps: a batch that is
+re-run after a failure rewrites the same rows, and a query that starts over
+with a new checkpoint (whose epochs count from 0 again) adds to the table
+instead of overwriting it. A writer called outside a stream is a run of its
+own. The once-per-day violation writer reads the stored rows of *other*
+batches only, so its retry computes the same inserts; it must be the only
+query writing its table (two concurrent batches could both insert the same
+car-day). JDBC targets append and are at-least-once: a retried batch inserts
+its rows again, which a unique key on the table has to catch.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadwatch.functions.columns import DAY_MS, day_start_ms
 from roadwatch.operators.enrich import track_rows
 from roadwatch.sinks.writers import split_outcomes, upsert_counts, violations_to_insert, write_table, write_tracks
 
 BatchFn = Callable[[DataFrame, int], None]
 
 
-def _existing(batch: DataFrame, target: str) -> DataFrame | None:
-    try:
-        return batch.sparkSession.read.parquet(target)
-    except Exception:  # first batch: the table does not exist yet
-        return None
+class Run:
+    """The run a batch belongs to: its streaming query, else this writer."""
 
+    def __init__(self, run_id: str | None = None):
+        self.own = run_id or uuid.uuid4().hex
 
-def write_epoch(df: DataFrame, target: str, epoch: int) -> None:
-    """Replace partition ``epoch=<epoch>`` of a parquet table with ``df``."""
-    df.withColumn("epoch", F.lit(int(epoch)).cast("long")).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(target)
+    def of(self, batch: DataFrame) -> str:
+        return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or self.own
 
 
-def table_writer(name: str, target: str, fmt: str = "parquet", **options) -> BatchFn:
-    """B1/B2: every micro-batch into the table (idempotent per epoch for files;
-    JDBC targets append)."""
+def _exists(spark: SparkSession, target: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def write_epoch(df: DataFrame, target: str, epoch: int, run: str, by: tuple[str, ...] = ()) -> None:
+    """Replace what batch ``(run, epoch)`` wrote to a parquet table by ``df``."""
+    df.withColumn("run", F.lit(run)).withColumn("epoch", F.lit(int(epoch)).cast("long")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*by, "run", "epoch").parquet(target)
+
+
+def epoch_writer(target: str, run_id: str | None = None) -> BatchFn:
+    """Every row of every micro-batch, as it is, into a table."""
+    run = Run(run_id)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        write_epoch(batch, target, epoch, run.of(batch))
+    return write
+
+
+def table_writer(name: str, target: str, fmt: str = "parquet", run_id: str | None = None, **options) -> BatchFn:
+    """B1/B2: every micro-batch into the table (idempotent per run and epoch for
+    files; JDBC targets append)."""
     from roadwatch.schemas import TABLES
+    run = Run(run_id)
 
     def write(batch: DataFrame, epoch: int) -> None:
         if fmt == "jdbc":
             write_table(batch, name, target, fmt, **options)
         else:
             src = batch.withColumnRenamed("msg", "violation") if name == "violation_list" else batch
-            write_epoch(src.select(*TABLES[name]), target, epoch)
+            write_epoch(src.select(*TABLES[name]), target, epoch, run.of(batch))
     return write
 
 
-def violation_writer(target: str) -> BatchFn:
-    """Insert a violation only if its car has none stored for that day."""
+#: Layout of the stream's violation table; ``day`` (start of the day, epoch ms) is its first partition.
+VIOLATION_TABLE = "car string, violation string, create_time long, day long, run string, epoch long"
+
+
+def violation_writer(target: str, run_id: str | None = None) -> BatchFn:
+    """Insert a violation only if its car has none stored for that day.
+
+    The table is partitioned by day, and only the days of the batch (and the
+    next, whose midnight rows count for the day before) are read. A table that
+    cannot be read fails the batch.
+    """
+    run = Run(run_id)
+
     def write(batch: DataFrame, epoch: int) -> None:
-        stored = _existing(batch, target)
-        if stored is not None:
-            stored = stored.where(F.col("epoch") != F.lit(int(epoch))).drop("epoch")
-        rows = violations_to_insert(batch, stored).withColumnRenamed("msg", "violation") \
-            .select("car", "violation", "create_time")
-        write_epoch(rows, target, epoch)
+        batch.persist()
+        try:
+            now, stored = run.of(batch), None
+            span = batch.agg(F.min("create_time").alias("a"), F.max("create_time").alias("b")).first()
+            if span["a"] is not None and _exists(batch.sparkSession, target):
+                stored = batch.sparkSession.read.schema(VIOLATION_TABLE).parquet(target) \
+                    .where(F.col("day").between(span["a"] - 2 * DAY_MS, span["b"] + 2 * DAY_MS)) \
+                    .where((F.col("run") != now) | (F.col("epoch") != int(epoch))).select("car", "violation", "create_time")
+            rows = violations_to_insert(batch, stored).withColumnRenamed("msg", "violation") \
+                .select("car", "violation", "create_time", day_start_ms("create_time").alias("day"))
+            write_epoch(rows, target, epoch, now, ("day",))
+        finally:
+            batch.unpersist()
     return write
 
 
-def track_writer(target: str) -> BatchFn:
+def track_writer(target: str, run_id: str | None = None) -> BatchFn:
     """B4 (+E5's purpose): each micro-batch is one batched write; nothing is held back."""
+    run = Run(run_id)
+
     def write(batch: DataFrame, epoch: int) -> None:
-        write_tracks(track_rows(batch), target, epoch=epoch)
+        write_tracks(track_rows(batch), target, epoch=epoch, run=run.of(batch))
     return write
 
 
-def outcome_writer(targets: dict[str, str]) -> BatchFn:
+def outcome_writer(targets: dict[str, str], run_id: str | None = None) -> BatchFn:
     """One table per outcome (the reference's side outputs); the batch is
     persisted so the branches do not recompute it."""
+    run = Run(run_id)
+
     def write(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
             for tag, df in split_outcomes(batch).items():
                 if tag in targets:
-                    write_epoch(df, targets[tag], epoch)
+                    write_epoch(df, targets[tag], epoch, run.of(batch))
         finally:
             batch.unpersist()
     return write
 
 
-def counter_writer(target: str, key_cols=("end_time", "area_id"), value: str = "car_count") -> BatchFn:
+def counter_writer(target: str, key_cols=("end_time", "area_id"), value: str = "car_count",
+                   run_id: str | None = None) -> BatchFn:
     """Running counters ``<windowEnd>_<area>``; each batch appends its latest
     value per key, :func:`read_counters` keeps the last (largest) one."""
+    run = Run(run_id)
+
     def write(batch: DataFrame, epoch: int) -> None:
-        write_epoch(upsert_counts(batch, key_cols, value), target, epoch)
+        write_epoch(upsert_counts(batch, key_cols, value), target, epoch, run.of(batch))
     return write
 
 

@@ -1,8 +1,10 @@
 """Generic keyed event-time processor (``transformWithStateInPandas``).
 
 Rows of a key are buffered in a ``ListState`` until the watermark passes
-them (rows arriving behind the watermark are late and dropped), then fed in event-time order to a :mod:`machines` fold whose state is
-kept in a ``ValueState``. An event-time timer wakes the key up when the
+them, then fed in event-time order to a :mod:`machines` fold whose state is
+kept in a ``ValueState``. Rows that arrive behind the watermark are late: a
+fold either takes them as they come (:meth:`Machine.feed_late`, nothing is
+lost) or, with ``late="drop"``, leaves them out as windowed operators do. An event-time timer wakes the key up when the
 watermark reaches its next buffered row or machine deadline, so results
 appear as soon as the input is final, and state is cleared when a machine
 is idle. The per-key work is a small Python helper; partitioning, state
@@ -30,9 +32,10 @@ def _plain(o):
 
 class EventTimeFold(StatefulProcessor):
     def __init__(self, make: Callable[[str | None], Machine], time_col: str,
-                 order: Sequence[str], out_schema: T.StructType):
-        self.make, self.time_col, self.order = make, time_col, list(order)
+                 order: Sequence[str], out_schema: T.StructType, late: str):
+        self.make, self.time_col, self.order, self.late = make, time_col, list(order), late
         self.out_cols = [f.name for f in out_schema.fields]
+        self.longs = [f.name for f in out_schema.fields if isinstance(f.dataType, T.LongType)]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -44,7 +47,7 @@ class EventTimeFold(StatefulProcessor):
             return []
         return [json.loads(r[0]) for r in self.buffer.get()]
 
-    def _advance(self, rows: list[dict], watermark: int) -> Iterator[pd.DataFrame]:
+    def _advance(self, rows: list[dict], watermark: int, late: Sequence[dict] = ()) -> Iterator[pd.DataFrame]:
         saved = self.machine.get() if self.machine.exists() else None
         m = self.make(saved[0] if saved else None)
         ready = sorted((r for r in rows if r[self.time_col] <= watermark),
@@ -52,6 +55,8 @@ class EventTimeFold(StatefulProcessor):
         rest = [r for r in rows if r[self.time_col] > watermark]
         out: list[dict] = []
         m.feed_all(ready, out)
+        if late:
+            m.feed_late(sorted(late, key=lambda r: tuple(r[c] for c in self.order)), watermark, out)
         m.advance(watermark, out)
         if rest:
             self.buffer.put([(json.dumps(r, default=_plain),) for r in rest])
@@ -65,17 +70,17 @@ class EventTimeFold(StatefulProcessor):
         if pending:
             self.handle.registerTimer(int(min(pending)))
         if out:
-            yield pd.DataFrame(out, columns=self.out_cols)
+            yield pd.DataFrame(out, columns=self.out_cols).astype({c: "Int64" for c in self.longs})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = []
         for pdf in rows:
             new.extend(pdf.astype(object).where(pdf.notna(), None).to_dict("records"))
         new = [json.loads(json.dumps(r, default=_plain)) for r in new]
-        # Rows at or behind the watermark are late: dropped, as windowed operators do.
         watermark = timerValues.getCurrentWatermarkInMs()
+        late = [r for r in new if r[self.time_col] <= watermark] if self.late == "feed" else []
         new = [r for r in new if r[self.time_col] > watermark]
-        yield from self._advance(self._buffered() + new, timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(self._buffered() + new, watermark, late)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._advance(self._buffered(), timerValues.getCurrentWatermarkInMs())
@@ -85,12 +90,17 @@ class EventTimeFold(StatefulProcessor):
 
 
 def fold_by_key(df: DataFrame, keys: Sequence[str], make: Callable[[str | None], Machine],
-                out_schema: T.StructType, time_col: str, order: Sequence[str]) -> DataFrame:
-    """Apply an :class:`EventTimeFold` per key of a watermarked stream (append mode)."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    proc = EventTimeFold(make, time_col, order, out_schema)
+                out_schema: T.StructType, time_col: str, order: Sequence[str], late: str = "feed") -> DataFrame:
+    """Apply an :class:`EventTimeFold` per key of a watermarked stream (append mode).
+
+    Needs the RocksDB state store, which the session must be set to
+    (:data:`roadwatch.session.DEFAULT_CONF` does).
+    """
+    if df.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {ROCKSDB}")
+    if late not in ("feed", "drop"):
+        raise ValueError("late must be 'feed' or 'drop'")
+    proc = EventTimeFold(make, time_col, order, out_schema, late)
     # The watermark is tracked upstream; the fold works on epoch ms, not TIMESTAMP columns.
     df = df.select(*[f.name for f in df.schema.fields
                      if not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))])
