@@ -13,16 +13,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from roadwatch.functions.columns import with_tie_id
 from roadwatch.operators.windows import duration_ms
 from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan, time_bucket
 
 
-def _bucket_expr(col: str, width: int):
-    return time_bucket(col, width)
-
-
 def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_time",
                   right_time: str = "action_time", lower="-5 seconds", upper="5 seconds",
                   key: str = "car", how: str = "inner",
@@ -36,9 +33,11 @@ def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_ti
     ``(key, bucket)`` plus the range filter, each pair is produced once, and a
     busy key is spread over its buckets.
 
-    ``how="full_outer"`` = the left-outer form of that join (a left row without
-    a partner appears once, with NULLs) plus the right rows no left row
-    matches (an anti join in the mirrored layout). Apart from ``key`` the two
+    ``how="full_outer"`` is one full outer join in the same layout: a left row
+    without a partner appears once with NULLs, and a copy of a right row
+    without one counts only if all its copies are (they are brought together
+    by one more shuffle, in which every other row is spread by its own hash).
+    Rows with a NULL key or time have no partner. Apart from ``key`` the two
     sides must have distinct column names. ``left_id``/``right_id`` are
     accepted for compatibility and not needed.
     """
@@ -48,40 +47,31 @@ def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_ti
     if how not in ("inner", "full_outer"):
         raise ValueError("how must be 'inner' or 'full_outer'")
     width = max(hi - lo, 1)
-    lt, rt = F.col(left_time), F.col(right_time)
-    in_range = rt.between(lt + F.lit(lo), lt + F.lit(hi))
-
-    def spread(df, t, a, b):  # copies of a row into the buckets of [t + a, t + b]
-        return df.withColumn("_jb", F.explode(F.sequence(_bucket_expr(f"({t} + ({a}))", width),
-                                                         _bucket_expr(f"({t} + ({b}))", width))))
-
-    lb = left.withColumn("_jb", _bucket_expr(left_time, width))
-    rb = spread(right, right_time, -hi, -lo)
+    lb = left.withColumn("_jb", time_bucket(left_time, width))
+    copies = F.sequence(time_bucket(f"({right_time} + ({-hi}))", width), time_bucket(f"({right_time} + ({-lo}))", width))
     if how == "inner":
+        rb = right.withColumn("_jb", F.explode(copies))
+        in_range = F.col(right_time).between(F.col(left_time) + F.lit(lo), F.col(left_time) + F.lit(hi))
         return lb.join(rb, [key, "_jb"], "inner").where(in_range).drop("_jb")
-    l_side = lb.alias("_l")
-    r_side = rb.alias("_r")
+    rb = right.withColumn("_copies", copies).withColumn("_n", F.greatest(F.size("_copies"), F.lit(1))) \
+        .withColumn("_jb", F.explode_outer("_copies")).drop("_copies").withColumn("_right", F.lit(True))
+    l_side, r_side = lb.withColumn("_left", F.lit(True)).alias("_l"), rb.alias("_r")
     cond = (F.col(f"_l.{key}") == F.col(f"_r.{key}")) & (F.col("_l._jb") == F.col("_r._jb")) \
         & F.col(f"_r.{right_time}").between(F.col(f"_l.{left_time}") + F.lit(lo),
                                             F.col(f"_l.{left_time}") + F.lit(hi))
-    left_outer = l_side.join(r_side, cond, "left_outer").select(
-        F.col(f"_l.{key}").alias(key),
-        *[F.col(f"_l.{c}") for c in left.columns if c != key],
-        *[F.col(f"_r.{c}") for c in right.columns if c != key])
-    lone_right = _lone_right(left, right, key, left_time, right_time, lo, hi, width)
-    return left_outer.unionByName(lone_right, allowMissingColumns=True)
-
-
-def _lone_right(left, right, key, left_time, right_time, lo, hi, width):
-    """Right rows without any left partner: right in one bucket, left copied to neighbours."""
-    rb = right.withColumn("_jb", _bucket_expr(right_time, width)).alias("_r")
-    lb = left.select(key, left_time).withColumn("_jb", F.explode(F.sequence(
-        _bucket_expr(f"({left_time} + ({lo}))", width), _bucket_expr(f"({left_time} + ({hi}))", width)))) \
-        .alias("_l")
-    cond = (F.col(f"_r.{key}") == F.col(f"_l.{key}")) & (F.col("_r._jb") == F.col("_l._jb")) \
-        & F.col(f"_r.{right_time}").between(F.col(f"_l.{left_time}") + F.lit(lo),
-                                            F.col(f"_l.{left_time}") + F.lit(hi))
-    return rb.join(lb, cond, "left_anti").select(*[F.col(f"_r.{c}") for c in right.columns])
+    l_cols, r_cols = [F.col(f"_l.{c}") for c in left.columns], [F.col(f"_r.{c}") for c in right.columns]
+    lone = F.col("_l._left").isNull()
+    joined = l_side.join(r_side, cond, "full_outer").select(
+        F.coalesce(F.col(f"_l.{key}"), F.col(f"_r.{key}")).alias(key),
+        *[c for c, n in zip(l_cols, left.columns) if n != key], *[c for c, n in zip(r_cols, right.columns) if n != key],
+        lone.alias("_lone"), F.col("_r._n").alias("_n"), F.col("_r._jb").alias("_jb"),
+        F.when(lone, F.struct(*r_cols)).alias("_which"),
+        F.when(lone, F.xxhash64(*r_cols)).otherwise(F.xxhash64(*l_cols, *r_cols)).alias("_spread"))
+    w = Window.partitionBy("_lone", "_spread", "_which")
+    kept = joined.withColumn("_seen", F.size(F.collect_set(F.coalesce("_jb", F.lit(0))).over(w))) \
+        .withColumn("_first", F.min("_jb").over(w))
+    once = ~F.col("_lone") | ((F.col("_seen") == F.col("_n")) & F.col("_jb").eqNullSafe(F.col("_first")))
+    return kept.where(once).drop("_lone", "_n", "_jb", "_which", "_spread", "_seen", "_first")
 
 
 _V_COLS = ["violation_id", "create_time", "msg"]

@@ -114,9 +114,16 @@ def dangerous_driving(passages: DataFrame, monitors: DataFrame, factor: float =
                                               .otherwise(F.array(own)))) \
         .withColumn("_hb", F.col("_copy.b")).withColumn("_native", F.col("_copy.native")).drop("_copy")
 
+    # Positions first: a start's chain ends at the last position its time span reaches.
+    in_order = Window.partitionBy("car", "_hb").orderBy("action_time", id_col)
     w = Window.partitionBy("car", "_hb").orderBy("action_time").rangeBetween(0, span - 1)
+    rows = rows.withColumn("_pos", F.row_number().over(in_order)).withColumn("_reach", F.max("_pos").over(w))
+    full = F.col("_native") & (F.col("_reach") - F.col("_pos") + 1 >= times)
+    upto = F.max(F.when(full, F.col("_reach"))).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Only rows of some match go on to have chains collected.
+    rows = rows.withColumn("_upto", upto).where(F.col("_upto") >= F.col("_pos"))
     elem = F.struct(F.col("action_time").alias("t"), F.col(id_col).alias("i"), F.col("monitor_id").alias("m"))
-    framed = rows.withColumn("_frame", F.collect_list(elem).over(w)).where("_native")
+    framed = rows.withColumn("_frame", F.collect_list(elem).over(w)).where(full)
     # RANGE frames include equal-time peers that sort before the start: drop them.
     after = F.array_sort(F.filter(
         "_frame", lambda x: (x["t"] > F.col("action_time"))

@@ -79,11 +79,15 @@ def bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], time_col:
     raise ValueError("bucketing must be 'time' or 'rank'")
 
 
-def _shuffled(df: DataFrame, keys: Sequence[str], bucket: str) -> tuple[DataFrame, Column]:
-    """``df`` shuffled once by ``_part`` (key and bucket), and an aggregate that needs all
-    its columns: a summary that includes it reads the very same exchange."""
+def _shuffled(df: DataFrame, keys: Sequence[str], bucket: str) -> tuple[DataFrame, Column, Column]:
+    """``df`` shuffled once by ``_part`` (key and bucket), and what makes two branches of
+    it read the very same exchange: an aggregate (the largest row hash) for the
+    summary and a filter (no row hash is larger) for the rows. Both need every
+    column, so neither branch's exchange is pruned to fewer; the filter keeps
+    every row."""
     part = df.withColumn("_part", F.struct(*keys, bucket)).repartition("_part")
-    return part, F.max(F.xxhash64(*part.columns)).alias("_all")
+    row = F.xxhash64(*part.columns)
+    return part, F.max(row).alias("_all"), row <= F.col("_all")
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -95,7 +99,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     and ``bucket`` a column that is non-decreasing along it.
     """
     keys, order = list(keys), list(order)
-    rows, whole = _shuffled(df, keys, bucket)
+    rows, whole, kept = _shuffled(df, keys, bucket)
     w_loc = Window.partitionBy("_part").orderBy(*order)
     w_cum = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ord_struct = F.struct(*[F.col(c) for c in order])
@@ -114,16 +118,16 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         aggs.append(edge[kind](expr).alias(f"_a_{name}"))
 
     # One row per (key, bucket), from the same shuffled rows.
-    summary = rows.groupBy("_part").agg(whole, *aggs).where(F.col("_all").isNotNull())
+    summary = rows.groupBy("_part").agg(whole, *aggs)
     w_key = Window.partitionBy(*[F.col(f"_part.{k}") for k in keys])
     w_s = w_key.orderBy(F.col(f"_part.{bucket}"))
     w_before = w_s.rowsBetween(Window.unboundedPreceding, -1)
     carry_of = {"prev": lambda a: F.lag(a).over(w_s), "next": lambda a: F.lead(a).over(w_s),
                 "sum": lambda a: F.sum(a).over(w_before), "max": lambda a: F.max(a).over(w_before),
                 "total": lambda a: F.sum(a).over(w_key)}
-    carry = summary.select("_part", *[carry_of[kind](F.col(f"_a_{name}")).alias(f"_c_{name}") for name, kind, _ in specs])
+    carry = summary.select("_part", "_all", *[carry_of[kind](F.col(f"_a_{name}")).alias(f"_c_{name}") for name, kind, _ in specs])
 
-    out = staged.join(carry, "_part", "inner")
+    out = staged.join(carry, "_part", "inner").where(kept)
     for name, kind, _ in specs:
         loc, car = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if kind == "prev":
@@ -137,7 +141,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         else:
             val = F.greatest(car, loc)
         out = out.withColumn(name, val).drop(f"_l_{name}", f"_c_{name}")
-    return out.drop("_scan_first", "_scan_last", "_part")
+    return out.drop("_scan_first", "_scan_last", "_part", "_all")
 
 
 def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column,
@@ -159,7 +163,7 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
     row per bucket) and joined back on the partitioning the rows already have.
     """
     keys, order = list(keys), list(order)
-    rows, whole = _shuffled(df.withColumn("_pl", payload), keys, bucket)
+    rows, whole, kept = _shuffled(df.withColumn("_pl", payload), keys, bucket)
     ord_struct = F.struct(*[F.col(c) for c in order])
     w_loc = Window.partitionBy("_part").orderBy(*order)
     w_cum = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -176,8 +180,7 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
     # after the bucket's first row.
     summary_rows = staged.groupBy("_part").agg(
         whole, F.count(F.lit(1)).alias("_n"), F.min_by("_pl", ord_struct).alias("_first"),
-        F.max_by("_pl", ord_struct).alias("_last"), F.max("_lstart").alias("_bstart")) \
-        .where(F.col("_all").isNotNull())
+        F.max_by("_pl", ord_struct).alias("_last"), F.max("_lstart").alias("_bstart"))
     w_k = Window.partitionBy(*[F.col(f"_part.{k}") for k in keys]).orderBy(F.col(f"_part.{bucket}"))
     summary = summary_rows \
         .withColumn("_off", F.coalesce(F.sum("_n").over(w_k.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
@@ -191,9 +194,9 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
                               F.when(~F.col("_first_link"), F.col("_off")))
     summary = summary.withColumn("_bucket_start", bucket_start) \
         .withColumn("_carry_start", F.max("_bucket_start").over(w_k.rowsBetween(Window.unboundedPreceding, -1))) \
-        .select("_part", "_off", "_prev_last", "_first_link", "_last_next_link", "_carry_start")
+        .select("_part", "_all", "_off", "_prev_last", "_first_link", "_last_next_link", "_carry_start")
 
-    out = staged.join(summary, "_part", "inner")
+    out = staged.join(summary, "_part", "inner").where(kept)
     first = F.col("_li") == 0
     out = out.withColumn("_prev", F.when(first, F.col("_prev_last")).otherwise(F.col("_lp"))) \
         .withColumn("_link", F.when(first, F.col("_first_link")).otherwise(F.col("_llink"))) \
@@ -204,5 +207,5 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
             F.col("_carry_start"),
             F.when(~F.col("_first_link"), F.col("_off")),
             F.col("_off") + F.col("_lstart")))
-    return out.drop("_part", "_pl", "_li", "_lp", "_ln", "_llink", "_lnext", "_lstart", "_off", "_prev_last",
+    return out.drop("_part", "_all", "_pl", "_li", "_lp", "_ln", "_llink", "_lnext", "_lstart", "_off", "_prev_last",
                     "_first_link", "_last_next_link", "_carry_start")

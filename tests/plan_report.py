@@ -32,22 +32,24 @@ def summarize(plan: str) -> dict:
 
 def main() -> None:
     from roadwatch.session import build_session
-    import __spark_entry__ as E
+    from roadwatch.plans.queries import QUERIES
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
     print("# Plans of the registered queries\n")
     print(f"Generated by `python tests/plan_report.py` on `{os.path.basename(sf)}` after execution "
-          "(adaptive plans final). Exchange keys list the shuffles; `_tb`/`_hb`/`_jb` are time "
-          "buckets, so no shuffle is keyed by a car or area alone except one-row-per-bucket "
-          "summaries.\n")
-    print("| query | scans | pushed filters | shuffles (keys) | broadcasts | joins |")
-    print("|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+          "(adaptive plans final). Exchange keys list the shuffles; `_part` is a key with its bucket, "
+          "`_hb`/`_jb` are time buckets, so no shuffle is keyed by a car or area alone except "
+          "one-row-per-bucket summaries. `reused` counts exchanges read a second time.\n")
+    print("| query | scans | reused | pushed filters | shuffles (keys) | broadcasts | joins |")
+    print("|---|---|---|---|---|---|---|")
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        s = summarize(df._jdf.queryExecution().executedPlan().toString())
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[0]
+        s = summarize(plan)
         ex = "; ".join(s["exchanges"]) + (" + group limit" if s["group_limit"] else "")
-        print(f"| {name} | {s['scans']} | {', '.join(s['pushed']) or '-'} | {ex or '-'} | "
+        print(f"| {name} | {s['scans']} | {plan.count('ReusedExchange')} | {', '.join(s['pushed']) or '-'} | {ex or '-'} | "
               f"{s['broadcasts']} | {', '.join(s['joins']) or '-'} |")
     spark.stop()
 
