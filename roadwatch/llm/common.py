@@ -31,6 +31,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches cut into slices of at most ``rows`` rows, so that a task holds the
+    Python objects of a few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def word_count(text: Column) -> Column:
     """Number of words in ``text`` (NULL: 0), as long."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -23,8 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from roadwatch.llm.common import slices
+
 #: Bytes of text per segment (at least one text, whatever its length).
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 1 << 20
 #: Alternatives kept while strings are spelled out; beyond it a part counts as "any".
 MOST_STRINGS = 64
 
@@ -231,7 +233,7 @@ def with_secrets(docs: DataFrame, text_col: str = "text", keep: list[str] | None
 
     def run(batches):
         scanner = Scanner(rules)
-        for b in batches:
+        for b in slices(batches):
             raw = b.column(at).cast(pa.binary()).to_pylist()
             found = [s for block in blocks([t or b"" for t in raw]) for s in scanner.scan(block)]
             arrays = [b.column(i) for i in range(len(keep))]

@@ -20,12 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadwatch.llm.common import components, cut
+from roadwatch.llm.common import components, cut, slices
 
 BITS = 64
 SEED = 42
 #: Shingles hashed at a time: bounds the memory of one very long text.
-CHUNK = 1 << 17
+CHUNK = 1 << 16
 #: Larger buckets are split further (exactly) before they are compared.
 BUCKET_LIMIT = 4096
 #: Free bits per block in that second split.
@@ -97,7 +97,7 @@ def fingerprints(texts: list[bytes | None], k: int) -> np.ndarray:
 def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``(id_col, fp)``: one row per document, ``fp`` the SimHash as a signed long."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fp = fingerprints(b.column(1).cast(pa.binary()).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], [id_col, "fp"])
 

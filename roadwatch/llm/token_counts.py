@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadwatch.llm import tokens
+from roadwatch.llm.common import slices
 
 #: Result rows per Arrow batch.
 ROWS = 50_000
@@ -72,7 +73,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_cols: list[str] |
                  pa.array([x for a in name for x in a], pa.string()), *(pa.array(np.concatenate(n), pa.int64()) for n in numbers)],
                 [id_col, *NAMES])
 
-        for b in batches:
+        for b in slices(batches):
             fields = [b.column(k + 1).cast(pa.binary()) for k in range(len(text_cols))]
             for row, doc in enumerate(b.column(0).to_pylist()):
                 parts = [f[row].as_py() or b"" for f in fields]

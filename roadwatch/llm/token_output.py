@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadwatch.llm import tokens
-from roadwatch.llm.common import cut, scratch
+from roadwatch.llm.common import cut, scratch, slices
 
 MAGIC = b"PFR1"
 BLOCK = 4096
@@ -164,7 +164,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.pfr"
         end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in slices(batches):
             if writer is None:
                 encoder = tokens.WordEncoder(tokenizer)
                 fs.create_dir(root, recursive=True)

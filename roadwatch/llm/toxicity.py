@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadwatch.llm.common import cut
+from roadwatch.llm.common import cut, slices
 
 #: Identity terms by group: each is swapped for the next ones of its group.
 IDENTITY_GROUPS = (
@@ -47,7 +47,7 @@ MIN_POSITIVE = 3
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
 #: Words whose features a task remembers.
-_CACHE = 500_000
+_CACHE = 150_000
 
 
 def features(word: str) -> list[int]:
@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def counts(batches):
         seen: dict[int, list[int]] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for f in {f for w in set(_WORD.findall((t or "").lower())) for f in features(w)}:
                     seen.setdefault(f, [0, 0])[y] += 1
@@ -179,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def vectors(batches):
         def pick(words):
             return sorted({number[f] for w in words for f in features(w) if f in number})
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = set(_WORD.findall((t or "").lower()))
@@ -207,7 +207,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
 
     def run(batches):
         one = model.scorer()
-        for b in batches:
+        for b in slices(batches):
             s = [one(t.as_py()) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(s, pa.float64())], [*keep, name])
 
