@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadwatch.llm.common import cut
+from roadwatch.llm.common import cut, hash_sample
 from roadwatch.llm.vectors import cosine, dimension, matrix, unit, usable
 
 #: Distinct vectors on which lists and probes are fitted (fewer for very long
@@ -128,7 +128,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id"
                .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))  # at most k + 1 ids each
     count = base.count()
     take = max(1, min(SAMPLE, SAMPLE_VALUES // dim))
-    sample = base.orderBy(F.xxhash64("v"), F.col("ids")[0]).limit(take).select("v").toArrow()
+    sample = hash_sample(base.select("v"), ["v"], take, count).toArrow()
     index = fit(matrix(sample.column(0)), count, k)
     shared = df.sparkSession.sparkContext.broadcast((index.rotation, index.centroids, index.probes))  # bounded: lists and dimensions
 

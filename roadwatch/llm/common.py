@@ -31,6 +31,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def hash_sample(df: DataFrame, cols: list[str], n: int, count: int) -> DataFrame:
+    """The ``n`` rows of lowest hash of ``cols`` (all, if ``count`` is not more).
+
+    Rows are first cut at a hash below which about twice as many are expected,
+    so that the final ordering sees a few thousand rows however many
+    partitions there are.
+    """
+    h = F.xxhash64(*cols)
+    if count > 4 * n + 1000:
+        df = df.where(F.pmod(h, F.lit(1 << 40)) < F.lit(int((1 << 40) * (2 * n + 500) / count)))
+    return df.orderBy(F.pmod(h, F.lit(1 << 40)), *cols).limit(n)
+
+
 def slices(batches, rows: int = 256):
     """Arrow batches cut into slices of at most ``rows`` rows, so that a task holds the
     Python objects of a few texts at a time."""

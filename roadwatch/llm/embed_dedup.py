@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadwatch.llm.common import components, cut
+from roadwatch.llm.common import components, cut, hash_sample
 from roadwatch.llm.vectors import cosine, dimension, matrix, unit, usable
 
 PREFIX = 7
@@ -105,7 +105,7 @@ def _linked(rows: DataFrame, dim: int, threshold: float, shared: int) -> DataFra
     count = distinct.count()
     n = int(min(MAX_PIVOTS, max(MIN_PIVOTS, round(2 * count ** 0.5))))
     drawn = max(1, min(DRAWN * n, SAMPLE_VALUES // dim))
-    sample = distinct.orderBy(F.xxhash64("v"), "node").limit(drawn).select("v").toArrow()
+    sample = hash_sample(distinct.select("v"), ["v"], drawn, count).toArrow()
     pivots = choose_pivots(matrix(sample.column(0)), n)
     prefix = min(PREFIX, len(pivots))
     shared_pivots = rows.sparkSession.sparkContext.broadcast(pivots)  # bounded: MAX_PIVOTS rows

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadwatch.llm.common import cut, slices
+from roadwatch.llm.common import cut, hash_sample, slices
 
 #: Identity terms by group: each is swapped for the next ones of its group.
 IDENTITY_GROUPS = (
@@ -147,7 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)) \
         .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-    low = [known.where(F.col("y") == c).orderBy(F.xxhash64("id"), "id").limit(n) for c, n in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
+    labelled = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    low = [hash_sample(known.where(F.col("y") == c), ["id"], n, labelled.get(c, 0)) for c, n in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
     sample = cut(low[0].unionByName(low[1]))
     texts = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
                 .join(F.broadcast(sample), "id").select("id", "y", "text"))  # at most MAX_POSITIVE + MAX_NEGATIVE ids

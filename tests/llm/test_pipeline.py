@@ -89,3 +89,12 @@ def test_word_counts(spark):
 
 def test_training_bounds():
     assert toxicity.MAX_POSITIVE + toxicity.MAX_NEGATIVE <= 10_000 and toxicity.MAX_FEATURES <= 4096
+
+
+def test_hash_sample_is_exact_and_bounded(spark):
+    from roadwatch.llm.common import hash_sample
+    df = spark.range(20_000).withColumnRenamed("id", "k")
+    some = hash_sample(df, ["k"], 300, 20_000)
+    assert some.count() == 300
+    assert sorted(r.k for r in some.collect()) == sorted(r.k for r in hash_sample(df, ["k"], 300, 0).collect())
+    assert hash_sample(df.limit(5), ["k"], 300, 5).count() == 5
