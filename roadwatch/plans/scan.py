@@ -90,6 +90,15 @@ def _shuffled(df: DataFrame, keys: Sequence[str], bucket: str) -> tuple[DataFram
     return part, F.max(row).alias("_all"), row <= F.col("_all")
 
 
+def _by_key(summary: DataFrame, keys: Sequence[str], bucket: str):
+    """The summary with its key and bucket as columns (one shuffle for all windows over
+    them), and the windows over a whole key and along its buckets."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    named = summary.withColumns({n: F.col(f"_part.{k}") for n, k in zip([*names, "_b"], [*keys, bucket])})
+    w_key = Window.partitionBy(*names)
+    return named, w_key, w_key.orderBy("_b")
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                specs: Sequence[tuple[str, str, Column]],
                bucket: str = BUCKET_COL) -> DataFrame:
@@ -118,9 +127,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         aggs.append(edge[kind](expr).alias(f"_a_{name}"))
 
     # One row per (key, bucket), from the same shuffled rows.
-    summary = rows.groupBy("_part").agg(whole, *aggs)
-    w_key = Window.partitionBy(*[F.col(f"_part.{k}") for k in keys])
-    w_s = w_key.orderBy(F.col(f"_part.{bucket}"))
+    summary, w_key, w_s = _by_key(rows.groupBy("_part").agg(whole, *aggs), keys, bucket)
     w_before = w_s.rowsBetween(Window.unboundedPreceding, -1)
     carry_of = {"prev": lambda a: F.lag(a).over(w_s), "next": lambda a: F.lead(a).over(w_s),
                 "sum": lambda a: F.sum(a).over(w_before), "max": lambda a: F.max(a).over(w_before),
@@ -181,7 +188,7 @@ def island_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], payloa
     summary_rows = staged.groupBy("_part").agg(
         whole, F.count(F.lit(1)).alias("_n"), F.min_by("_pl", ord_struct).alias("_first"),
         F.max_by("_pl", ord_struct).alias("_last"), F.max("_lstart").alias("_bstart"))
-    w_k = Window.partitionBy(*[F.col(f"_part.{k}") for k in keys]).orderBy(F.col(f"_part.{bucket}"))
+    summary_rows, _, w_k = _by_key(summary_rows, keys, bucket)
     summary = summary_rows \
         .withColumn("_off", F.coalesce(F.sum("_n").over(w_k.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
         .withColumn("_prev_last", F.lag("_last").over(w_k)) \
