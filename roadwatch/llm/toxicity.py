@@ -141,17 +141,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on ``labels`` (already restricted to rows that may be learned from).
 
     The sample takes the ids of lowest hash, at most :data:`MAX_POSITIVE` and
-    :data:`MAX_NEGATIVE` per class; NULL labels and ids are left out, ids
-    labelled twice or found twice count twice, NULL texts are empty. Without
+    :data:`MAX_NEGATIVE` per class; NULL labels and ids are left out, an id that
+    is labelled or found more than once counts once per label, with its
+    smallest text, and NULL texts are empty. Without
     rows of both classes the model is empty: every score is 0.5 or below.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)) \
-        .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
+        .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
     labelled = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     low = [hash_sample(known.where(F.col("y") == c), ["id"], n, labelled.get(c, 0)) for c, n in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
     sample = cut(low[0].unionByName(low[1]))
     texts = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-                .join(F.broadcast(sample), "id").select("id", "y", "text"))  # at most MAX_POSITIVE + MAX_NEGATIVE ids
+                .join(F.broadcast(sample), "id")  # at most MAX_POSITIVE + MAX_NEGATIVE ids
+                .groupBy("id", "y").agg(F.min("text").alias("text")))
 
     def counts(batches):
         seen: dict[int, list[int]] = {}

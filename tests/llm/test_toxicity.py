@@ -53,6 +53,13 @@ def test_counterfactual_penalty_spares_neutral_mentions(spark):
     assert gap[1] < 0.25 * gap[0] and fair.scorer()(a) < 0.7
 
 
+def test_a_repeated_id_counts_once(spark):
+    docs, labels = corpus()
+    once = fit(spark, docs, labels)[1]
+    often = fit(spark, docs + [docs[10]] * 50, labels + [labels[10]] * 5)[1]
+    assert once.weights.keys() == often.weights.keys() and abs(once.bias - often.bias) < 1e-9
+
+
 def test_swaps_stay_in_their_group():
     assert T.swaps({"word"}) == []
     got = T.swaps({"muslims", "x"})
