@@ -98,7 +98,7 @@ class Model:
 
 
 def fit_logistic(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[int, list[int]]], n: int,
-                 counterfactual: float = 1.0, ridge: float = 1e-3, rounds: int = 400, rate: float = 0.1):
+                 counterfactual: float = 1.0, ridge: float = 1e-4, rounds: int = 400, rate: float = 0.1):
     """Weights and bias of the penalised logistic model, by full-batch Adam.
 
     Loss: class-balanced log loss + ``ridge`` * |w|^2 + ``counterfactual`` *
