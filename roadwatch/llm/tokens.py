@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -58,13 +59,13 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.memory = Memory(self._piece)
         # The byte-level alphabet: printable bytes stand for themselves, others for U+0100 on.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        odd = iter(range(256, 512))
-        self.alphabet = {b: chr(b if b in plain else next(odd)) for b in range(256)}
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
 
     def _piece(self, piece: str) -> bytes:
-        mapped = "".join(self.alphabet[b] for b in piece.encode())
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        mapped = piece.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
