@@ -5,7 +5,7 @@
 3. secret scans: what is found is blacked out in the text; the document stays.
 4. mixing: sources are taken to their target weights (documents repeat, one
    per source is cut at the budget).
-5. best-fit packing: the mix as pieces in bins.
+5. best-fit packing: the mix as pieces in bins, by tokens.
 
 Every stage works on all rows of the one before. All but the last return the
 columns of `documents`; where a text changes, `n_chars` follows it.
@@ -49,8 +49,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece: its document, words, bin, place in the bin and the bin's length."""
-    return packing.pack_documents(docs)
+    """A row per piece: its document, words (`size`), tokens (`n_tokens`), bin, place in the
+    bin and the bin's length. Bins are filled by tokens: `start`, `offset` and `length` count them."""
+    return packing.pack_tokens(docs).withColumnsRenamed({"size": "n_tokens", "words": "size"})
 
 
 STAGES = [

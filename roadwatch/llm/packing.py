@@ -1,5 +1,8 @@
 """Variable-capacity best-fit packing of token sequences.
 
+:func:`pack_tokens` encodes the texts and fills bins by tokens;
+:func:`pack_documents` packs by any given size.
+
 Pieces (documents, split where they exceed the largest length) are dealt by
 hash into groups of bounded size, and each group is packed in one task. Pieces
 go by falling size into the open bin with the least room that still fits.
@@ -16,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadwatch.llm.common import cut, word_count
+from roadwatch.llm import tokens
+from roadwatch.llm.common import cut, slices, word_count
 
 LENGTHS = (512, 1024, 2048, 4096)
 #: Pieces per group, on average: what one task packs at a time.
@@ -35,7 +39,7 @@ def cost(length: int) -> float:
 def pack(sizes: list[int], lengths=LENGTHS) -> list[tuple[int, int]]:
     """Bin and offset of each piece; ``sizes`` fall, each at most ``max(lengths)``."""
     lengths = sorted(lengths)
-    # Total size of the pieces of at most x words not yet placed, by cumulated size.
+    # Total size of the pieces of size at most x not yet placed, by cumulated size.
     top = lengths[-1]
     later = np.zeros(top + 1, np.int64)
     for s in sizes:
@@ -83,22 +87,61 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", size: Column | None
                    group: int = GROUP) -> DataFrame:
     """``(id_col, piece, start, size, bin_id, offset, length)``: a row per piece.
 
-    ``size`` defaults to the number of words of ``text``. A document longer
-    than the largest length is split into pieces of that length and a rest;
-    ``start`` is the piece's first word in the document, ``offset`` its place
-    in the bin, ``length`` the bin's final length. Documents without words
-    (NULL or empty texts) have one piece of size 0 with NULL ``bin_id``,
-    ``offset`` and ``length``. Repeated rows and rows with a NULL id are
-    packed like any others; ties are broken by id and piece, and reruns over the
-    same files agree.
+    ``size`` defaults to the number of words of ``text``; bins filled by words
+    hold more tokens than their length (:func:`pack_tokens` fills by tokens). A
+    document longer than the largest length is split into pieces of that length
+    and a rest; ``start`` is the piece's first unit in the document, ``offset``
+    its place in the bin, ``length`` the bin's final length. Documents of size 0
+    or NULL have one piece of size 0 with NULL ``bin_id``, ``offset`` and
+    ``length``. Repeated rows and rows with a NULL id are packed like any others;
+    ties are broken by id and piece, and reruns over the same files agree.
     """
-    lengths = sorted(set(lengths))
-    top = lengths[-1]
-    kind = docs.schema[id_col].dataType.simpleString()
+    top = max(lengths)
     sized = docs.select(F.col(id_col).alias("id"), F.coalesce(size if size is not None else word_count(F.col("text")), F.lit(0)).cast("long").alias("n"))
-    pieces = cut(sized.select("id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.expr(f"(n - 1) div {top}")))).alias("piece"))
-                 .select("id", F.col("piece").cast("int").alias("piece"), (F.col("piece") * top).alias("start"),
-                         F.least(F.lit(top), F.col("n") - F.col("piece") * top).cast("int").alias("size")))
+    pieces = sized.select("id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.expr(f"(n - 1) div {top}")))).alias("piece")) \
+        .select("id", F.col("piece").cast("int").alias("piece"), (F.col("piece") * top).alias("start"),
+                F.least(F.lit(top), F.col("n") - F.col("piece") * top).cast("int").alias("size"), F.lit(None).cast("long").alias("words"))
+    return _pack_pieces(pieces, lengths, group).drop("words").withColumnRenamed("id", id_col)
+
+
+def pack_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengths=LENGTHS, group: int = GROUP,
+                tokenizer: str | None = None) -> DataFrame:
+    """``(id_col, piece, start, size, words, bin_id, offset, length)``: a row per piece.
+
+    As :func:`pack_documents`, with the ids of the word BPE as the unit: a
+    document's tokens are those that ``token_output.write_tokens`` writes, the
+    end id included, and ``start``, ``size`` and ``offset`` count them. ``words``
+    is the number of words that begin in the piece. Texts without tokens (NULL,
+    empty or white space) hold nothing to learn and get no bin, as there.
+    """
+    top = max(lengths)
+    tokenizer = tokenizer or tokens.tokenizer_path(tokens.WORD_BPE)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        encoder = tokens.worker_encoder(tokenizer)
+        for b in slices(batches):
+            n, words = [], []
+            for t in b.column(1).cast(pa.binary()):
+                text = t.as_py() or b""
+                size, held = encoder.count(text)
+                size += size > 0  # the end id
+                n.append(size)
+                words.append(np.bincount(encoder.word_starts(text.decode()) // top, minlength=-(-size // top)).tolist() if size > top else [held])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(words, pa.list_(pa.int64()))], ["id", "n", "words"])
+
+    sized = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, words array<long>")
+    pieces = sized.select("id", "n", F.posexplode("words").alias("piece", "words")) \
+        .select("id", "piece", (F.col("piece").cast("long") * top).alias("start"),
+                F.least(F.lit(top), F.col("n") - F.col("piece").cast("long") * top).cast("int").alias("size"), "words")
+    return _pack_pieces(pieces, lengths, group).select(F.col("id").alias(id_col), "piece", "start", "size", "words", "bin_id", "offset", "length")
+
+
+def _pack_pieces(pieces: DataFrame, lengths, group: int) -> DataFrame:
+    """``pieces`` ``(id, piece, start, size, words)`` with ``bin_id``, ``offset`` and ``length``."""
+    lengths = sorted(set(lengths))
+    kind = pieces.schema["id"].dataType.simpleString()
+    pieces = cut(pieces)
     groups = max(1, -(-pieces.where("size > 0").count() // group))
     # The salt spreads the rows of a repeated id.
     keyed = pieces.where("size > 0").withColumn("g", F.pmod(F.xxhash64("id", "piece", "size", F.monotonically_increasing_id() % 1024), F.lit(groups)).cast("int"))
@@ -110,11 +153,11 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", size: Column | None
         filled = np.bincount(bins, weights=t.column("size").to_numpy())
         final = np.array(lengths)[np.searchsorted(lengths, filled)]
         g = t.column("g")[0].as_py()
-        return pa.table([t.column("id"), t.column("piece"), t.column("start"), t.column("size"), pa.array(g * BINS + bins, pa.int64()),
+        return pa.table([*(t.column(c) for c in ("id", "piece", "start", "size", "words")), pa.array(g * BINS + bins, pa.int64()),
                          pa.array([o for _, o in where], pa.int32()), pa.array(final[bins], pa.int32())],
-                        names=["id", "piece", "start", "size", "bin_id", "offset", "length"])
+                        names=["id", "piece", "start", "size", "words", "bin_id", "offset", "length"])
 
-    packed = keyed.groupBy("g").applyInArrow(run, f"id {kind}, piece int, start long, size int, bin_id long, offset int, length int")
-    empty = pieces.where("size = 0").select("id", "piece", "start", "size", F.lit(None).cast("long").alias("bin_id"),
+    packed = keyed.groupBy("g").applyInArrow(run, f"id {kind}, piece int, start long, size int, words long, bin_id long, offset int, length int")
+    empty = pieces.where("size = 0").select("id", "piece", "start", "size", "words", F.lit(None).cast("long").alias("bin_id"),
                                             F.lit(None).cast("int").alias("offset"), F.lit(None).cast("int").alias("length"))
-    return packed.unionByName(empty).withColumnRenamed("id", id_col)
+    return packed.unionByName(empty)

@@ -48,7 +48,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packing.pack_tokens(table(spark, sf_dir, "documents"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

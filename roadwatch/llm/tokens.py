@@ -12,9 +12,12 @@ import base64
 import os
 import re
 import struct
+import sys
 
 import numpy as np
 
+from roadwatch.llm.common import WORD
+
 #: Pieces remembered per generation; a task holds at most two generations.
 GENERATION = 250_000
 WORD_BPE = "word_bpe_49k.json"
@@ -58,6 +61,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.memory = Memory(self._piece)
+        self.piece_sizes, self.sizes = Memory(self._piece_size), Memory(self._size)
         # The byte-level alphabet: printable bytes stand for themselves, others for U+0100 on.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
@@ -67,6 +71,15 @@ class WordEncoder:
         ids = [t.id for t in self.model.tokenize(mapped)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _piece_size(self, piece: str) -> int:
+        # Visible ASCII stands for itself.
+        plain = piece.isascii() and piece.isprintable()
+        return len(self.model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self.alphabet)))
+
+    def _size(self, word: bytes) -> int:
+        sizes, text = self.piece_sizes, word.decode()
+        return sum([sizes[p] for p in self.PIECES.findall(text)])
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if "<|" in text if text.isascii() else self.OTHER.search(text):
@@ -74,6 +87,40 @@ class WordEncoder:
         memory = self.memory
         return b"".join([memory[p] for p in self.PIECES.findall(text.lower())])
 
+    def count(self, text: bytes) -> tuple[int, int]:
+        """Number of ids and of words (:data:`common.WORD`): no piece crosses white space, so
+        whole words are remembered."""
+        if text.isascii():
+            words, whole = text.lower().split(), b"<|" in text
+        else:
+            decoded = text.decode()
+            words, whole = decoded.lower().encode().split(), self.OTHER.search(decoded)
+        n = len(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids) if whole else sum(map(self.sizes.__getitem__, words))
+        return n, len(words)
+
+    def word_starts(self, text: str) -> np.ndarray:
+        """Number of the token that each word (:data:`common.WORD`) of a text with tokens begins in;
+        a word without tokens counts for the next one that has some, or the last."""
+        if "<|" in text if text.isascii() else self.OTHER.search(text):
+            at = [a for a, _ in self.tokenizer.encode(text, add_special_tokens=False).offsets]
+        else:
+            at = []
+            for m in self.PIECES.finditer(text.lower()):
+                at += [m.start()] * (len(self.memory[m.group()]) // 4)
+        begins = [m.start() for m in re.finditer(WORD, text)]
+        return np.minimum(np.searchsorted(np.maximum.accumulate(at), begins, "left"), len(at) - 1)
+
+
+def worker_encoder(path: str) -> WordEncoder:
+    """The worker process's :class:`WordEncoder`: the next task in it finds the memory filled.
+
+    Held by ``sys``, since this module is shipped by value with every task.
+    """
+    held = sys.__dict__.setdefault("_roadwatch_encoders", {})
+    if path not in held:
+        held[path] = WordEncoder(path)
+    return held[path]
+
 
 class ByteSpans:
     """Byte lengths of the tokens of the byte-level BPE (``byte_bpe_50k.tiktoken``) by tiktoken.

@@ -81,6 +81,37 @@ def test_pieces_and_bins(spark, group):
     assert sorted(r.start for r in got if r.doc_id == 2000) == [0, 4096, 8192]
 
 
+def test_bins_hold_tokens(spark, tmp_path):
+    import corpus_pipeline as P
+    from roadwatch.llm import queries, tokens
+    texts = ["It's 20,000 leagues, isn't it? " * 150, "0123456789" * 300, "\u6f22\u5b57" * 6000, "Caf\u00e9 na\u00efve <|x " * 1500, "a1 b2", None, " \n"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "orphan text"), (4, "a1 b2")] + [(100 + i, f"w{i} " * (i % 90 + 1)) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    library = tokens.WordEncoder(tokens.tokenizer_path(tokens.WORD_BPE)).tokenizer
+    want, words = defaultdict(int), defaultdict(int)
+    for i, t in rows:
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        want[i] += n + (n > 0)
+        words[i] += len((t or "").split())
+    for got, size, word in ((queries.op7_packing(spark, str(tmp_path)), "size", "words"),
+                            (P.pack_sequences(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)), "n_tokens", "size")):
+        sums, held, bins = defaultdict(int), defaultdict(int), defaultdict(list)
+        for r in got.collect():
+            sums[r.doc_id] += r[size]
+            held[r.doc_id] += r[word]
+            assert r.start == r.piece * 4096 and (r[size] == 4096 or r.start + r[size] == want[r.doc_id] or r.doc_id == 4)
+            if r[size]:
+                bins[r.bin_id].append((r.offset, r[size], r.length))
+            else:
+                assert r.bin_id is None and r.length is None
+        assert sums == want and held == words and want[2] > 4096
+        for b in bins.values():
+            b.sort()
+            assert [o for o, _, _ in b] == [sum(n for _, n, _ in b[:i]) for i in range(len(b))]
+            total = sum(n for _, n, _ in b)
+            assert {c for _, _, c in b} == {next(c for c in packing.LENGTHS if c >= total)}
+
+
 def test_packing_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
