@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes = texts.groupBy("y").count().collect()
     total = {r["y"]: r["count"] for r in sizes}
     if not total.get(1) or not total.get(0):
-        return Model(bias=float(np.log((total.get(1, 0) + 0.5) / (total.get(0, 0) + 1.5))))
+        return Model(bias=min(0.0, float(np.log((total.get(1, 0) + 0.5) / (total.get(0, 0) + 1.5)))))
     tab = texts.select("y", "text").mapInArrow(counts, "f long, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     p, q = F.col("pos") / total[1], F.col("neg") / total[0]
     mean = (F.col("pos") + F.col("neg")) / (total[1] + total[0])

@@ -81,6 +81,12 @@ def test_run_and_empty_tables(spark, tables, tmp_path):
     assert P.run(spark, str(tmp_path)).count() == 0
 
 
+def test_all_rows_stay_if_only_toxic_labels_match(spark, tables, tmp_path):
+    spark.read.parquet(f"{tables}/labels.parquet").where("toxic = 1").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    assert P.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_word_counts(spark):
     rows = [("a b", 2), (None, 0), ("", 0), ("\t\n a\x0bb\x0cc\rd e f ", 5), ("\x1c \x1d", 2)]
     df = spark.createDataFrame(rows, "t string, n int")

@@ -72,3 +72,9 @@ def test_no_labels_or_one_class(spark):
         d, model = fit(spark, docs, lab)
         assert all(r.score <= 0.5 for r in T.score(d, model).collect())
     assert T.score(spark.createDataFrame([], DOCS), model).count() == 0
+
+
+def test_only_toxic_labels(spark):
+    docs, _ = corpus(20)
+    d, model = fit(spark, docs, [(i, 1) for i in range(20)])
+    assert not model.weights and all(r.score <= 0.5 for r in T.score(d, model).collect())
