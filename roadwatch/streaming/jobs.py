@@ -179,12 +179,11 @@ def stream_pair_actions(violations: DataFrame, actions: DataFrame, timeout="5 se
     timer state machine): both inputs unioned per car, timers in event time."""
     if mode == "replay":
         return stream_pair_actions_replay(violations, actions, timeout, delay, violation_id, action_id)
-    u = _events(violations, actions, violation_id, action_id) \
+    # A watermark per input: Spark goes by the smaller one, so a lagging input keeps its partners waiting.
+    u = _events(watermarked(violations, "create_time", delay), watermarked(actions, "action_time", delay), violation_id, action_id) \
         .withColumnsRenamed({"_kind": "kind", "_t": "t", "_id": "rid"})
     ms = duration_ms(timeout)
-    return fold_by_key(watermarked(u, "t", delay), ["car"],
-                       lambda s: machines.PairOneToOne(s, ms), _REPLAY_SCHEMA, "t",
-                       ["t", "kind", "rid"], late="drop")
+    return fold_by_key(u, ["car"], lambda s: machines.PairOneToOne(s, ms), _REPLAY_SCHEMA, "t", ["t", "kind", "rid"])
 
 
 def stream_pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
@@ -192,12 +191,11 @@ def stream_pair_actions_replay(violations: DataFrame, actions: DataFrame, timeou
                                action_id: str = "event_id") -> DataFrame:
     """D6 (replay) on streams: both inputs unioned per car, timers in event time."""
     # Plain column names: leading underscores do not survive the trip into the Python fold.
-    u = _events(violations, actions, violation_id, action_id) \
+    # A watermark per input: Spark goes by the smaller one, so a lagging input keeps its partners waiting.
+    u = _events(watermarked(violations, "create_time", delay), watermarked(actions, "action_time", delay), violation_id, action_id) \
         .withColumnsRenamed({"_kind": "kind", "_t": "t", "_id": "rid"})
     ms = duration_ms(timeout)
-    return fold_by_key(watermarked(u, "t", delay), ["car"],
-                       lambda s: machines.PairReplay(s, ms), _REPLAY_SCHEMA, "t",
-                       ["t", "kind", "rid"], late="drop")
+    return fold_by_key(u, ["car"], lambda s: machines.PairReplay(s, ms), _REPLAY_SCHEMA, "t", ["t", "kind", "rid"])
 
 
 def stream_area_distinct_running(passages: DataFrame, size="10 minutes", method: str = "bloom",

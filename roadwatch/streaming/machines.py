@@ -164,6 +164,11 @@ class PairReplay(Machine):
             heapq.heappush(self.s["timers"], rec["t"] + self.timeout)
             self.s["slot"] = {k: rec.get(k) for k in ["car", "kind", "t"] + V_COLS + P_COLS}
 
+    def feed_late(self, recs, watermark, out):
+        """As the original: timers up to the watermark have fired, then a late record is one like any other."""
+        self.advance(watermark, out)
+        self.feed_all(recs, out)
+
     def advance(self, watermark, out):
         # Every later record has t > watermark, so timers at or before it fire now.
         self._fire_before(watermark, out, inclusive=True)
@@ -203,6 +208,21 @@ class PairOneToOne(Machine):
             self._alone(out)
         self.s["slot"] = {k: rec.get(k) for k in ["car", "kind", "t"] + V_COLS + P_COLS}
 
+    def feed_late(self, recs, watermark, out):
+        """A late record may pair with the pending one, whichever is older; one older
+        than the pending record that does not pair with it is reported alone."""
+        for rec in recs:
+            slot = self.s["slot"]
+            if slot is None or slot["t"] <= rec["t"]:
+                self.feed(rec, out)
+            elif slot["kind"] != rec["kind"] and slot["t"] - rec["t"] <= self.timeout:
+                self.s["slot"] = {k: rec.get(k) for k in ["car", "kind", "t"] + V_COLS + P_COLS}
+                self.feed(slot, out)
+            else:
+                self.s["slot"] = {k: rec.get(k) for k in ["car", "kind", "t"] + V_COLS + P_COLS}
+                self._alone(out)
+                self.s["slot"] = slot
+
     def advance(self, watermark, out):
         # Later records have t > watermark: none can pair once watermark >= t + timeout.
         slot = self.s["slot"]

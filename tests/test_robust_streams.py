@@ -147,3 +147,33 @@ def test_table_writer_outside_a_stream(spark, tmp_path):
     for _ in range(2):
         table_writer("violation_list", str(tmp_path / "t"))(df, 0)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+@pytest.mark.parametrize("mode", ["paired", "replay"])
+def test_pairing_waits_for_the_input_that_lags_and_keeps_late_records(spark, tmp_path, mode):
+    v_schema = "car string, create_time long, msg string, event_id long"
+    p_schema = "car string, action_time long, police_id string, action_status string, event_id long"
+    for d in "vp":
+        (tmp_path / d).mkdir()
+
+    def put(d, n, rows):
+        spark.createDataFrame(rows, v_schema if d == "v" else p_schema).coalesce(1).write.parquet(f"{tmp_path}/{d}/{n}")
+
+    put("v", 0, [("A", 100_000, "m", 1), ("B", 200_000, "m", 2)])
+    put("p", 0, [("C", 50_000, "p", "s", 10)])
+    v = spark.readStream.schema(v_schema).parquet(f"{tmp_path}/v/*")
+    p = spark.readStream.schema(p_schema).parquet(f"{tmp_path}/p/*")
+    q = jobs.start(jobs.stream_pair_actions(v, p, mode=mode), f"lag_{mode}")
+    try:
+        for n, (d, rows) in enumerate([("p", [("A", 101_000, "p", "s", 11)]), ("p", [("Z", 900_000, "p", "s", 12)]),
+                                       ("v", [("Z", 900_000, "m", 3)]), ("v", [("L", 300_000, "m", 4)]),
+                                       ("v", [("Y", FAR, "m", 5)]), ("p", [("Y", FAR, "p", "s", 13)])], 1):
+            q.processAllAvailable()
+            put(d, n, rows)
+        q.processAllAvailable()
+        got = {(r.car, r.outcome, r.violation_id, r.action_id) for r in spark.table(f"lag_{mode}").collect()}
+    finally:
+        q.stop()
+    assert {("A", "matched", 1, 11), ("B", "no_police", 2, None), ("C", "no_violation", None, 10),
+            ("Z", "matched", 3, 12), ("L", "no_police", 4, None)} <= got
+    assert not any(car == "A" and outcome != "matched" for car, outcome, _, _ in got)
