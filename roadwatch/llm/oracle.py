@@ -54,7 +54,37 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM d LEFT JOIN a USING (row_id)
 """
 
-SQL = {"op1_secret_scan": OP1_SECRET_SCAN, "op8_mixing": OP8_MIXING}
+OP11_HARD_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, a.label = b.label AS same, b.vec_id AS b, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM e a JOIN e b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT a, b AS positive, score AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (SELECT p.*, s.b AS negative, s.score AS ns, row_number() OVER (PARTITION BY p.a, positive ORDER BY score DESC, b) AS k
+      FROM p JOIN s ON p.a = s.a AND NOT same AND 50 * ps <= 100 * score AND 100 * score <= 95 * ps)
+SELECT a AS anchor_id, positive AS positive_id, k::INTEGER AS rank, negative AS negative_id, ps AS positive_score, ns AS negative_score
+FROM n WHERE k <= 3
+"""
+
+# Every window written out; the operator itself extends anchors only.
+OP13_SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x, len(w) AS n FROM d),
+g AS (SELECT *, CASE WHEN i + 12 <= n THEN sha256(string_agg(x, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) END AS s
+      FROM p),
+m AS (SELECT s, min(doc_id) AS lo FROM g WHERE s IS NOT NULL AND doc_id IS NOT NULL GROUP BY s),
+f AS (SELECT g.r, g.i, g.x, coalesce(max(CASE WHEN g.doc_id > m.lo THEN 1 ELSE 0 END)
+             OVER (PARTITION BY g.r ORDER BY g.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW), 0) AS gone
+      FROM g LEFT JOIN m USING (s)),
+k AS (SELECT r, sum(gone)::BIGINT AS n_removed, coalesce(string_agg(x, ' ' ORDER BY i) FILTER (gone = 0), '') AS kept FROM f GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+SQL = {"op1_secret_scan": OP1_SECRET_SCAN, "op8_mixing": OP8_MIXING, "op11_hard_negatives": OP11_HARD_NEGATIVES,
+       "op13_substring_dedup": OP13_SUBSTRING_DEDUP}
 
 
 def _op10_sharding() -> str:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadwatch.llm import ann, embed_dedup, mixing, packing, secret_scan, sharding, simhash, token_counts, token_output, toxicity
+from roadwatch.llm import (
+    ann, embed_dedup, hard_negatives, mixing, packing, repeats, secret_scan, sharding, simhash, token_counts, token_output, toxicity, whitening,
+)
 from roadwatch.llm.common import table
 
 
@@ -68,6 +70,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The operator's exact deviation is a decimal; beyond a long it is NULL here.
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = F.aggregate("repeats", F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]))
+    return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")) \
+        .select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_ann": op2_ann,
@@ -79,4 +98,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_substring_dedup": op13_substring_dedup,
 }

@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def finite(v: Column) -> Column:
+    """Not NULL and every component present and finite."""
+    bad = F.exists(v.cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(v.isNotNull() & ~bad, F.lit(False))
+
+
+def by_length(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a batch by the length of their vectors."""
+    size = pc.list_value_length(batch.column(column))
+    lengths = pc.unique(size).to_pylist()
+    for d in lengths:
+        yield d, batch if len(lengths) == 1 else batch.filter(pc.equal(size, d))
+
+
 def usable(v: Column) -> Column:
     """Not NULL, every component present and finite, and some component not zero."""
     d = v.cast("array<double>")
@@ -25,7 +43,7 @@ def matrix(column) -> np.ndarray:
     """An Arrow list column without NULLs as a two-dimensional array of doubles."""
     column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
     flat = np.asarray(column.flatten(), np.float64)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    return flat.reshape(len(column), len(flat) // len(column)) if len(column) else np.zeros((0, 0))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
