@@ -94,12 +94,14 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", size: Column | None
     its place in the bin, ``length`` the bin's final length. Documents of size 0
     or NULL have one piece of size 0 with NULL ``bin_id``, ``offset`` and
     ``length``. Repeated rows and rows with a NULL id are packed like any others;
-    ties are broken by id and piece, and reruns over the same files agree.
+    ties are broken by id and piece. Bins depend on the rows alone, not on their
+    files or partitions.
     """
     top = max(lengths)
     sized = docs.select(F.col(id_col).alias("id"), F.coalesce(size if size is not None else word_count(F.col("text")), F.lit(0)).cast("long").alias("n"))
-    pieces = sized.select("id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.expr(f"(n - 1) div {top}")))).alias("piece")) \
-        .select("id", F.col("piece").cast("int").alias("piece"), (F.col("piece") * top).alias("start"),
+    sized = sized.groupBy("id", "n").agg(F.count("*").alias("rows")).withColumn("salt", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    pieces = sized.select("id", "n", "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.expr(f"(n - 1) div {top}")))).alias("piece")) \
+        .select("id", "salt", F.col("piece").cast("int").alias("piece"), (F.col("piece") * top).alias("start"),
                 F.least(F.lit(top), F.col("n") - F.col("piece") * top).cast("int").alias("size"), F.lit(None).cast("long").alias("words"))
     return _pack_pieces(pieces, lengths, group).drop("words").withColumnRenamed("id", id_col)
 
@@ -112,7 +114,9 @@ def pack_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     document's tokens are those that ``token_output.write_tokens`` writes, the
     end id included, and ``start``, ``size`` and ``offset`` count them. ``words``
     is the number of words that begin in the piece. Texts without tokens (NULL,
-    empty or white space) hold nothing to learn and get no bin, as there.
+    empty or white space) hold nothing to learn: they have size 0 and no bin
+    here, while a token file holds their end id. Bins depend on the rows alone,
+    not on their files or partitions.
     """
     top = max(lengths)
     tokenizer = tokenizer or tokens.tokenizer_path(tokens.WORD_BPE)
@@ -120,34 +124,35 @@ def pack_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         encoder = tokens.worker_encoder(tokenizer)
-        for b in slices(batches):
-            n, words = [], []
-            for t in b.column(1).cast(pa.binary()):
-                text = t.as_py() or b""
-                size, held = encoder.count(text)
-                size += size > 0  # the end id
-                n.append(size)
-                words.append(np.bincount(encoder.word_starts(text.decode()) // top, minlength=-(-size // top)).tolist() if size > top else [held])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(words, pa.list_(pa.int64()))], ["id", "n", "words"])
-
-    sized = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, n long, words array<long>")
-    pieces = sized.select("id", "n", F.posexplode("words").alias("piece", "words")) \
-        .select("id", "piece", (F.col("piece").cast("long") * top).alias("start"),
+        for b in slices(batches, 2048):
+            n, held = encoder.count(b.column(1))
+            n += n > 0  # the end id
+            words = [[w] for w in held.tolist()]
+            for i in np.flatnonzero(n > top).tolist():
+                words[i] = np.bincount(encoder.word_starts(b.column(1)[i].as_py()) // top, minlength=-(-int(n[i]) // top)).tolist()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n), pa.array(words, pa.list_(pa.int64()))], ["id", "h", "n", "words"])
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    sized = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h")).mapInArrow(run, f"id {kind}, h long, n long, words array<long>")
+    # Equal rows are told apart by their number, whatever files and partitions they came in.
+    sized = sized.groupBy("id", "h", "n", "words").agg(F.count("*").alias("rows")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    pieces = sized.select("id", "n", F.struct("h", "copy").alias("salt"), F.posexplode("words").alias("piece", "words")) \
+        .select("id", "salt", "piece", (F.col("piece").cast("long") * top).alias("start"),
                 F.least(F.lit(top), F.col("n") - F.col("piece").cast("long") * top).cast("int").alias("size"), "words")
     return _pack_pieces(pieces, lengths, group).select(F.col("id").alias(id_col), "piece", "start", "size", "words", "bin_id", "offset", "length")
 
 
 def _pack_pieces(pieces: DataFrame, lengths, group: int) -> DataFrame:
-    """``pieces`` ``(id, piece, start, size, words)`` with ``bin_id``, ``offset`` and ``length``."""
+    """``pieces`` ``(id, salt, piece, start, size, words)`` with ``bin_id``, ``offset`` and
+    ``length``; the salt tells equal rows apart."""
     lengths = sorted(set(lengths))
     kind = pieces.schema["id"].dataType.simpleString()
     pieces = cut(pieces)
     groups = max(1, -(-pieces.where("size > 0").count() // group))
-    # The salt spreads the rows of a repeated id.
-    keyed = pieces.where("size > 0").withColumn("g", F.pmod(F.xxhash64("id", "piece", "size", F.monotonically_increasing_id() % 1024), F.lit(groups)).cast("int"))
+    keyed = pieces.where("size > 0").withColumn("g", F.pmod(F.xxhash64("id", "piece", "size", "salt"), F.lit(groups)).cast("int")).drop("salt")
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("size", "descending"), ("id", "ascending"), ("piece", "ascending")])
+        t = t.sort_by([("size", "descending"), ("id", "ascending"), ("piece", "ascending"), ("words", "ascending")])
         where = pack(t.column("size").to_pylist(), lengths)
         bins = np.array([b for b, _ in where])
         filled = np.bincount(bins, weights=t.column("size").to_numpy())

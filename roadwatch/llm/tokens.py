@@ -15,6 +15,8 @@ import struct
 import sys
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from roadwatch.llm.common import WORD
 
@@ -53,6 +55,7 @@ class WordEncoder:
 
     # The pre-tokenizer's alternatives, for the characters below.
     PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9ß-öø-ſ]+", re.ASCII)
+    LINE_PIECES = re.compile(PIECES.pattern + "|\n", re.ASCII)
     OTHER = re.compile("[^\x00-\x7f¡-©«-±´¶-¸»¿-įı-ſ‐-‧‰-⁞]|<\\|")
 
     def __init__(self, path: str):
@@ -61,7 +64,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.memory = Memory(self._piece)
-        self.piece_sizes, self.sizes = Memory(self._piece_size), Memory(self._size)
+        self.piece_sizes = Memory(self._piece_size)
         # The byte-level alphabet: printable bytes stand for themselves, others for U+0100 on.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
@@ -72,13 +75,26 @@ class WordEncoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece_size(self, piece: str) -> int:
+        if piece == "\n":
+            return -1  # between words
         # Visible ASCII stands for itself.
         plain = piece.isascii() and piece.isprintable()
         return len(self.model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self.alphabet)))
 
-    def _size(self, word: bytes) -> int:
-        sizes, text = self.piece_sizes, word.decode()
-        return sum([sizes[p] for p in self.PIECES.findall(text)])
+    def _sizes(self, words: list[str]) -> np.ndarray:
+        """Number of ids of each word; -1 if texts with it are encoded whole. No piece crosses
+        white space, so words are cut in one go."""
+        if not words:
+            return np.zeros(0, np.int64)
+        joined = "\n".join(words)
+        if self.OTHER.search(joined):
+            plain = np.array([not self.OTHER.search(w) for w in words])
+            out = np.full(len(words), -1, np.int64)
+            out[plain] = self._sizes([w for w, ok in zip(words, plain.tolist()) if ok])
+            return out
+        n = np.array(list(map(self.piece_sizes.__getitem__, self.LINE_PIECES.findall(joined.lower()))), np.int64)
+        ends = np.append(np.flatnonzero(n < 0), len(n))
+        return np.diff(np.concatenate([[0], np.cumsum(np.maximum(n, 0))])[ends], prepend=0)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -87,16 +103,22 @@ class WordEncoder:
         memory = self.memory
         return b"".join([memory[p] for p in self.PIECES.findall(text.lower())])
 
-    def count(self, text: bytes) -> tuple[int, int]:
-        """Number of ids and of words (:data:`common.WORD`): no piece crosses white space, so
-        whole words are remembered."""
-        if text.isascii():
-            words, whole = text.lower().split(), b"<|" in text
-        else:
-            decoded = text.decode()
-            words, whole = decoded.lower().encode().split(), self.OTHER.search(decoded)
-        n = len(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids) if whole else sum(map(self.sizes.__getitem__, words))
-        return n, len(words)
+    def count(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids and of words (:data:`common.WORD`) of each text (no NULLs): a batch's
+        distinct words are counted once each."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()))
+        offsets = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        each = self._sizes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        word = pc.not_equal(pc.binary_length(split.values), 0).to_numpy(zero_copy_only=False)  # white space at an end splits off an empty string
+
+        def per_text(x: np.ndarray) -> np.ndarray:
+            return np.diff(np.concatenate([[0], np.cumsum(x)])[offsets])
+
+        n = per_text(each)
+        for i in np.flatnonzero(per_text(each < 0)).tolist():
+            n[i] = len(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids)
+        return n, per_text(word)
 
     def word_starts(self, text: str) -> np.ndarray:
         """Number of the token that each word (:data:`common.WORD`) of a text with tokens begins in;

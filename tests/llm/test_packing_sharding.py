@@ -162,3 +162,14 @@ def test_place(spark, tmp_path):
     assert place(df.limit(0), names).count() == 0 and lookup(spark, names, 101).count() == 101
     write_shards(out, str(tmp_path / "s"), parts=2)
     assert spark.read.parquet(str(tmp_path / "s")).count() == 503
+
+
+def test_bins_do_not_depend_on_partitions(spark):
+    from roadwatch.llm import packing as K
+    rows = [(i % 50, f"w{i} " * (i % 60 + 1)) for i in range(600)] + [(7, "same text")] * 90 + [(None, None)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("id", "g", "bin_id", "words")})
+    found = [sorted(map(str, K.pack_tokens(df.repartition(n), group=40).collect())) for n in (1, 3, 7)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    plain = [sorted(map(str, pack_documents(df.repartition(n), group=40).collect())) for n in (2, 5)]
+    assert plain[0] == plain[1]
+    assert K.pack_tokens(df.limit(0)).count() == 0
