@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from roadwatch.functions.columns import DEFAULT_LIMIT, OVERSPEED_FACTOR, newest_first_key, overspeed, with_tie_id
+from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, keyed_scan
 from roadwatch.schemas import TRACK_COLS
 from roadwatch.sources.tables import one_row_per_station
 
@@ -49,6 +50,29 @@ def with_limits(passages: DataFrame, monitors: DataFrame, default: int = DEFAULT
         joined.withColumn("limit_speed", F.coalesce(F.col("limit_speed"), F.lit(int(default)))), keep)
 
 
+def limits_as_of(passages: DataFrame, history: DataFrame, default: int = DEFAULT_LIMIT, id_col: str = "event_id",
+                 bucket_ms: int = DEFAULT_BUCKET_MS, bucketing: str = "time") -> DataFrame:
+    """D2 with the limit that was valid when the car passed (A8): every passage with the
+    latest limit of its station at or before its time, ``default`` if there is none.
+
+    ``history(monitor_id, valid_from, speed_limit)`` is every version of the
+    station table; rows without a positive limit or a time are no versions (C3),
+    and of equal times the lowest limit holds. Passages without a time or
+    station have the default. An as-of join without a range join: passages and
+    versions are one sequence per station, and the last version is carried
+    along it by a skew-safe scan, so a busy station is spread over time buckets.
+    """
+    versions = history.where("speed_limit > 0 AND valid_from IS NOT NULL").groupBy("monitor_id", "valid_from").agg(F.min("speed_limit").alias("_limit"))
+    versions = versions.select("monitor_id", F.col("valid_from").alias("action_time"), F.lit(0).alias("_kind"), "_limit")
+    rows = with_tie_id(passages, id_col).drop("limit_speed").withColumn("_kind", F.lit(1))
+    order = ["action_time", "_kind", id_col]
+    both = bucketed(rows.unionByName(versions, allowMissingColumns=True), ["monitor_id"], order, "action_time", bucket_ms, bucketing)
+    scanned = keyed_scan(both, ["monitor_id"], order, [("limit_speed", "last", F.col("_limit"))])
+    known = F.col("action_time").isNotNull() & F.col("monitor_id").isNotNull()
+    return _speeding_projection(scanned.where("_kind = 1").withColumn(
+        "limit_speed", F.coalesce(F.when(known, F.col("limit_speed")), F.lit(int(default)))), (id_col,))
+
+
 def listed_cars_only(passages: DataFrame, listed: DataFrame) -> DataFrame:
     """D3 + C4: passages whose car appears in the list (membership; duplicates never multiply).
 

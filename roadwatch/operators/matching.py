@@ -9,10 +9,11 @@ split over its buckets instead of comparing all of its rows pairwise.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from roadwatch.functions.columns import with_tie_id
@@ -23,7 +24,7 @@ from roadwatch.plans.scan import DEFAULT_BUCKET_MS, bucketed, island_scan, time_
 def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_time",
                   right_time: str = "action_time", lower="-5 seconds", upper="5 seconds",
                   key: str = "car", how: str = "inner",
-                  left_id: str | None = None, right_id: str | None = None) -> DataFrame:
+                  left_id: str | None = None, right_id: str | None = None, salts: int = 1) -> DataFrame:
     """``right_time BETWEEN left_time + lower AND left_time + upper`` (both ends
     inclusive) on equal ``key``; many-to-many.
 
@@ -37,7 +38,10 @@ def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_ti
     without a partner appears once with NULLs, and a copy of a right row
     without one counts only if all its copies are (they are brought together
     by one more shuffle, in which every other row is spread by its own hash).
-    Rows with a NULL key or time have no partner. Apart from ``key`` the two
+    Rows with a NULL key or time have no partner and are spread by their hash.
+    Spark splits a hot ``(key, bucket)`` of an inner join at run time, of a full
+    outer join it cannot: ``salts`` spreads a bucket's left rows over that many
+    parts, each of which gets the right rows. Apart from ``key`` the two
     sides must have distinct column names. ``left_id``/``right_id`` are
     accepted for compatibility and not needed.
     """
@@ -47,14 +51,20 @@ def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_ti
     if how not in ("inner", "full_outer"):
         raise ValueError("how must be 'inner' or 'full_outer'")
     width = max(hi - lo, 1)
-    lb = left.withColumn("_jb", time_bucket(left_time, width))
     copies = F.sequence(time_bucket(f"({right_time} + ({-hi}))", width), time_bucket(f"({right_time} + ({-lo}))", width))
     if how == "inner":
-        rb = right.withColumn("_jb", F.explode(copies))
+        lb, rb = left.withColumn("_jb", time_bucket(left_time, width)), right.withColumn("_jb", F.explode(copies))
         in_range = F.col(right_time).between(F.col(left_time) + F.lit(lo), F.col(left_time) + F.lit(hi))
         return lb.join(rb, [key, "_jb"], "inner").where(in_range).drop("_jb")
-    rb = right.withColumn("_copies", copies).withColumn("_n", F.greatest(F.size("_copies"), F.lit(1))) \
-        .withColumn("_jb", F.explode_outer("_copies")).drop("_copies").withColumn("_right", F.lit(True))
+    if salts < 1:
+        raise ValueError("salts must be positive")
+    l_hash, r_hash = F.xxhash64(*left.columns), F.xxhash64(*right.columns)
+    partnerless = lambda time: F.col(key).isNull() | F.col(time).isNull()
+    lb = left.withColumn("_jb", F.when(partnerless(left_time), l_hash).otherwise(
+        time_bucket(left_time, width) * salts + F.pmod(l_hash, F.lit(salts))))
+    parts = F.flatten(F.transform(copies, lambda b: F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: b * salts + i)))
+    rb = right.withColumn("_copies", F.when(partnerless(right_time), F.array(r_hash)).otherwise(parts)) \
+        .withColumn("_n", F.size("_copies")).withColumn("_jb", F.explode("_copies")).drop("_copies").withColumn("_right", F.lit(True))
     l_side, r_side = lb.withColumn("_left", F.lit(True)).alias("_l"), rb.alias("_r")
     cond = (F.col(f"_l.{key}") == F.col(f"_r.{key}")) & (F.col("_l._jb") == F.col("_r._jb")) \
         & F.col(f"_r.{right_time}").between(F.col(f"_l.{left_time}") + F.lit(lo),
@@ -68,9 +78,9 @@ def interval_join(left: DataFrame, right: DataFrame, left_time: str = "create_ti
         F.when(lone, F.struct(*r_cols)).alias("_which"),
         F.when(lone, F.xxhash64(*r_cols)).otherwise(F.xxhash64(*l_cols, *r_cols)).alias("_spread"))
     w = Window.partitionBy("_lone", "_spread", "_which")
-    kept = joined.withColumn("_seen", F.size(F.collect_set(F.coalesce("_jb", F.lit(0))).over(w))) \
+    kept = joined.withColumn("_seen", F.size(F.collect_set("_jb").over(w))) \
         .withColumn("_first", F.min("_jb").over(w))
-    once = ~F.col("_lone") | ((F.col("_seen") == F.col("_n")) & F.col("_jb").eqNullSafe(F.col("_first")))
+    once = ~F.col("_lone") | ((F.col("_seen") == F.col("_n")) & (F.col("_jb") == F.col("_first")))
     return kept.where(once).drop("_lone", "_n", "_jb", "_which", "_spread", "_seen", "_first")
 
 
@@ -223,7 +233,7 @@ def pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 se
     every timer has fired and the slot is empty: the machine restarts. Sessions
     are cut with the skew-safe keyed scan; rows are then hash-partitioned by
     ``(car, session)``, sorted inside partitions, and streamed through the
-    machine with ``mapInPandas`` -- Arrow batches in, the fold's state carried
+    machine with ``mapInArrow`` -- batches in, the fold's state carried
     across batches, so a session is never materialised as one group.
     """
     limit = duration_ms(timeout)
@@ -237,24 +247,23 @@ def pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 se
     u = u.select("car", "_session", "_kind", "_t", "_id", *_V_COLS, *_P_COLS) \
         .repartition("car", "_session") \
         .sortWithinPartitions("car", "_session", *order)
-    names = [f.name for f in _REPLAY_SCHEMA.fields]
+    schema = to_arrow_schema(_REPLAY_SCHEMA)
 
     def run(batches):
         key, machine = None, ReplayMachine(limit)
-        for pdf in batches:
+        for batch in batches:  # Arrow records: 64-bit ids stay exact next to NULLs
             out: list = []
-            recs = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
-            for rec in recs:
+            for rec in batch.to_pylist():
                 k = (rec["car"], rec["_session"])
                 if k != key:
                     machine.finish(out)
                     key = k
                 machine.feed(rec, out)
             if out:
-                yield pd.DataFrame(out, columns=names)
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
         tail: list = []
         machine.finish(tail)
         if tail:
-            yield pd.DataFrame(tail, columns=names)
+            yield pa.RecordBatch.from_pylist(tail, schema=schema)
 
-    return u.mapInPandas(run, _REPLAY_SCHEMA)
+    return u.mapInArrow(run, _REPLAY_SCHEMA)

@@ -41,10 +41,25 @@ def with_event_time(df: DataFrame, time_col: str = "action_time", watermark=None
     """Add ``ts`` (TIMESTAMP from epoch ms); with ``watermark`` also bound the disorder."""
     out = df.withColumn("ts", millis_to_ts(time_col))
     if watermark is not None:
-        out = out.withWatermark("ts", interval_text(watermark))
+        out = past_end_marker(out.withWatermark("ts", interval_text(watermark)), "ts")
     return out
 
 
+#: Event time of the row that ends a bounded stream (2262-01-01, within what pandas holds).
+END_MS = 9_214_646_400_000
+
+
+def past_end_marker(df: DataFrame, ts_col: str) -> DataFrame:
+    """``df`` without the end marker, behind the watermark that has seen it. (The condition
+    names the event-time column, so it is not pushed below the watermark.)"""
+    return df.where(F.col(ts_col).isNull() | (F.col(ts_col) < F.timestamp_millis(F.lit(END_MS))))
+
+
+def speed_sums():
+    """Exact partial sums behind the average speed."""
+    return F.sum(F.col("speed").cast("decimal(18,4)")).alias("_s"), F.count("*").alias("_n")
+
+
 def avg_speed(passages: DataFrame, size="5 minutes", slide="1 minute", watermark=None) -> DataFrame:
     """E1 + F1: average speed and passage count per station and sliding window.
 
@@ -54,11 +69,12 @@ def avg_speed(passages: DataFrame, size="5 minutes", slide="1 minute", watermark
 
     In batch, where the slide divides the size, passages are first aggregated
     per slide-long pane and only the panes are copied into the windows that
-    hold them; a stream (``watermark``) uses Spark's sliding window.
+    hold them; a stream (``watermark``) uses Spark's sliding window
+    (:func:`roadwatch.streaming.stream_avg_speed` chains panes instead).
     """
     df = with_event_time(passages, watermark=watermark)
     width, step = duration_ms(size), duration_ms(slide)
-    total, count = F.sum(F.col("speed").cast("decimal(18,4)")).alias("_s"), F.count("*").alias("_n")
+    total, count = speed_sums()
     if watermark is None and width % step == 0:
         pane = F.col("action_time") - F.pmod(F.col("action_time"), F.lit(step))
         panes = df.where("action_time IS NOT NULL").groupBy(pane.alias("_p"), "monitor_id").agg(total, count)
@@ -107,6 +123,55 @@ def area_distinct_approx(passages: DataFrame, size="10 minutes", rsd: float = 0.
         .agg(F.approx_count_distinct("car", rsd).alias("car_count"))
 
 
+def distinct_panes(passages: DataFrame, pane="10 minutes", lg_k: int = 12, watermark=None) -> DataFrame:
+    """F4 in mergeable form: one HyperLogLog sketch of the cars per area and pane
+    (``pane_start``, ``area_id``, ``sketch``), to be stored. Passages without a
+    car leave no trace. Partial sketches are merged before the shuffle; a
+    sketch is a few KB (``2**lg_k`` registers), whatever an area's traffic.
+    """
+    width = duration_ms(pane)
+    sketch = F.hll_sketch_agg("car", F.lit(lg_k)).alias("sketch")
+    if watermark is None:
+        start = (F.col("action_time") - F.pmod("action_time", F.lit(width))).alias("pane_start")
+        return passages.where("action_time IS NOT NULL AND car IS NOT NULL").groupBy(start, "area_id").agg(sketch)
+    timed = with_event_time(passages, watermark=watermark)
+    g = timed.groupBy(F.window("ts", interval_text(width)).alias("w"), "area_id").agg(sketch).where(F.hll_sketch_estimate("sketch") > 0)
+    return g.select(ts_to_millis("w.start").alias("pane_start"), "area_id", "sketch")
+
+
+def distinct_from_panes(panes: DataFrame, size, slide, pane) -> DataFrame:
+    """F4 over any window from stored panes: ``(start_time, end_time, area_id,
+    car_count)`` with the estimated distinct cars of each sliding window that
+    holds a pane. ``size`` and ``slide`` are multiples of ``pane``. Sketches of
+    an area and window are merged map-side first; panes that were stored twice
+    (a repeated append) change nothing, since a union of sketches is idempotent.
+    """
+    width, step, unit = duration_ms(size), duration_ms(slide), duration_ms(pane)
+    if width % unit or step % unit:
+        raise ValueError("size and slide must be multiples of the pane")
+    p = F.col("pane_start")
+    last = p - F.pmod(p, F.lit(step))  # the latest window start at or before the pane
+    first = last - F.lit(step) * F.floor((F.lit(width - unit) - (p - last)) / F.lit(step))
+    starts = F.explode(F.sequence(first.cast("long"), last, F.lit(step).cast("long")))
+    held = panes.where(p - last <= F.lit(width - unit)).select("area_id", "sketch", starts.alias("start_time"))
+    return held.groupBy("start_time", "area_id").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("car_count")) \
+        .select("start_time", (F.col("start_time") + F.lit(width)).alias("end_time"), "area_id", "car_count")
+
+
+def area_distinct_sliding(passages: DataFrame, size="10 minutes", slide="5 minutes") -> DataFrame:
+    """Exact distinct cars per area and sliding window: a car counts once per pane first, so
+    what is copied into windows is ``(pane, area, car)``, not passages."""
+    width, step = duration_ms(size), duration_ms(slide)
+    if width % step:
+        raise ValueError("the slide must divide the size")
+    p = F.col("action_time") - F.pmod("action_time", F.lit(step))
+    cars = passages.where("action_time IS NOT NULL AND car IS NOT NULL").select("area_id", "car", p.alias("_p")).distinct()
+    starts = F.explode(F.sequence(F.col("_p") - F.lit(width - step), F.col("_p"), F.lit(step).cast("long")))
+    return cars.select("area_id", "car", starts.alias("start_time")).groupBy("start_time", "area_id") \
+        .agg(F.count_distinct("car").alias("car_count")) \
+        .select("start_time", (F.col("start_time") + F.lit(width)).alias("end_time"), "area_id", "car_count")
+
+
 #: Time buckets per window of the running count: the scan's unit of work is
 #: (area, bucket), so a busy area's window spreads over this many tasks.
 RUNNING_BUCKETS = 64
@@ -124,9 +189,9 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
     of ``bits`` (from md5, which other engines share); a passage counts if it
     is the first to set one of its bits, so the count may be low.
 
-    First passages are marked with a row number over ``(area, window, car)``
-    or ``(area, window, bit)``, so a busy area is spread over its cars; a
-    skew-safe running sum over ``(area, window)`` in time buckets of a
+    First passages are marked by a skew-safe running number over ``(area, window,
+    car)``, in the same time buckets, or by a row number over ``(area, window,
+    bit)``; a busy area is spread over its cars. A skew-safe running sum over ``(area, window)`` in time buckets of a
     fraction of the window (:data:`RUNNING_BUCKETS`, or ``bucket_ms``) adds
     them up. The input is read once.
     """
@@ -135,10 +200,13 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
     order = ["action_time", id_col]
     width = duration_ms(size)
     cols = ["area_id", "start_time", "end_time", "car", "action_time", id_col]
+    slice_ms = bucket_ms or max(1, width // RUNNING_BUCKETS)
     d = _tumbling(with_tie_id(passages, id_col), width).select(*cols)
     if method == "exact":
-        nth = F.row_number().over(Window.partitionBy("area_id", "start_time", "car").orderBy(*order))
-        marked = d.withColumn("_w", F.when((nth == 1) & F.col("car").isNotNull(), 1).otherwise(0).cast("long"))
+        # A car's passages are numbered in time buckets too, so that no task holds all of a busy (or missing) car's.
+        key = ["area_id", "start_time", "car"]
+        nth = keyed_scan(bucketed(d, key, order, "action_time", slice_ms, bucketing), key, order, [("_nth", "sum", F.lit(1).cast("long"))])
+        marked = nth.select(*cols, F.when((F.col("_nth") == 1) & F.col("car").isNotNull(), 1).otherwise(0).cast("long").alias("_w"))
     else:
         offsets = [F.pmod(F.conv(F.substring(F.md5("car"), at, 15), 16, 10).cast("long"), F.lit(bits)) for at in (1, 17)]
         nth = F.row_number().over(Window.partitionBy("area_id", "start_time", "_bit").orderBy(*order, "_i"))
@@ -149,8 +217,7 @@ def area_distinct_running(passages: DataFrame, size="10 minutes", id_col: str =
         marked = marked.groupBy(*cols).agg(F.max("_f").alias("_w"), F.max("_n").alias("_n")) \
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))) \
             .withColumn("_w", F.when(F.col("_copy") == 1, F.col("_w")).otherwise(0)).select(*cols, "_w")
-    u = bucketed(marked, ["area_id", "start_time"], order, "action_time",
-                 bucket_ms or max(1, width // RUNNING_BUCKETS), bucketing)
+    u = bucketed(marked, ["area_id", "start_time"], order, "action_time", slice_ms, bucketing)
     u = keyed_scan(u, ["area_id", "start_time"], order, [("distinct_cars", "sum", F.col("_w"))])
     return u.select(*cols, "distinct_cars")
 

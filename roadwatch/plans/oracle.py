@@ -339,3 +339,18 @@ SELECT end_time, '在窗口' || min(start_time) || ' ----' || end_time || ' 时
        || string_agg('卡口:' || monitor_id || ',经过的车辆数量为:' || car_count || ',平均车速为:' || CAST(avg_speed AS VARCHAR), '' ORDER BY rank)
        || chr(10) AS message
 FROM ({SQL['top_n_monitors']}) GROUP BY end_time"""
+
+SQL["limits_as_of"] = BASE + f"""
+, h AS (
+  SELECT lpad(CAST({_K} AS VARCHAR), 4, '0') AS monitor_id, epoch_us(ts) // 1000 AS valid_from,
+         min(CASE WHEN event_id % 7 = 0 THEN 0 ELSE 20 + 10 * (event_id % 8) END) FILTER (event_id % 7 <> 0) AS speed_limit
+  FROM events WHERE event_type = 'signup' GROUP BY ALL HAVING speed_limit > 0)
+SELECT {_SPEEDING}, CAST(coalesce(h.speed_limit, 60) AS INTEGER) AS limit_speed, p.action_time, p.event_id
+FROM passages p ASOF LEFT JOIN h ON p.monitor_id = h.monitor_id AND p.action_time >= h.valid_from"""
+
+SQL["area_distinct_panes"] = BASE + f"""
+, win AS (
+  SELECT p.area_id, p.car, (p.action_time - p.action_time % 21600000) - r.j * 21600000 AS start_time
+  FROM passages p, (SELECT range AS j FROM range(0, 4)) r)
+SELECT start_time, start_time + {DAY} AS end_time, area_id, count(DISTINCT car) AS car_count, TRUE AS within_3_rsd
+FROM win GROUP BY ALL"""

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadwatch.operators import (
-    area_distinct, area_distinct_approx, area_distinct_running, avg_speed, clone_plate_cars, clone_plates,
-    count_batches, dangerous_driving, interval_join, newest_tracks, overspeed_passages, pair_actions,
+    area_distinct, area_distinct_approx, area_distinct_running, area_distinct_sliding, avg_speed, clone_plate_cars, clone_plates,
+    count_batches, dangerous_driving, distinct_from_panes, distinct_panes, interval_join, limits_as_of, newest_tracks,
+    overspeed_passages, pair_actions,
     top_n_monitors, tracks, with_limits,
 )
 from roadwatch.schemas import PASSAGE_COLS
@@ -211,6 +212,24 @@ def q_count_batches(spark: SparkSession, sf: str) -> DataFrame:
     return count_batches(p, BATCH_N, ("action_time", "event_id"))
 
 
+def q_limits_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    t = Tables(spark, sf)
+    return limits_as_of(t.passages(), t.station_history())
+
+
+def q_area_distinct_panes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sliding distinct counts from stored sketches beside the exact ones: the estimate must
+    lie within three standard errors (1.04 / sqrt(2**12) each)."""
+    t = Tables(spark, sf)
+    panes = distinct_panes(t.passages(), AVG_SLIDE)
+    estimates = distinct_from_panes(panes, AVG_SIZE, AVG_SLIDE, AVG_SLIDE)
+    exact = area_distinct_sliding(t.passages(), AVG_SIZE, AVG_SLIDE)
+    both = exact.join(estimates.withColumnRenamed("car_count", "estimate"), ["start_time", "end_time", "area_id"], "full")
+    error = F.abs(F.col("estimate") - F.col("car_count"))
+    return both.select("start_time", "end_time", "area_id", "car_count",
+                       F.coalesce(error <= F.greatest(F.lit(1.0), 3 * 1.04 / 64 * F.col("car_count")), F.lit(False)).alias("within_3_rsd"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_passages": q_parse_passages,
     "parse_passages_permissive": q_parse_passages_permissive,
@@ -242,4 +261,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_distinct_running_bloom": q_area_distinct_running_bloom,
     "area_messages": q_area_messages,
     "top_n_messages": q_top_n_messages,
+    "limits_as_of": q_limits_as_of,
+    "area_distinct_panes": q_area_distinct_panes,
 }

@@ -19,6 +19,7 @@ Scan kinds (all inclusive of the current row unless noted):
 ``next``   value of ``expr`` on the next row of the key (NULL on the last)
 ``sum``    running sum of ``expr``
 ``max``    running max of ``expr``
+``last``   latest value of ``expr`` so far that is not NULL
 ``total``  sum of ``expr`` over the whole key
 """
 
@@ -116,9 +117,10 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     staged = rows.withColumn("_scan_first", F.lag(F.lit(1)).over(w_loc).isNull()) \
         .withColumn("_scan_last", F.lead(F.lit(1)).over(w_loc).isNull())
     local = {"prev": lambda e: F.lag(e).over(w_loc), "next": lambda e: F.lead(e).over(w_loc),
-             "sum": lambda e: F.sum(e).over(w_cum), "max": lambda e: F.max(e).over(w_cum), "total": lambda e: F.lit(0)}
+             "sum": lambda e: F.sum(e).over(w_cum), "max": lambda e: F.max(e).over(w_cum), "total": lambda e: F.lit(0),
+             "last": lambda e: F.last(e, ignorenulls=True).over(w_cum)}
     edge = {"prev": lambda e: F.max_by(e, ord_struct), "next": lambda e: F.min_by(e, ord_struct),
-            "sum": F.sum, "max": F.max, "total": F.sum}
+            "sum": F.sum, "max": F.max, "total": F.sum, "last": lambda e: F.max_by(e, F.when(e.isNotNull(), ord_struct))}
     aggs: list[Column] = []
     for name, kind, expr in specs:
         if kind not in local:
@@ -131,7 +133,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     w_before = w_s.rowsBetween(Window.unboundedPreceding, -1)
     carry_of = {"prev": lambda a: F.lag(a).over(w_s), "next": lambda a: F.lead(a).over(w_s),
                 "sum": lambda a: F.sum(a).over(w_before), "max": lambda a: F.max(a).over(w_before),
-                "total": lambda a: F.sum(a).over(w_key)}
+                "total": lambda a: F.sum(a).over(w_key), "last": lambda a: F.last(a, ignorenulls=True).over(w_before)}
     carry = summary.select("_part", "_all", *[carry_of[kind](F.col(f"_a_{name}")).alias(f"_c_{name}") for name, kind, _ in specs])
 
     out = staged.join(carry, "_part", "inner").where(kept)
@@ -145,6 +147,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             val = F.coalesce(car, F.lit(0)) + loc
         elif kind == "total":
             val = car
+        elif kind == "last":
+            val = F.coalesce(loc, car)
         else:
             val = F.greatest(car, loc)
         out = out.withColumn(name, val).drop(f"_l_{name}", f"_c_{name}")

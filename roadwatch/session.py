@@ -87,13 +87,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only a session without the setting (local runs,
-    tests) gets a scratch folder of its own.
+    Read from the session; only a local session without the setting (tests) gets
+    a scratch folder of its own. On a cluster that would be each machine's own
+    disk, so there the setting is required.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        # Unset (a local or test session): take a scratch folder of our own.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="roadwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

@@ -60,6 +60,14 @@ def monitors_from_supplier(supplier: DataFrame) -> DataFrame:
     ).where(F.col("speed_limit") > 0)
 
 
+def station_history_from_events(events: DataFrame, event_type: str = "signup") -> DataFrame:
+    """Versions of the station table: each event of the type sets its station's limit from
+    then on (every 7th sets none)."""
+    limit = F.when(F.col("event_id") % 7 == 0, F.lit(0)).otherwise(F.lit(20) + F.lit(10) * (F.col("event_id") % 8))
+    return events.where(F.col("event_type") == event_type).select(
+        F.lpad(_k().cast("string"), 4, "0").alias("monitor_id"), ts_to_millis("ts").alias("valid_from"), limit.cast("int").alias("speed_limit"))
+
+
 def violations_from_events(events: DataFrame, event_type: str = "error") -> DataFrame:
     return events.where(F.col("event_type") == event_type).select(
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("car"),
@@ -94,6 +102,9 @@ class Tables:
     def monitors(self) -> DataFrame:
         return monitors_from_supplier(load(self.spark, self.sf_dir, "supplier"))
 
+    def station_history(self) -> DataFrame:
+        return station_history_from_events(self.events())
+
     def violations(self, event_type: str = "error") -> DataFrame:
         return violations_from_events(self.events(), event_type)
 

@@ -15,22 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, millis_to_ts, severe_overspeed, with_tie_id
+from roadwatch.functions.columns import DEFAULT_LIMIT, SEVERE_FACTOR, millis_to_ts, rounded_average, severe_overspeed, with_tie_id
 from roadwatch.operators.enrich import overspeed_passages, station_limits
 from roadwatch.operators.matching import _REPLAY_SCHEMA, _events
 from roadwatch.operators.patterns import CLONE_MSG
-from roadwatch.operators.windows import avg_speed, duration_ms, interval_text, top_n_monitors
+from roadwatch.operators.windows import (
+    avg_speed, distinct_panes, duration_ms, interval_text, past_end_marker, speed_sums, top_n_monitors, with_event_time,
+)
 from roadwatch.session import checkpoint_path
 from roadwatch.sources.lines import parse_passages, read_lines_stream
 from roadwatch.streaming import machines
-from roadwatch.streaming.state import fold_by_key
+from roadwatch.streaming.state import RunningMarks, fold_by_key, without_time
 
 
 def watermarked(df: DataFrame, time_col: str, delay, ts_col: str = "ts") -> DataFrame:
     """Event-time column from epoch ms plus a bounded-disorder watermark (5 s / 2 s in the
     reference; its ascending-timestamp jobs get 5 s too, since files and topic
-    partitions interleave)."""
-    return df.withColumn(ts_col, millis_to_ts(time_col)).withWatermark(ts_col, interval_text(delay))
+    partitions interleave). The end marker of a bounded input
+    (:mod:`roadwatch.streaming.bounded`) moves the watermark and goes no further."""
+    return past_end_marker(df.withColumn(ts_col, millis_to_ts(time_col)).withWatermark(ts_col, interval_text(delay)), ts_col)
 
 
 def passage_stream(spark: SparkSession, path: str, fmt: str = "text", **options) -> DataFrame:
@@ -41,8 +44,29 @@ def passage_stream(spark: SparkSession, path: str, fmt: str = "text", **options)
 # ---- windowed aggregates: batch code on a watermarked stream ----------------------------
 
 def stream_avg_speed(passages: DataFrame, size="5 minutes", slide="1 minute", delay="5 seconds"):
-    """F1 on a stream: each window is emitted once, when the watermark passes its end."""
-    return avg_speed(passages, size, slide, watermark=delay)
+    """F1 on a stream: each window is emitted once, when the watermark passes its end.
+
+    Where the slide divides the size, two aggregations are chained: a passage
+    updates one slide-long pane, and a pane, once closed, is added to the
+    ``size / slide`` windows that hold it (by ``window_time``). State writes per
+    passage fall from that number to one.
+    """
+    width, step = duration_ms(size), duration_ms(slide)
+    if width % step or width == step:
+        return avg_speed(passages, size, slide, watermark=delay)
+    panes = with_event_time(passages, watermark=delay).groupBy(F.window("ts", interval_text(step)).alias("_p"), "monitor_id").agg(*speed_sums())
+    timed = panes.withColumn("_t", F.window_time("_p"))
+    g = timed.groupBy(F.window("_t", interval_text(width), interval_text(step)).alias("w"), "monitor_id") \
+        .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    return g.select(F.unix_millis("w.start").alias("start_time"), F.unix_millis("w.end").alias("end_time"), "monitor_id",
+                    rounded_average("_s", "_n").alias("avg_speed"), F.col("_n").cast("int").alias("car_count"))
+
+
+def stream_distinct_panes(passages: DataFrame, pane="10 minutes", delay="5 seconds", lg_k: int = 12) -> DataFrame:
+    """F4 on a stream: one stored sketch per area and pane (``pane_start``, ``area_id``,
+    ``sketch``), emitted when the pane closes. Append them to a table;
+    :func:`roadwatch.operators.distinct_from_panes` merges them into any window."""
+    return distinct_panes(passages, pane, lg_k, watermark=delay)
 
 
 def top_n_batch_writer(n: int, sink: Callable[[DataFrame, int], None]):
@@ -73,7 +97,7 @@ def stream_area_distinct(passages: DataFrame, size="10 seconds", delay="5 second
         else watermarked(passages, "action_time", delay)
     df = _window_cols(timed, size)
     firsts = df.dropDuplicates(["_w", "area_id", "car"])
-    g = firsts.groupBy("_w", "area_id").agg(F.count("*").alias("car_count"))
+    g = firsts.groupBy("_w", "area_id").agg(F.count("car").alias("car_count"))  # a missing car is none
     return g.select(F.unix_millis("_w.start").alias("start_time"), F.unix_millis("_w.end").alias("end_time"),
                     "area_id", "car_count")
 
@@ -105,6 +129,29 @@ def with_refreshed_dim(stream: DataFrame, loader: Callable[[SparkSession], DataF
     return stream.writeStream.foreachBatch(each)
 
 
+LIMIT_SCHEMA = T.StructType([
+    T.StructField("car", T.StringType()), T.StructField("monitor_id", T.StringType()), T.StructField("road_id", T.StringType()),
+    T.StructField("real_speed", T.DoubleType()), T.StructField("limit_speed", T.LongType()),
+    T.StructField("action_time", T.LongType()), T.StructField("event_id", T.LongType())])
+
+
+def stream_limits_as_of(passages: DataFrame, history: DataFrame, default: int = DEFAULT_LIMIT, delay="5 seconds",
+                        keep="1 hour", id_col: str = "event_id") -> DataFrame:
+    """A8 / K broadcast state on streams: each passage with the limit its station had at
+    its time, from a stream of table versions (``monitor_id``, ``valid_from``,
+    ``speed_limit``). Two inputs, one watermark each; a passage waits until both
+    have passed its time, so a version that was in force is never missed. A
+    station's state is its newest limit and those of the last ``keep``."""
+    p = watermarked(with_tie_id(passages, id_col), "action_time", delay).select(
+        "monitor_id", F.lit(1).alias("kind"), F.col("action_time").alias("t"), F.col(id_col).alias("rid"),
+        "car", "road_id", F.col("speed").alias("real_speed"), "ts")
+    h = watermarked(history, "valid_from", delay).select(
+        "monitor_id", F.lit(0).alias("kind"), F.col("valid_from").alias("t"), F.lit(0).cast("long").alias("rid"), "speed_limit", "ts")
+    u = p.unionByName(h, allowMissingColumns=True)
+    return fold_by_key(u, ["monitor_id"], lambda s: machines.LimitAsOf(s, default, duration_ms(keep)),
+                       LIMIT_SCHEMA, "t", ["t", "kind", "rid"])
+
+
 def stream_interval_join(violations: DataFrame, actions: DataFrame, lower="-5 seconds",
                          upper="5 seconds", delay="2 seconds", how: str = "inner",
                          violation_id: str = "violation_id", action_id: str = "action_id") -> DataFrame:
@@ -140,6 +187,13 @@ BLOOM_SCHEMA = T.StructType([
     T.StructField("distinct_cars", T.LongType())])
 
 
+MARK_SCHEMA = T.StructType([
+    T.StructField("area_id", T.StringType()), T.StructField("start_time", T.LongType()),
+    T.StructField("end_time", T.LongType()), T.StructField("car", T.StringType()),
+    T.StructField("action_time", T.LongType()), T.StructField("event_id", T.LongType()),
+    T.StructField("mark", T.LongType()), T.StructField("late", T.LongType()), T.StructField("ts", T.TimestampType())])
+
+
 def stream_clone_plates(passages: DataFrame, within_s: int = 10, delay="5 seconds",
                         id_col: str = "event_id") -> DataFrame:
     """I1 on a stream: per-car fold in event-time order (ties by ``id_col``, derived from
@@ -179,31 +233,45 @@ def stream_pair_actions(violations: DataFrame, actions: DataFrame, timeout="5 se
     timer state machine): both inputs unioned per car, timers in event time."""
     if mode == "replay":
         return stream_pair_actions_replay(violations, actions, timeout, delay, violation_id, action_id)
-    # A watermark per input: Spark goes by the smaller one, so a lagging input keeps its partners waiting.
-    u = _events(watermarked(violations, "create_time", delay), watermarked(actions, "action_time", delay), violation_id, action_id) \
-        .withColumnsRenamed({"_kind": "kind", "_t": "t", "_id": "rid"})
+    u = _pair_events(violations, actions, delay, violation_id, action_id)
     ms = duration_ms(timeout)
-    return fold_by_key(u, ["car"], lambda s: machines.PairOneToOne(s, ms), _REPLAY_SCHEMA, "t", ["t", "kind", "rid"])
+    paired = fold_by_key(u, ["car"], lambda s: machines.PairOneToOne(s, ms), _REPLAY_SCHEMA, "t", ["t", "kind", "rid"])
+    # A record without a time pairs with nothing: it is reported alone at once.
+    alone = without_time(u, "t").select(
+        "car", F.when(F.col("kind") == 0, "no_police").otherwise("no_violation").alias("outcome"), *_REPLAY_SCHEMA.fieldNames()[2:])
+    return paired.unionByName(alone)
+
+
+def _pair_events(violations: DataFrame, actions: DataFrame, delay, violation_id: str, action_id: str) -> DataFrame:
+    """Both inputs as one stream of events. Ids are derived before event times are added,
+    as in the batch form. A watermark per input: Spark goes by the smaller one, so a
+    lagging input keeps its partners waiting. Plain column names: leading underscores
+    do not survive the trip into the Python fold."""
+    v = watermarked(with_tie_id(violations, violation_id), "create_time", delay)
+    a = watermarked(with_tie_id(actions, action_id), "action_time", delay)
+    return _events(v, a, violation_id, action_id).withColumnsRenamed({"_kind": "kind", "_t": "t", "_id": "rid"})
 
 
 def stream_pair_actions_replay(violations: DataFrame, actions: DataFrame, timeout="5 seconds",
                                delay="2 seconds", violation_id: str = "event_id",
                                action_id: str = "event_id") -> DataFrame:
     """D6 (replay) on streams: both inputs unioned per car, timers in event time."""
-    # Plain column names: leading underscores do not survive the trip into the Python fold.
-    # A watermark per input: Spark goes by the smaller one, so a lagging input keeps its partners waiting.
-    u = _events(watermarked(violations, "create_time", delay), watermarked(actions, "action_time", delay), violation_id, action_id) \
-        .withColumnsRenamed({"_kind": "kind", "_t": "t", "_id": "rid"})
+    u = _pair_events(violations, actions, delay, violation_id, action_id)
     ms = duration_ms(timeout)
     return fold_by_key(u, ["car"], lambda s: machines.PairReplay(s, ms), _REPLAY_SCHEMA, "t", ["t", "kind", "rid"])
 
 
 def stream_area_distinct_running(passages: DataFrame, size="10 minutes", method: str = "bloom",
                                  bits: int = 1 << 22, delay="5 seconds",
-                                 id_col: str = "event_id", time: str = "event") -> DataFrame:
+                                 id_col: str = "event_id", time: str = "event", shards: int = 64) -> DataFrame:
     """F3 on a stream, one output row per passage: ``method="bloom"`` (fixed
-    memory per window, may undercount) or ``"exact"`` (a set of cars per
-    window). ``time="processing"`` windows and orders by arrival (E4): a
+    memory per window, may undercount) or ``"exact"``: the cars of an area's
+    window are spread over ``shards`` states, each of which marks first
+    passages; a second, chained step adds the marks up and holds one number
+    per area and window. A busy area's state and buffers are thus bounded by
+    its cars over ``shards``, and no key holds a window's cars whole.
+    Passages without a car or a time never count (the latter are left out).
+    ``time="processing"`` windows and orders by arrival (E4): a
     passage's time is its micro-batch's clock."""
     if time == "processing":
         passages, delay = passages.withColumn("action_time", F.unix_millis(F.current_timestamp())), "0 seconds"
@@ -216,10 +284,13 @@ def stream_area_distinct_running(passages: DataFrame, size="10 minutes", method:
     df = with_tie_id(passages, id_col).withColumnRenamed(id_col, "event_id") \
         .withColumn("start_time", t - F.pmod(t, F.lit(size_ms))) \
         .withColumn("end_time", F.col("start_time") + F.lit(size_ms))
-    cols = ["area_id", "start_time", "end_time", "car", "action_time", "event_id"]
-    return fold_by_key(watermarked(df.select(*cols), "action_time", delay), ["area_id", "start_time"],
-                       lambda s: machines.ExactDistinct(s), BLOOM_SCHEMA, "action_time",
-                       ["action_time", "event_id"])
+    spread = F.xxhash64(F.coalesce("car", F.col("event_id").cast("string")))  # passages without a car are spread by their id
+    df = df.withColumn("shard", F.pmod(spread, F.lit(int(shards))))
+    cols = ["area_id", "start_time", "shard", "end_time", "car", "action_time", "event_id"]
+    marked = fold_by_key(watermarked(df.select(*cols), "action_time", delay), ["area_id", "start_time", "shard"],
+                         lambda s: machines.FirstPassages(s), MARK_SCHEMA, "action_time", ["action_time", "event_id"], event_time="ts")
+    return marked.groupBy("area_id", "start_time").transformWithStateInPandas(
+        statefulProcessor=RunningMarks(BLOOM_SCHEMA), outputStructType=BLOOM_SCHEMA, outputMode="Append", timeMode="EventTime")
 
 
 def stream_area_distinct_bloom(passages: DataFrame, size="10 minutes", bits: int = 1 << 22,
@@ -244,7 +315,7 @@ def stream_area_distinct_bloom(passages: DataFrame, size="10 minutes", bits: int
 # ---- running a query ----------------------------------------------------------------------
 
 def start(df: DataFrame, name: str, sink: str = "memory", output_mode: str = "append",
-          foreach_batch: Callable[[DataFrame, int], None] | None = None, **options):
+          foreach_batch: Callable[[DataFrame, int], None] | None = None, trigger: dict | None = None, **options):
     """Start a query with its checkpoint under the shared checkpoint folder."""
     w = df.writeStream.queryName(name).outputMode(output_mode) \
         .option("checkpointLocation", checkpoint_path(df.sparkSession, f"stream-{name}"))
@@ -256,4 +327,6 @@ def start(df: DataFrame, name: str, sink: str = "memory", output_mode: str = "ap
             options = {"numRows": 2 ** 31 - 1, "truncate": False, **options}
     for k, v in options.items():
         w = w.option(k, v)
+    if trigger:
+        w = w.trigger(**trigger)
     return w.start()

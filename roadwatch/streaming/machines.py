@@ -11,6 +11,7 @@ record at or before ``watermark`` can still arrive; both append output rows.
 from __future__ import annotations
 
 import base64
+import bisect
 import heapq
 import json
 import zlib
@@ -271,6 +272,7 @@ class BloomDistinct(Machine):
         set, so setting them again changes nothing)."""
         if not recs:
             return
+        everyone, recs = recs, [r for r in recs if r["car"] is not None]
         n = len(recs)
         bits = np.array([[int(r["bit1"]) % self.bits, int(r["bit2"]) % self.bits] for r in recs],
                         dtype=np.int64).reshape(-1)
@@ -279,18 +281,19 @@ class BloomDistinct(Machine):
         uniq, first_at, inv = np.unique(bits, return_index=True, return_inverse=True)
         carried_before = (first_at[inv] // 2) < np.repeat(np.arange(n), 2)
         seen = (stored | carried_before).reshape(n, 2).all(axis=1)
-        counts = self.s["count"] + np.cumsum(~seen)
         np.bitwise_or.at(bm, uniq >> 3, (1 << (uniq & 7)).astype(np.uint8))
+        new = iter((~seen).tolist())
+        # Passages without a car never count, as in the batch form.
+        counts = self.s["count"] + np.cumsum([r["car"] is not None and next(new) for r in everyone])
         self.s["count"] = int(counts[-1])
-        self.s["end"] = int(recs[0]["end_time"])
-        for r, c in zip(recs, counts):
+        self.s["end"] = int(everyone[0]["end_time"])
+        for r, c in zip(everyone, counts):
             out.append({"area_id": r["area_id"], "start_time": r["start_time"],
                         "end_time": r["end_time"], "car": r["car"], "action_time": r["action_time"],
                         "event_id": r.get("event_id"), "distinct_cars": int(c)})
 
     def feed(self, rec, out):
-        offs = [int(rec["bit1"]) % self.bits, int(rec["bit2"]) % self.bits]
-        if not self._test_and_set(offs):
+        if rec["car"] is not None and not self._test_and_set([int(rec["bit1"]) % self.bits, int(rec["bit2"]) % self.bits]):
             self.s["count"] += 1
         self.s["end"] = int(rec["end_time"])
         out.append({"area_id": rec["area_id"], "start_time": rec["start_time"],
@@ -320,25 +323,25 @@ class BloomDistinct(Machine):
         return [] if end is None else [end - 1]
 
     def empty(self):
-        return self.s["count"] == 0
+        return "end" not in self.s
 
 
-class ExactDistinct(Machine):
-    """F3 exact: the set of cars seen in one (area, window); every record emits the
-    running count. State grows with the distinct cars of the window (what the
-    Bloom bitmap bounds), and is dropped when the window ends."""
+class FirstPassages(Machine):
+    """F3 exact, first step: the cars seen of one (area, window, shard); a passage is
+    marked 1 if it is its car's first, without a car never. State grows with the
+    shard's distinct cars and is dropped when the window ends."""
 
     def initial(self):
         return {"seen": []}
 
-    def feed_all(self, recs, out):
+    def feed_all(self, recs, out, late=0):
         seen = set(self.s["seen"])
         for r in recs:
-            seen.add(r["car"])
+            new = r["car"] is not None and r["car"] not in seen
+            if new:
+                seen.add(r["car"])
             self.s["end"] = int(r["end_time"])
-            out.append({"area_id": r["area_id"], "start_time": r["start_time"], "end_time": r["end_time"],
-                        "car": r["car"], "action_time": r["action_time"], "event_id": r.get("event_id"),
-                        "distinct_cars": len(seen)})
+            out.append({**{c: r.get(c) for c in ("area_id", "start_time", "end_time", "car", "action_time", "event_id")}, "mark": int(new), "late": late})
         self.s["seen"] = sorted(seen)
 
     def feed(self, rec, out):
@@ -350,18 +353,47 @@ class ExactDistinct(Machine):
             self.s = self.initial()
 
     def feed_late(self, recs, watermark, out):
-        """A late record of an open window is counted as it comes; of a window whose
-        state is gone it is reported with no count (``distinct_cars`` NULL)."""
-        self.feed_all([r for r in recs if int(r["end_time"]) - 1 > watermark], out)
+        """A late record of an open window is marked as it comes; of a window whose
+        state is gone it goes on without a mark (NULL)."""
+        self.feed_all([r for r in recs if int(r["end_time"]) - 1 > watermark], out, 1)
         for r in recs:
             if int(r["end_time"]) - 1 <= watermark:
-                out.append({"area_id": r["area_id"], "start_time": r["start_time"], "end_time": r["end_time"],
-                            "car": r["car"], "action_time": r["action_time"], "event_id": r.get("event_id"),
-                            "distinct_cars": None})
+                out.append({**{c: r.get(c) for c in ("area_id", "start_time", "end_time", "car", "action_time", "event_id")}, "mark": None, "late": 1})
 
     def wakeups(self):
         end = self.s.get("end")
         return [] if end is None else [end - 1]
 
     def empty(self):
-        return not self.s["seen"]
+        return "end" not in self.s
+
+
+class LimitAsOf(Machine):
+    """A8 by time: the versions of one station's limit, the newest and those not older
+    than ``keep_ms`` behind the watermark; a passage takes the latest at or before its
+    time. A late passage does so too, while the version is kept; a late version
+    holds for the passages still to come."""
+
+    def __init__(self, state=None, default: int = 60, keep_ms: int = 3_600_000):
+        super().__init__(state)
+        self.default, self.keep = default, keep_ms
+
+    def initial(self):
+        return {"versions": []}
+
+    def feed(self, rec, out):
+        versions = self.s["versions"]
+        if rec["kind"] == 0:
+            if (rec["speed_limit"] or 0) > 0:
+                bisect.insort(versions, [rec["t"], -rec["speed_limit"]])  # of equal times the lowest limit is last
+            return
+        at = bisect.bisect_right(versions, rec["t"], key=lambda v: v[0])
+        out.append({**rec, "limit_speed": -versions[at - 1][1] if at else self.default, "action_time": rec["t"], "event_id": rec["rid"]})
+
+    def advance(self, watermark, out):
+        versions = self.s["versions"]
+        old = bisect.bisect_right(versions, watermark - self.keep, key=lambda v: v[0])
+        self.s["versions"] = versions[max(0, old - 1):]
+
+    def empty(self):
+        return not self.s["versions"]

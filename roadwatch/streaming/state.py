@@ -18,6 +18,7 @@ from typing import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,10 +33,10 @@ def _plain(o):
 
 class EventTimeFold(StatefulProcessor):
     def __init__(self, make: Callable[[str | None], Machine], time_col: str,
-                 order: Sequence[str], out_schema: T.StructType, late: str):
+                 order: Sequence[str], out_schema: T.StructType, late: str, whole: Sequence[str] = ()):
+        self.whole = list(whole)
         self.make, self.time_col, self.order, self.late = make, time_col, list(order), late
-        self.out_cols = [f.name for f in out_schema.fields]
-        self.longs = [f.name for f in out_schema.fields if isinstance(f.dataType, T.LongType)]
+        self.out_fields = [(f.name, isinstance(f.dataType, T.LongType), isinstance(f.dataType, T.TimestampType)) for f in out_schema.fields]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -70,13 +71,23 @@ class EventTimeFold(StatefulProcessor):
         if pending:
             self.handle.registerTimer(int(min(pending)))
         if out:
-            yield pd.DataFrame(out, columns=self.out_cols).astype({c: "Int64" for c in self.longs})
+            yield self._frame(out, watermark)
+
+    def _frame(self, out: list[dict], watermark: int) -> pd.DataFrame:
+        """Rows with exact 64-bit integers; TIMESTAMP columns hold the watermark at which they came out."""
+        return pd.DataFrame({
+            name: pd.array([r.get(name) for r in out], dtype="Int64") if whole
+            else pd.Series(pd.to_datetime([watermark] * len(out), unit="ms")) if stamp
+            else pd.Series([r.get(name) for r in out])
+            for name, whole, stamp in self.out_fields})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = []
         for pdf in rows:
             new.extend(pdf.astype(object).where(pdf.notna(), None).to_dict("records"))
         new = [json.loads(json.dumps(r, default=_plain)) for r in new]
+        for r in new:
+            r.update({c: int(r[c]) for c in self.whole if r[c] is not None})
         watermark = timerValues.getCurrentWatermarkInMs()
         late = [r for r in new if r[self.time_col] <= watermark] if self.late == "feed" else []
         new = [r for r in new if r[self.time_col] > watermark]
@@ -89,10 +100,56 @@ class EventTimeFold(StatefulProcessor):
         pass
 
 
+class RunningMarks(StatefulProcessor):
+    """Second step of the running distinct count: adds the marks of one (area, window) up.
+
+    The rows of a micro-batch are those the watermark has just passed, so they
+    follow all rows of earlier batches; within a batch they go by time and id, late
+    ones last (they count as they come).
+    The state is one number, dropped when the window ends. Rows without a mark
+    (their window is over) get no count.
+    """
+
+    def __init__(self, out_schema: T.StructType):
+        self.columns = [f.name for f in out_schema.fields]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.total = handle.getValueState("total", "count long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(["late", "action_time", "event_id"], kind="stable")
+        before = int(self.total.get()[0]) if self.total.exists() else 0
+        counted = batch["mark"].notna()
+        counts = before + batch["mark"].fillna(0).astype("int64").cumsum()
+        batch["distinct_cars"] = counts.astype("Int64").where(counted, pd.NA)
+        end = int(batch["end_time"].iloc[0]) - 1
+        if counted.any() and end > timerValues.getCurrentWatermarkInMs():
+            self.total.update((int(counts.iloc[-1]),))
+            self.handle.registerTimer(end)
+        else:
+            self.total.clear()
+        yield batch[self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.total.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def fold_by_key(df: DataFrame, keys: Sequence[str], make: Callable[[str | None], Machine],
-                out_schema: T.StructType, time_col: str, order: Sequence[str], late: str = "feed") -> DataFrame:
+                out_schema: T.StructType, time_col: str, order: Sequence[str], late: str = "feed", event_time: str = "") -> DataFrame:
     """Apply an :class:`EventTimeFold` per key of a watermarked stream (append mode).
 
+    Integers are exact over 64 bits: they travel as text, because a pandas
+    column with NULLs would make them doubles. Rows without a time have no
+    place in event-time order and are left out (:func:`without_time` returns
+    them). ``event_time`` names a TIMESTAMP column of ``out_schema`` on which a
+    further stateful operator may go on; it holds the watermark at which a row
+    came out.
+
     Needs the RocksDB state store, which the session must be set to
     (:data:`roadwatch.session.DEFAULT_CONF` does).
     """
@@ -100,9 +157,17 @@ def fold_by_key(df: DataFrame, keys: Sequence[str], make: Callable[[str | None],
         raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {ROCKSDB}")
     if late not in ("feed", "drop"):
         raise ValueError("late must be 'feed' or 'drop'")
-    proc = EventTimeFold(make, time_col, order, out_schema, late)
+    df = df.where(F.col(time_col).isNotNull())
+    whole = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType) and f.name not in keys]
+    df = df.withColumns({c: F.col(c).cast("string") for c in whole})
+    proc = EventTimeFold(make, time_col, order, out_schema, late, whole)
     # The watermark is tracked upstream; the fold works on epoch ms, not TIMESTAMP columns.
     df = df.select(*[f.name for f in df.schema.fields
                      if not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))])
     return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=out_schema, outputMode="Append", timeMode="EventTime")
+        statefulProcessor=proc, outputStructType=out_schema, outputMode="Append", timeMode="EventTime", eventTimeColumnName=event_time)
+
+
+def without_time(df: DataFrame, time_col: str) -> DataFrame:
+    """The rows a fold leaves out, for an output of their own."""
+    return df.where(F.col(time_col).isNull())
