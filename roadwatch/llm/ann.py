@@ -13,6 +13,7 @@ other lists. What survives is scored exactly on the original vectors.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadwatch.llm.common import cut, hash_sample
-from roadwatch.llm.vectors import cosine, dimension, matrix, unit, usable
+from roadwatch.llm.vectors import cosine, lengths, matrix, unit, usable
 
 #: Distinct vectors on which lists and probes are fitted (fewer for very long
 #: vectors: at most SAMPLE_VALUES components in all).
@@ -107,21 +108,27 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id"
 
     Approximate: recall depends on the probed lists (see :func:`fit`); scores
     are exact. Vectors that are NULL, zero, hold NULL or non-finite components
-    or are not of the most common length take no part, nor do rows without an
-    id. Equal vectors are one candidate that carries its ``k + 1`` smallest
-    ids, so large groups of copies cost one vector and no result is lost.
-    Repeated query ids are answered for their smallest vector only. Other
-    columns are ignored.
+    take no part, nor do rows without an id. A query's candidates are the
+    vectors of its own length, and each length present has an index of its own.
+    Equal vectors are one candidate that carries its ``k + 1`` smallest
+    ids, so large groups of copies cost one vector and no result is lost. A
+    query id that comes with several vectors is answered for each of them
+    (equal rows once). Other columns are ignored.
     """
-    dim = dimension(df, vec_col)
-    result = "query_id long, rank int, vec_id long, score double"
-    if not dim:
-        return df.sparkSession.createDataFrame([], result)
+    found = [_search(df, queries, k, id_col, vec_col, d) for d in lengths(df, vec_col)]
+    if not found:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(df: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str, dim: int) -> DataFrame:
+    """:func:`search` among the vectors of length ``dim``."""
+    kind = df.schema[vec_col].dataType.simpleString()
 
     def valid(t: DataFrame) -> DataFrame:
         v = F.col(vec_col)
         return t.where(F.col(id_col).isNotNull() & usable(v) & (F.size(v) == dim)) \
-            .select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"))
+            .select(F.col(id_col).cast("long").alias("id"), v.cast(kind).alias("v"))
 
     copies = Window.partitionBy("v").orderBy("id")
     base = cut(valid(df).distinct().withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k + 1)
@@ -138,7 +145,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id"
             own = (unit(matrix(b.column(0))) @ rotation @ centroids.T).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.int32())], ["v", "ids", "list"])
 
-    listed = cut(base.select("v", "ids").mapInArrow(assign, "v array<double>, ids array<long>, list int"))
+    listed = cut(base.select("v", "ids").mapInArrow(assign, f"v {kind}, ids array<long>, list int"))
     sizes = listed.groupBy("list").agg(F.ceil(F.count("*") / VECTOR_CHUNK).cast("int").alias("chunks"))
 
     def probe(batches):
@@ -147,9 +154,9 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id"
             near = np.argsort(-(unit(matrix(b.column(1))) @ rotation @ centroids.T), axis=1, kind="stable")[:, :probes]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near.tolist(), pa.list_(pa.int32()))], ["q", "v", "lists"])
 
-    named = valid(queries).groupBy("id").agg(F.min("v").alias("v"))
-    asked = named.groupBy("v").agg(F.min("id").alias("q"))
-    probing = cut(asked.select("q", "v").mapInArrow(probe, "q long, v array<double>, lists array<int>"))
+    named = valid(queries).distinct()
+    asked = cut(named.select("v").distinct().withColumn("q", F.monotonically_increasing_id()))  # fixed by the checkpoint
+    probing = cut(asked.select("q", "v").mapInArrow(probe, f"q long, v {kind}, lists array<int>"))
 
     # A list's vectors and queries meet in chunks of bounded size, each pair of chunks in one group.
     chunk = F.pmod(F.xxhash64("v"), F.col("chunks").cast("long")).cast("int").alias("vc")
@@ -190,9 +197,9 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id"
     found = first.unionByName(scanned(others)).withColumn("n", F.row_number().over(nth)).where(F.col("n") <= k + 1) \
         .groupBy("q").agg(F.collect_list(F.struct("vec_id", "score")).alias("best"))  # at most k + 1 each
     answers = named.join(asked, "v").select("id", "q").join(found, "q") \
-        .select("id", F.explode(F.slice(F.array_sort(
+        .select("id", "q", F.explode(F.slice(F.array_sort(
             F.filter("best", lambda x: x["vec_id"] != F.col("id")),
             lambda x, y: F.when(x["score"] > y["score"], -1).when(x["score"] < y["score"], 1)
             .when(x["vec_id"] < y["vec_id"], -1).when(x["vec_id"] > y["vec_id"], 1).otherwise(0)), 1, k)).alias("x"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("x.score"), "x.vec_id"))
+    rank = F.row_number().over(Window.partitionBy("id", "q").orderBy(F.desc("x.score"), "x.vec_id"))
     return answers.select(F.col("id").alias("query_id"), rank.cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

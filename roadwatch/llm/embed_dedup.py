@@ -11,13 +11,15 @@ lowest shared pivots, so links are counted without gathering pairs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadwatch.llm.common import components, cut, hash_sample
-from roadwatch.llm.vectors import cosine, dimension, matrix, unit, usable
+from roadwatch.llm.vectors import cosine, lengths, matrix, unit, usable
 
 PREFIX = 7
 #: Shared pivots that make a candidate (2 or more).
@@ -31,6 +33,8 @@ DRAWN, SAMPLE_VALUES = 4, 4_000_000
 APART = 0.7
 #: Rows of a list that meet in one task; longer lists are dealt into chunks, and every pair of chunks meets.
 CHUNK = 2048
+#: Pairs whose pivots are compared at a time.
+PAIRS = 1 << 16
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -54,25 +58,28 @@ def describe(x: np.ndarray, pivots: np.ndarray, prefix: int = PREFIX) -> np.ndar
     return np.argsort(-s, axis=1, kind="stable")[:, :prefix].astype(np.int32)
 
 
-def compare(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, key: tuple[int, int], pivots: int,
+def compare(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, key: tuple[int, int],
             threshold: float, shared: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``x`` and ``y`` (original vectors; ``px``, ``py``: their pivots) that link and whose lowest two shared pivots are ``key``."""
-    def marks(p):
-        m = np.zeros((len(p), pivots), np.float32)
-        m[np.arange(len(p))[:, None], p] = 1
-        return m
-
-    mx, my = marks(px), marks(py)
-    common = mx @ my.T  # shared-pivot counts
-    # Pivots below the key's second, its first apart, must not be shared: the pair belongs to another list.
-    low = [c for c in range(key[1]) if c != key[0]]
-    i, j = np.nonzero((common >= shared) & (mx[:, low] @ my[:, low].T == 0))
-    keep = (unit(x)[i] * unit(y)[j]).sum(axis=1) >= threshold - 1e-9
-    i, j = i[keep], j[keep]
-    if len(i):
-        sure = cosine(x[i], y[j]) >= threshold
-        i, j = i[sure], j[sure]
-    return i, j
+    """Rows of ``x`` and ``y`` (original vectors; ``px``, ``py``: their pivots) that link and whose lowest two shared pivots are ``key``.
+
+    All rows of a list share its two pivots. One matrix product finds the pairs near
+    the threshold; for these the shared pivots are counted, a block at a time, and
+    only at the threshold itself is the cosine computed again in full precision.
+    """
+    s = unit(x) @ unit(y).T
+    i, j = np.nonzero(s >= threshold - 1e-9)
+    close = s[i, j] < threshold + 1e-9
+    keep = np.ones(len(i), bool)
+    for at in range(0, len(i), PAIRS):
+        a, b = px[i[at:at + PAIRS]], py[j[at:at + PAIRS]]
+        common = np.where((a[:, :, None] == b[:, None, :]).any(axis=2), a, np.iinfo(np.int64).max)
+        lowest = np.sort(common, axis=1)
+        count = (lowest < np.iinfo(np.int64).max).sum(axis=1)
+        # A pair whose lowest shared pivots are others belongs to their list.
+        keep[at:at + PAIRS] = (count >= shared) & (lowest[:, 0] == key[0]) & (lowest[:, 1] == key[1])
+    for at in np.array_split(np.flatnonzero(close & keep), 1 + int((close & keep).sum()) // PAIRS):
+        keep[at] = cosine(x[i[at]], y[j[at]]) >= threshold
+    return i[keep], j[keep]
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD,
@@ -84,20 +91,32 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     counts other rows, equal vectors included (these are collapsed and counted
     before anything is compared). ``component_id`` is the smallest id
     reachable, ``kept`` whether it is the row's own. Vectors that are NULL,
-    zero, hold NULL or non-finite components or are not of the most common
-    length link with nothing, nor do rows without an id (their ``component_id``
+    zero or hold NULL or non-finite components link with nothing, vectors of
+    different lengths not with each other (each length present has its own
+    pivots and lists), nor do rows without an id (their ``component_id``
     and ``kept`` are NULL). Rows that share an id count as one node of the
     component. Other columns are ignored.
     """
     ident, v = F.col(id_col).cast("long"), F.col(vec_col)
-    dim = dimension(df, vec_col)
-    ok = ident.isNotNull() & usable(v) & (F.size(v) == dim)
-    rows = df.select(ident.alias("id"), F.when(ok, v.cast("array<double>")).alias("v"))
-    alone = rows.where("v IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    if dim:
-        linked = _linked(cut(rows.where("v IS NOT NULL")), dim, threshold, shared)
-        alone = alone.unionByName(linked)
-    return alone.select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    ok = ident.isNotNull() & usable(v)
+    rows = df.select(ident.alias("id"), F.when(ok, v).alias("v"))
+    out = rows.where("v IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    present = lengths(df, vec_col)
+    if present:
+        whole = cut(rows.where("v IS NOT NULL"))
+        parts = [_linked(whole.where(F.size("v") == d), d, threshold, shared) for d in present]
+        if len(parts) > 1:
+            # An id that comes with vectors of several lengths is one node: it joins their components.
+            both = reduce(DataFrame.unionByName, parts)
+            parts = [_joined(cut(both))]
+        out = out.unionByName(parts[0])
+    return out.select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    """``rows(id, n_links, component_id)`` of several lengths with the components an id connects merged."""
+    roots = components(rows.select(F.col("id").alias("a"), F.col("component_id").alias("b"))).select(F.col("node").alias("id"), "root")
+    return rows.join(roots, "id", "left").select("id", "n_links", F.coalesce("root", "component_id").alias("component_id"))
 
 
 def _linked(rows: DataFrame, dim: int, threshold: float, shared: int) -> DataFrame:
@@ -108,6 +127,7 @@ def _linked(rows: DataFrame, dim: int, threshold: float, shared: int) -> DataFra
     sample = hash_sample(distinct.select("v"), ["v"], drawn, count).toArrow()
     pivots = choose_pivots(matrix(sample.column(0)), n)
     prefix = min(PREFIX, len(pivots))
+    kind = rows.schema["v"].dataType.simpleString()
     shared_pivots = rows.sparkSession.sparkContext.broadcast(pivots)  # bounded: MAX_PIVOTS rows
 
     def lists(batches):
@@ -116,11 +136,11 @@ def _linked(rows: DataFrame, dim: int, threshold: float, shared: int) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(describe(matrix(b.column(2)), pv, prefix).tolist(), pa.list_(pa.int32()))], ["node", "copies", "v", "p"])
 
-    described = cut(distinct.select("node", "copies", "v").mapInArrow(lists, "node long, copies long, v array<double>, p array<int>"))
+    described = cut(distinct.select("node", "copies", "v").mapInArrow(lists, f"node long, copies long, v {kind}, p array<int>"))
     if prefix < 2:  # a single vector: no pair
         found = described.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("long").alias("links")).limit(0)
     else:
-        found = cut(_pairs(described, len(pivots), threshold, shared))
+        found = cut(_pairs(described, threshold, shared))
     roots = components(found.select("a", "b"))
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     summary = distinct.join(links, "node", "left").join(roots.withColumnRenamed("root", "component_id"), "node", "left") \
@@ -128,7 +148,7 @@ def _linked(rows: DataFrame, dim: int, threshold: float, shared: int) -> DataFra
     return rows.join(summary, "v").select("id", "n_links", "component_id")
 
 
-def _pairs(described: DataFrame, pivots: int, threshold: float, shared: int) -> DataFrame:
+def _pairs(described: DataFrame, threshold: float, shared: int) -> DataFrame:
     """``(a, links, b)``: per list and node with links there, their number and a node of the same component."""
     ordered = F.array_sort("p")
     pair = F.flatten(F.transform(ordered, lambda x, i: F.transform(
@@ -156,7 +176,7 @@ def _pairs(described: DataFrame, pivots: int, threshold: float, shared: int) ->
 
         for s in range(0, len(left), 512):
             rows_ = left[s:s + 512]
-            a, b = compare(x[rows_], x[right], p[rows_], p[right], key, pivots, threshold, shared)
+            a, b = compare(x[rows_], x[right], p[rows_], p[right], key, threshold, shared)
             a, b = rows_[a], right[b]
             if i == j:
                 a, b = a[a < b], b[a < b]

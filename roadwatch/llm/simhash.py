@@ -94,15 +94,17 @@ def fingerprints(texts: list[bytes | None], k: int) -> np.ndarray:
     return np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id_col, fp)``: one row per document, ``fp`` the SimHash as a signed long."""
+def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, text_hash: bool = False) -> DataFrame:
+    """``(id_col, fp)``: one row per document, ``fp`` the SimHash as a signed long
+    (with ``text_hash`` also ``th``, a hash of the text)."""
     def run(batches):
         for b in slices(batches):
             fp = fingerprints(b.column(1).cast(pa.binary()).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], [id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], [id_col, "fp", *extra])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    kind, extra = docs.schema[id_col].dataType.simpleString(), ["th"] if text_hash else []
+    return docs.select(id_col, text_col, *([F.xxhash64(text_col).alias("th")] if text_hash else [])) \
+        .mapInArrow(run, f"`{id_col}` {kind}, fp long" + ", th long" * text_hash)
 
 
 def _stars(radius: int):
@@ -184,10 +186,19 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      shingle: int = 3, radius: int = 3) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id.
 
-    Rows that repeat an id count as one document (one of them stays). Rows
-    with a NULL id cannot be told apart and are all kept.
+    Of equal ids the text of smaller hash stays; ids come before NULL. Exactly
+    one row stays per group, whatever repeats: different texts under one id, in
+    different groups, both stay, and equal texts without ids are one group. Of
+    rows equal in id and text the one of smallest hash over all columns stays.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle, radius)
-    keep = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__keep")).distinct()
-    kept = docs.join(keep, F.col(id_col) == F.col("__keep"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    fp = cut(with_fingerprint(docs, id_col, text_col, shingle, text_hash=True))
+    ident = F.col(id_col)
+    distinct = fp.groupBy("fp").agg(F.min(F.struct(ident.isNull().alias("none"), ident.alias("id"), "th")).alias("low"))
+    roots = components(link_edges(distinct.select("fp"), radius))
+    low = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("low").alias("low")) \
+        .select(F.col("low.id").alias("__id"), F.col("low.th").alias("__th"))
+    rows = docs.withColumn("__h", F.xxhash64(text_col))
+    kept = rows.join(low, ident.eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left_semi")
+    # Map-side combined, so that many equal rows are no task's burden.
+    one = kept.groupBy(ident.alias("__id"), "__h").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
+    return one.select("__row.*")

@@ -32,11 +32,10 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & ~bad & F.exists(d, lambda x: x != 0), F.lit(False))
 
 
-def dimension(df: DataFrame, vec_col: str) -> int:
-    """The most common length of the usable vectors (0 if there are none); of
-    equally common ones the largest."""
-    row = df.where(usable(F.col(vec_col))).groupBy(F.size(vec_col).alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return row["d"] if row else 0
+def lengths(df: DataFrame, vec_col: str) -> list[int]:
+    """The lengths of the usable vectors, rising. Vectors of different lengths have no
+    cosine; the operators take each length on its own."""
+    return sorted(r.d for r in df.where(usable(F.col(vec_col))).select(F.size(vec_col).alias("d")).distinct().collect())
 
 
 def matrix(column) -> np.ndarray:

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from collections import defaultdict
 
 import numpy as np
@@ -98,4 +99,17 @@ def test_drop_near_copies(spark):
                                 (None, "a b c d", "", 0)], SCHEMA)
     out = simhash.drop_near_copies(df)
     assert out.columns == df.columns
-    assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 2, 5]
+    assert sorted((r.doc_id or 0) for r in out.collect()) == [2, 5]  # the row without an id is a copy like the others
+
+
+def test_one_row_stays_per_group(spark):
+    from roadwatch.llm import simhash
+    a, b, c = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue white black")
+    rows = [(1, a, "x"), (1, b, "x"), (2, a, "x"), (None, c, "p"), (None, c, "q"), (5, "lone words only here now", "x"), (5, "lone words only here now", "x"), (None, b, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("th", F.lit(1)).withColumn("fp", F.lit("f"))
+    for n in (1, 5):
+        got = simhash.drop_near_copies(df.repartition(n))
+        assert got.columns == df.columns
+        found = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+        assert found == sorted([(1, a), (1, b), (None, c), (5, "lone words only here now")], key=str)
+    assert simhash.drop_near_copies(df.limit(0)).count() == 0

@@ -143,3 +143,41 @@ def test_recall_at_the_threshold():
     a, b = embed_dedup.describe(x, pivots), embed_dedup.describe(y, pivots)
     common = [len(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist())]
     assert np.mean(np.array(common) >= embed_dedup.SHARED) >= 0.95
+
+
+def test_every_length_takes_part(spark):
+    """Vectors of several lengths: each is searched and linked among its own."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(c) for c in rng.standard_normal(3)], 0, "") for i in range(60)]
+    rows += [(100 + i, [float(c) for c in rng.standard_normal(2)], 0, "") for i in range(50)] + [(200 + i, [1.0, 2.0], 0, "") for i in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = ann.search(df, df.where("vec_id % 50 = 0"), 5).collect()
+    assert {r.query_id for r in got} == {0, 50, 100, 200} and len(got) == 20
+    assert all((r.query_id < 100) == (r.vec_id < 100) for r in got)
+    links = {r.vec_id: r for r in embed_dedup.near_duplicates(df).collect()}
+    assert len(links) == len(rows) and all(links[200 + i].n_links >= 2 for i in range(3))
+    assert len({links[200 + i].component_id for i in range(3)}) == 1
+
+
+def test_an_id_with_two_vectors(spark):
+    rows = [(0, [1.0, 0.0], 0, ""), (0, [0.0, 1.0], 0, ""), (0, [0.0, 1.0], 0, ""), (1, [1.0, 0.1], 0, ""), (2, [0.1, 1.0], 0, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r["rank"], r.vec_id) for r in ann.search(df, df.where("vec_id = 0"), 1).collect())
+    assert got == [(1, 1), (1, 2)]  # one answer per vector
+    more = spark.createDataFrame(rows + [(0, [1.0, 0.0, 0.0], 0, ""), (7, [1.0, 0.01, 0.0], 0, "")], SCHEMA)
+    comp = {(r.vec_id, r.component_id) for r in embed_dedup.near_duplicates(more).collect()}
+    assert comp == {(0, 0), (1, 0), (2, 0), (7, 0)}  # id 0 connects its vectors' components, across lengths too
+
+
+def test_compare_holds_little_at_once():
+    """A list of near copies: memory stays far below one gathered pair per row."""
+    import tracemalloc
+    rng = np.random.default_rng(8)
+    x = 1 + 0.01 * rng.standard_normal((2048, 256))
+    p = np.tile(np.arange(7), (2048, 1))
+    tracemalloc.start()
+    i, j = embed_dedup.compare(x[:512], x, p[:512], p, (0, 1), 0.9, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == 512 * 2048 and peak < 200e6
+    assert len(embed_dedup.compare(x[:512], x, p[:512], p, (0, 2), 0.9, 2)[0]) == 0  # belongs to the list (0, 1)
