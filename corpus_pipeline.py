@@ -34,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each SimHash group (NULL ids all stay)."""
+    """One row of each SimHash group: that of smallest id (NULL last), then of smallest text hash."""
     return simhash.drop_near_copies(docs, shingle=3, radius=3).select(*docs.columns)
 
 
