@@ -21,8 +21,10 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadwatch.functions.columns import DAY_MS, day_start_ms
+from roadwatch.functions.columns import DAY_MS, day_start_ms, with_tie_id
 from roadwatch.operators.enrich import track_rows
+from roadwatch.operators.windows import count_batches
+from roadwatch.sinks.keyed import KeyedTable, counter_rows, keyed_track_rows
 from roadwatch.sinks.writers import split_outcomes, upsert_counts, violations_to_insert, write_table, write_tracks
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -141,3 +143,72 @@ def counter_writer(target: str, key_cols=("end_time", "area_id"), value: str = "
 
 def read_counters(spark, target: str, value: str = "car_count") -> DataFrame:
     return spark.read.parquet(target).groupBy("count_key").agg(F.max(value).alias(value))
+
+
+def keyed_track_writer(table: KeyedTable, run_id: str | None = None) -> BatchFn:
+    """Passages into a :func:`roadwatch.sinks.keyed.track_table`, a commit per batch.
+
+    A table's commits are numbered, and that number orders the writes of a key.
+    """
+    run = Run(run_id)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows = keyed_track_rows(with_tie_id(batch, "event_id"), table.manifest()["version"])
+        table.write(rows, epoch, run.of(batch))
+    return write
+
+
+def keyed_counter_writer(table: KeyedTable, key_cols=("end_time", "area_id"), value: str = "car_count",
+                         run_id: str | None = None) -> BatchFn:
+    """Running counts into a :func:`roadwatch.sinks.keyed.counter_table`."""
+    run = Run(run_id)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        table.write(counter_rows(batch, key_cols, value), epoch, run.of(batch))
+    return write
+
+
+def count_batch_writer(target: str, state: str, n: int = 10, order=("action_time", "event_id"),
+                       run_id: str | None = None) -> BatchFn:
+    """E5: consecutive groups of ``n`` rows of a stream, with the columns
+    :func:`roadwatch.operators.windows.count_batches` adds.
+
+    Micro-batches follow one another; inside one, rows are in ``order``. What
+    does not fill a group (fewer than ``n`` rows) waits in the folder
+    ``state`` for the next micro-batch, one row per batch with the number of
+    groups so far; a stream's trailing partial group never fires. A batch reads
+    the state of the one before, so a batch that is run again writes the same
+    rows. Only the last two states are kept. NULL times come first.
+    """
+    run = Run(run_id)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark, now = batch.sparkSession, run.of(batch)
+        rows = with_tie_id(batch, order[-1])
+        cols, base = rows.columns, 0
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        folder = path(f"{state}/run={now}")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        earlier = sorted(e for e in (int(x.split("=")[1]) for x in names if x.startswith("epoch=")) if e < int(epoch))
+        rows = rows.withColumn("_new", F.lit(1))
+        if earlier:
+            held = spark.read.parquet(f"{state}/run={now}/epoch={earlier[-1]}")
+            base = held.first()["base"]
+            rows = rows.unionByName(held.select(F.inline("tail")).withColumn("_new", F.lit(0)))
+        numbered = count_batches(rows, n, ("_new", *order), drop_incomplete=False).select("batch_id", "row_index", *cols).persist()
+        try:
+            full = numbered.count() // n
+            whole = numbered.where(F.col("batch_id") < full)
+            write_epoch(whole.withColumn("batch_id", F.col("batch_id") + base).withColumn("row_index", F.col("row_index") + base * n),
+                        target, epoch, now)
+            tail = F.sort_array(F.collect_list(F.struct("row_index", *cols)))  # fewer than n rows
+            numbered.where(F.col("batch_id") >= full).agg(tail.alias("_t")) \
+                .select(F.lit(base + full).cast("long").alias("base"),
+                        F.transform("_t", lambda r: F.struct(*[r[c].alias(c) for c in cols])).alias("tail")) \
+                .write.mode("overwrite").parquet(f"{state}/run={now}/epoch={int(epoch)}")
+        finally:
+            numbered.unpersist()
+        for e in earlier[:-1]:
+            fs.delete(path(f"{state}/run={now}/epoch={e}"), True)
+    return write

@@ -1,0 +1,137 @@
+import random
+
+import pytest
+from conftest import passages_df
+
+from roadwatch.operators import count_batches
+from roadwatch.sinks import KeyedTable, counter_table, track_table
+from roadwatch.streaming import start
+from roadwatch.streaming.sinks import count_batch_writer, keyed_counter_writer, keyed_track_writer
+
+SCHEMA = "k string, who string, v long"
+
+
+def table(spark, path, **options):
+    return KeyedTable(spark, str(path), SCHEMA, "k", "who", ("v",), **{"buckets": 4, "every": 3, "grace_s": 0, **options})
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_newest_row_per_key_through_compactions(spark, tmp_path):
+    t, rng, want = table(spark, tmp_path / "t"), random.Random(5), {}
+    assert rows(t.read()) == [] and rows(t.rows_of("w1")) == []
+    for epoch in range(8):
+        batch = []
+        for _ in range(20):
+            k = rng.choice([None, *range(30)])
+            batch.append((None if k is None else f"k{k}", None if k is None else f"w{k % 5}", epoch * 100 + rng.randrange(100)))
+        t.write(spark.createDataFrame(batch, SCHEMA), epoch, "q")
+        for r in batch:
+            if r[0] not in want or want[r[0]][2] < r[2]:
+                want[r[0]] = r
+        assert rows(t.read()) == sorted(want.values(), key=str)
+    assert rows(t.rows_of("w1")) == sorted((r for r in want.values() if r[1] == "w1"), key=str)
+
+
+def test_a_batch_run_again_changes_nothing(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    for epoch in range(4):     # the fourth lands after a compaction
+        t.write(spark.createDataFrame([("a", "w", epoch)], SCHEMA), epoch, "q")
+    before = t.manifest()
+    for epoch in (1, 3):
+        t.write(spark.createDataFrame([("a", "w", 99)], SCHEMA), epoch, "q")
+    assert t.manifest() == before and rows(t.read()) == [("a", "w", 3)]
+    t.write(spark.createDataFrame([("a", "w", 100)], SCHEMA), 0, "another query")
+    assert rows(t.read()) == [("a", "w", 100)]
+
+
+def test_files_stay_bounded_and_untouched_buckets_are_kept(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    t.write(spark.createDataFrame([(f"k{i}", f"w{i}", 0) for i in range(50)], SCHEMA), 0, "q")
+    t.compact()
+    first = t.manifest()["buckets"]
+    assert len(first) == 4
+    for epoch in range(1, 13):
+        t.write(spark.createDataFrame([("k1", "w1", epoch)], SCHEMA).coalesce(1), epoch, "q")
+    m = t.manifest()
+    assert sum(m["buckets"][b] != first[b] for b in first) == 1 and m["runs"] == []
+    t.write(spark.createDataFrame([("k1", "w1", 13)], SCHEMA).coalesce(1), 13, "q")   # removes what was old
+    assert len(list((tmp_path / "t" / "runs").iterdir())) == 1
+    live = {p for p in (tmp_path / "t" / "base").glob("*/bucket=*")}
+    assert len(live) == 4 and len(list((tmp_path / "t" / "manifest").glob("[0-9]*"))) == 2
+    assert rows(t.rows_of("w1")) == [("k1", "w1", 13)]
+
+
+def test_a_look_up_reads_one_bucket(spark, tmp_path):
+    t = table(spark, tmp_path / "t", every=100)
+    t.write(spark.createDataFrame([(f"k{i}", f"w{i}", 0) for i in range(50)], SCHEMA), 0, "q")
+    t.compact()
+    files = t.rows_of("w7").inputFiles()
+    assert len({f.split("bucket=")[1].split("/")[0] for f in files}) == 1 and rows(t.rows_of("w7")) == [("k7", "w7", 0)]
+
+
+def test_a_reader_keeps_the_version_it_resolved(spark, tmp_path):
+    t = table(spark, tmp_path / "t", grace_s=3600)
+    t.write(spark.createDataFrame([("a", "w", 1)], SCHEMA), 0, "q")
+    old = t.read()
+    for epoch in range(1, 5):
+        t.write(spark.createDataFrame([("a", "w", epoch + 1)], SCHEMA), epoch, "q")
+    assert rows(old) == [("a", "w", 1)] and rows(t.read()) == [("a", "w", 5)]
+
+
+def test_a_second_writer_fails(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    stale = t.manifest()
+    t.write(spark.createDataFrame([("a", "w", 1)], SCHEMA), 0, "q")
+    with pytest.raises(RuntimeError):
+        t._commit(stale)
+
+
+def test_tracks_and_counters(spark, tmp_path):
+    tracks = track_table(spark, str(tmp_path / "tr"), buckets=4, every=2)
+    write = keyed_track_writer(tracks)
+    write(passages_df(spark, [(1_000, "A", "c1", 1.0, 1), (2_000, "B", "c1", 2.0, 2), (2_000, "C", "c1", 3.0, 3)]), 0)
+    write(passages_df(spark, [(1_000, "Z", "c1", 1.0, 0), (1_000, "Y", "c2", 1.0, 1)]), 1)
+    got = [(r.action_time, r.monitor_id) for r in tracks.rows_of("c1").orderBy("row_key").collect()]
+    assert got == [(2_000, "C"), (1_000, "Z")]           # newest first; the later write wins
+    counters = counter_table(spark, str(tmp_path / "cn"), buckets=4, every=2)
+    write = keyed_counter_writer(counters)
+    for epoch, n in enumerate((3, 7, 5)):
+        write(spark.createDataFrame([(600, "1", n)], "end_time long, area_id string, car_count long"), epoch)
+    assert rows(counters.read()) == [("600_1", 7)]
+
+
+def expected(spark, batches, n):
+    every = [r for b in batches for r in b]
+    df = passages_df(spark, every)
+    return rows(count_batches(df, n).select("batch_id", "row_index", "event_id"))
+
+
+def test_count_batches_across_micro_batches_and_retries(spark, tmp_path):
+    sizes, batches, at = (4, 0, 23, 1, 1, 11), [], 0
+    for s in sizes:
+        batches.append([(1_000 * (at + i), "A", "c", 1.0, at + i) for i in range(s)])
+        at += s
+    write = count_batch_writer(str(tmp_path / "out"), str(tmp_path / "state"), 10, run_id="r")
+    for epoch, b in enumerate(batches):
+        df = passages_df(spark, b)
+        write(df, epoch)
+        if epoch in (2, 4):                       # a batch that is run again
+            write(df.repartition(3), epoch)
+    got = rows(spark.read.parquet(str(tmp_path / "out")).select("batch_id", "row_index", "event_id"))
+    assert got == expected(spark, batches, 10) and len(got) == 40
+    assert len(list((tmp_path / "state" / "run=r").glob("epoch=*"))) == 2
+
+
+def test_count_batches_on_a_stream(spark, tmp_path):
+    batches = [[(1_000 * (10 * b + i), "A", "c", 1.0, 10 * b + i) for i in range(7)] for b in range(3)]
+    src = str(tmp_path / "in")
+    for b in batches:
+        passages_df(spark, b).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(passages_df(spark, []).schema).parquet(src)
+        start(stream, f"counted-{tmp_path.name}", trigger={"availableNow": True},
+              foreach_batch=count_batch_writer(str(tmp_path / "out"), str(tmp_path / "state"), 5)).awaitTermination()
+    got = rows(spark.read.parquet(str(tmp_path / "out")).select("batch_id", "row_index", "event_id"))
+    assert got == expected(spark, batches, 5) and len(got) == 20
