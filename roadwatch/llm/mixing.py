@@ -9,7 +9,7 @@ passes first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadwatch.llm.common import cut, word_count
@@ -18,6 +18,8 @@ from roadwatch.llm.common import cut, word_count
 WEIGHTS = (3, 1, 2)
 #: Leading hex digits of the key that name a range: 16**3 ranges per source.
 RANGE_DIGITS = 3
+#: Rows without an id share one key; their ranges are by size and this many shares of the text hash.
+NULL_SHARES = 256
 
 
 def source_targets(totals: DataFrame, weights=WEIGHTS, share=1.5, most=2) -> DataFrame:
@@ -46,6 +48,19 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, share=1.5, most=2) -> Dat
         F.when(F.col("opened"), F.col("w") * F.col("_l") / F.col("_w")).otherwise(F.col("cap")).cast("double").alias("target"))
 
 
+def _range(key: Column, id_: Column, size: Column, text_hash: Column) -> Column:
+    """The range of a row: leading digits of the key, and for rows without an id, which
+    share one key, size and leading bits of the text hash. Ranges are ordered as rows
+    are: by key, id (NULL first), size and text hash."""
+    shared = F.md5(F.lit(""))
+    null = id_.isNull()
+    return F.struct(
+        F.conv(F.substring(key, 1, RANGE_DIGITS), 16, 10).cast("int").alias("key"),
+        F.when(null, 1).when(key < shared, 0).otherwise(2).alias("side"),
+        F.when(null, size).otherwise(0).cast("long").alias("size"),
+        F.when(null, F.floor(text_hash / F.lit(2.0 ** 64 / NULL_SHARES))).otherwise(0).cast("int").alias("share"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share=1.5, most=2) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``taken`` (columns of
@@ -56,14 +71,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ``floor(target)`` words are taken; the row at the cut gives its first
     words. Keys are md5 of the id, ties by id, size and text hash, so reruns
     agree. NULL texts have size 0; a NULL source is a source of its own; a
-    source without words has target 0. Repeated rows are rows of their own.
+    source without words has target 0. Repeated rows are rows of their own. Rows
+    without an id are spread over ranges of size and text hash.
     """
     plain = docs.drop("size", "source_size", "target", "taken")
     keyed = plain.withColumn("size", word_count(F.col(text_col))) \
         .withColumn("__key", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))) \
         .withColumn("__s", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")))  \
         .withColumn("__h", F.xxhash64(text_col)) \
-        .withColumn("__r", F.conv(F.substring("__key", 1, RANGE_DIGITS), 16, 10).cast("int"))
+        .withColumn("__r", _range(F.col("__key"), F.col(id_col), F.col("size"), F.col("__h")))
     tot = cut(keyed.groupBy("__s", F.col(source_col).alias("source"), "__r").agg(F.sum("size").alias("__sum")))
     sizes = tot.groupBy("__s", "source").agg(F.sum("__sum").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)

@@ -72,3 +72,27 @@ def test_materialised_words_equal_taken(spark):
     for r in materialise(mixed).collect():
         got[r.source] += len((r.text or "").split())
     assert got == want
+
+
+def test_rows_without_an_id_spread_over_ranges(spark):
+    """A third of all rows share the NULL id (and an empty id has the same key)."""
+    from pyspark.sql import functions as F
+    from roadwatch.llm.mixing import _range
+    rows = [(None if i % 3 == 0 else "" if i % 50 == 1 else str(i), " ".join(f"w{i % 9}x{j}" for j in range(1 + i * 7 % 23)), "hot" if i % 4 else "z", "x", 1)
+            for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("doc_id long", "doc_id string"))
+    got = mix(df).select("doc_id", "source", "size", "source_size", "taken", F.xxhash64("text").alias("h")).collect()
+    for s in ("hot", "z"):
+        own = [r for r in got if r.source == s]
+        key = lambda r: (hashlib.md5((r.doc_id or "").encode()).hexdigest(), r.doc_id is not None, r.doc_id or "", r.size, r.h)
+        budget = sum(r.taken for r in own)
+        passes, rest = divmod(budget, own[0].source_size)
+        want = []
+        for r in sorted(own, key=key):
+            take = min(r.size, rest)
+            rest -= take
+            want.append((r.doc_id, r.h, passes * r.size + take))
+        assert sorted(((r.doc_id, r.h, r.taken) for r in own), key=str) == sorted(want, key=str)
+    spread = df.withColumn("n", F.regexp_count("text", F.lit(r"\S+"))).groupBy(
+        _range(F.md5(F.coalesce("doc_id", F.lit(""))), F.col("doc_id"), F.col("n"), F.xxhash64("text")).alias("r")).count()
+    assert spread.agg(F.max("count")).first()[0] < 60    # 300 rows have no id
