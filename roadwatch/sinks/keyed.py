@@ -7,8 +7,8 @@ folder that count. It is replaced by one rename, so a reader sees a table
 before or after a batch, never in between, and a batch that is run again
 changes nothing. What a manifest no longer names stays for ``grace_s`` seconds,
 for readers that started before; a folder that a crash left is named by none and
-never read. One query writes a table at a time: a second
-one that commits the same manifest fails.
+never read. One query writes a table at a time: a second one that commits the
+same manifest fails.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ class KeyedTable:
     """Rows of ``schema``, one per ``key`` (NULL is a key of its own).
 
     Of rows with one key the one of largest ``newest`` columns stays (then of
-    largest row hash). ``lookup`` is the column that readers look up by; rows
+    largest row hash). ``lookup`` is the column that readers look up by (a key
+    keeps its value); rows
     are dealt into ``buckets`` by it, so a look-up reads one bucket and at most
     ``every`` runs. Rows of a hot value share a bucket folder but are cut by
     key into several files.
