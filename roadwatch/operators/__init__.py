@@ -1,5 +1,5 @@
 from roadwatch.operators.enrich import (
-    last_write_per_row_key, limits_as_of, listed_cars_only, newest_tracks, overspeed_passages, track_rows, tracks, with_limits,
+    last_write_per_row_key, limits_as_of, listed_cars_only, maybe_listed, newest_tracks, overspeed_passages, track_rows, tracks, with_limits,
 )
 from roadwatch.operators.matching import interval_join, pair_actions, pair_actions_replay, replay_fold
 from roadwatch.operators.patterns import clone_plate_cars, clone_plates, dangerous_driving

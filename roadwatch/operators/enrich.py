@@ -73,14 +73,41 @@ def limits_as_of(passages: DataFrame, history: DataFrame, default: int = DEFAULT
         "limit_speed", F.coalesce(F.when(known, F.col("limit_speed")), F.lit(int(default)))), (id_col,))
 
 
-def listed_cars_only(passages: DataFrame, listed: DataFrame) -> DataFrame:
+#: Bits of the list bitmap: 16 MB however long the list.
+LIST_BITS = 1 << 27
+
+
+def maybe_listed(rows: DataFrame, listed: DataFrame, on: str = "car", bits: int = LIST_BITS) -> DataFrame:
+    """``rows`` without most of those whose ``on`` is not in ``listed`` (none of the others; NULL
+    is never listed), before any shuffle of them.
+
+    The list is aggregated into a one-hash Bloom filter of ``bits`` bits: pieces of
+    4 KB, combined map-side, at most ``bits / 32768`` rows, so its broadcast is
+    bounded by ``bits / 8`` bytes. About ``cars / bits`` of the unlisted rows
+    stay: a semi join on what is left decides.
+    """
+    def spot(c):
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+    marks = listed.where(F.col(on).isNotNull()).select(spot(on).alias("_s")) \
+        .groupBy(F.bitmap_bucket_number("_s").alias("_b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_s")).alias("_m"))
+    byte = "cast(conv(hex(substring(_m, cast(_p div 8 as int) + 1, 1)), 16, 10) as int)"
+    return rows.where(F.col(on).isNotNull()).withColumns({"_b": F.bitmap_bucket_number(spot(on)), "_p": F.bitmap_bit_position(spot(on))}) \
+        .join(F.broadcast(marks), "_b").where(F.expr(f"getbit({byte}, cast(_p % 8 as int)) = 1")).drop("_b", "_p", "_m")
+
+
+def listed_cars_only(passages: DataFrame, listed: DataFrame, reduce: bool = False) -> DataFrame:
     """D3 + C4: passages whose car appears in the list (membership; duplicates never multiply).
 
     The list is reduced to distinct cars (partial aggregation) before the
     semi join; adaptive execution broadcasts it when its measured size is
-    small and keeps a shuffle join otherwise.
+    small and keeps a shuffle join otherwise. For a list beyond broadcast size
+    ``reduce`` drops passages by :func:`maybe_listed` ahead of that shuffle, for
+    one more read of the list.
     """
-    return passages.join(listed.select("car").distinct(), "car", "left_semi")
+    cars = listed.select("car").distinct()
+    if reduce:  # an inner join with distinct cars: Spark would move a semi join below the filter's
+        return maybe_listed(passages, listed).join(cars, "car")
+    return passages.join(cars, "car", "left_semi")
 
 
 def track_rows(passages: DataFrame) -> DataFrame:
@@ -107,10 +134,10 @@ def last_write_per_row_key(tracks: DataFrame, tie: str = "event_id") -> DataFram
     return agg.select("row_key", *[F.col(f"_w.{c}").alias(c) for c in cols])
 
 
-def tracks(passages: DataFrame, violations: DataFrame) -> DataFrame:
+def tracks(passages: DataFrame, violations: DataFrame, reduce: bool = False) -> DataFrame:
     """D3 + C6 + C8 + B4: newest-first track rows of the cars in the violation list,
-    one row per row key (the last write wins)."""
-    return last_write_per_row_key(track_rows(listed_cars_only(passages, violations)))
+    one row per row key (the last write wins). ``reduce`` as in :func:`listed_cars_only`."""
+    return last_write_per_row_key(track_rows(listed_cars_only(passages, violations, reduce)))
 
 
 def newest_tracks(track_table: DataFrame, k: int = 10) -> DataFrame:
@@ -122,5 +149,5 @@ def newest_tracks(track_table: DataFrame, k: int = 10) -> DataFrame:
     return track_table.withColumn("rank", n.cast("long")).where(F.col("rank") <= int(k))
 
 
-__all__ = ["tracks", "overspeed_passages", "with_limits", "listed_cars_only", "track_rows",
+__all__ = ["tracks", "overspeed_passages", "with_limits", "listed_cars_only", "maybe_listed", "track_rows",
            "last_write_per_row_key", "newest_tracks", "station_limits"]

@@ -305,6 +305,7 @@ SQL["violation_table"] = """
 SELECT CAST(l_orderkey AS VARCHAR) AS car, CAST(l_partkey AS VARCHAR) AS msg, CAST(l_suppkey AS BIGINT) AS create_time
 FROM lineitem"""
 
+SQL["tracks_reduced"] = SQL["tracks"]
 SQL["newest_tracks"] = f"""
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY car ORDER BY row_key) AS BIGINT) AS rank
                FROM ({SQL['tracks']})) WHERE rank <= 5"""

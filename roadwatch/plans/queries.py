@@ -159,6 +159,12 @@ def q_tracks(spark: SparkSession, sf: str) -> DataFrame:
     return tracks(passages, clone_plate_cars(passages, within_s=LIST_CLONE_WITHIN_S))
 
 
+def q_tracks_reduced(spark: SparkSession, sf: str) -> DataFrame:
+    """As `tracks`, passages cut down by the list's bitmap before they are shuffled."""
+    passages = Tables(spark, sf).passages()
+    return tracks(passages, clone_plate_cars(passages, within_s=LIST_CLONE_WITHIN_S), reduce=True)
+
+
 def q_newest_tracks(spark: SparkSession, sf: str) -> DataFrame:
     return newest_tracks(q_tracks(spark, sf), NEWEST_K)
 
@@ -256,6 +262,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_table": q_station_table,
     "violation_table": q_violation_table,
     "newest_tracks": q_newest_tracks,
+    "tracks_reduced": q_tracks_reduced,
     "outcome_tables": q_outcome_tables,
     "area_counters": q_area_counters,
     "area_distinct_running_bloom": q_area_distinct_running_bloom,
