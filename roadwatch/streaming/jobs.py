@@ -22,6 +22,7 @@ from roadwatch.operators.patterns import CLONE_MSG
 from roadwatch.operators.windows import (
     avg_speed, distinct_panes, duration_ms, interval_text, past_end_marker, speed_sums, top_n_monitors, with_event_time,
 )
+from roadwatch.plans.scan import time_bucket
 from roadwatch.session import checkpoint_path
 from roadwatch.sources.lines import parse_passages, read_lines_stream
 from roadwatch.streaming import machines
@@ -155,10 +156,23 @@ def stream_limits_as_of(passages: DataFrame, history: DataFrame, default: int =
 def stream_interval_join(violations: DataFrame, actions: DataFrame, lower="-5 seconds",
                          upper="5 seconds", delay="2 seconds", how: str = "inner",
                          violation_id: str = "violation_id", action_id: str = "action_id") -> DataFrame:
-    """D5 / D7 on streams: watermarks on both sides bound the join state."""
+    """D5 / D7 on streams: watermarks on both sides bound the join state.
+
+    The inner form is keyed by car and time bucket, as in batch: a violation is in
+    one bucket, an action in the (at most two) it can match, so a busy car's state
+    is spread over the state partitions. The outer form is keyed by car alone: a
+    copy of an action that stays without partner would be reported as such.
+    """
+    lo, hi = duration_ms(lower), duration_ms(upper)
+    if how == "inner":
+        width = max(hi - lo, 1)
+        copies = F.sequence(time_bucket(f"(action_time + ({-hi}))", width), time_bucket(f"(action_time + ({-lo}))", width))
+        violations = violations.withColumn("_jb", time_bucket("create_time", width))
+        actions = actions.withColumn("_jb", F.explode(copies))
     v = watermarked(violations, "create_time", delay, "v_ts").alias("v")
     a = watermarked(actions, "action_time", delay, "a_ts").alias("a")
-    cond = (F.col("v.car") == F.col("a.car")) \
+    cond = (F.col("v._jb") == F.col("a._jb")) if how == "inner" else F.lit(True)
+    cond = cond & (F.col("v.car") == F.col("a.car")) \
         & (F.col("a.a_ts") >= F.col("v.v_ts") + F.expr(f"INTERVAL {duration_ms(lower)} MILLISECONDS")) \
         & (F.col("a.a_ts") <= F.col("v.v_ts") + F.expr(f"INTERVAL {duration_ms(upper)} MILLISECONDS"))
     j = v.join(a, cond, "inner" if how == "inner" else "full_outer")
