@@ -43,17 +43,27 @@ def _found(kind: str, number: int, pattern: str, group: int, least: int) -> str:
     WHERE length(g[i]) >= {least}"""
 
 
-OP1_SECRET_SCAN = f"""
+_BASE = (("assign", _ASSIGN, 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]{32,}", 0, 32))
+
+
+def _op1_secret_scan() -> str:
+    """The base kinds are written out above; the published key forms are the rules' own
+    expressions, which RE2 reads alike."""
+    from roadwatch.llm.secret_scan import KEY_RULES
+    kinds = [*_BASE, *((r.kind, r.pattern, r.group, r.least) for r in KEY_RULES)]
+    found = " UNION ALL ".join(_found(kind, k, pattern, group, least) for k, (kind, pattern, group, least) in enumerate(kinds))
+    joined = "string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, k)"
+    return f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS row_id, coalesce(text, '') AS t FROM documents),
-f AS ({_found('assign', 0, _ASSIGN, 2, 8)} UNION ALL {_found('access', 1, 'AKIA[A-Z0-9]+', 0, 16)}
-      UNION ALL {_found('hex', 2, '[0-9a-f]{32,}', 0, 32)}),
+f AS ({found}),
 a AS (SELECT row_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
-             string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, k) AS spans FROM f GROUP BY row_id)
+             {joined} FILTER (k < {len(_BASE)}) AS base, {joined} AS spans FROM f GROUP BY row_id)
 SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
-       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a USING (row_id)
 """
 
+
 OP11_HARD_NEGATIVES = """
 WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
@@ -83,7 +93,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM d LEFT JOIN k USING (r)
 """
 
-SQL = {"op1_secret_scan": OP1_SECRET_SCAN, "op8_mixing": OP8_MIXING, "op11_hard_negatives": OP11_HARD_NEGATIVES,
+SQL = {"op1_secret_scan": _op1_secret_scan(), "op8_mixing": OP8_MIXING, "op11_hard_negatives": OP11_HARD_NEGATIVES,
        "op13_substring_dedup": OP13_SUBSTRING_DEDUP}
 
 

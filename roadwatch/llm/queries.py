@@ -13,7 +13,7 @@ from roadwatch.llm.common import table
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.with_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    base = F.array(*[F.lit(r.kind) for r in secret_scan.RULES])
+    base = F.array(*[F.lit(r.kind) for r in secret_scan.BASE_RULES])
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -44,13 +44,33 @@ class Rule:
 
 # The base kinds, in this order. `{32,}` finds the same spans as
 # `+` with a minimum of 32 afterwards, since such runs are maximal.
-RULES = (
+BASE_RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8,
          re.ASCII | re.IGNORECASE),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),
 )
 
+# Published forms of keys and tokens, in this order, after the base
+# kinds. Each has mandatory trigrams, so only the index's candidates are read for
+# it. Repeats before a separator are bounded, which keeps a match attempt short
+# on texts of any length.
+KEY_RULES = (
+    Rule("private_key", r"-----BEGIN ((RSA|EC|DSA|OPENSSH|ENCRYPTED|PGP) )?PRIVATE KEY( BLOCK)?-----"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("gitlab", r"glpat-[A-Za-z0-9_-]{20,}"),
+    Rule("slack", r"xox[abeoprs]-[A-Za-z0-9-]{10,}"),
+    Rule("stripe", r"[prs]k_(live|test)_[A-Za-z0-9]{16,}"),
+    Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
+    Rule("npm", r"npm_[A-Za-z0-9]{36}"),
+    Rule("pypi", r"pypi-[A-Za-z0-9_-]{16,}"),
+    Rule("sendgrid", r"SG\.[A-Za-z0-9_-]{16,64}\.[A-Za-z0-9_-]{16,64}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,500}\.eyJ[A-Za-z0-9_-]{8,900}\.[A-Za-z0-9_-]{8,}"),
+    Rule("url", r"(postgres|postgresql|mysql|mongodb|mongodb\+srv|redis|amqp|amqps|ftp|http|https)://"
+                r"[A-Za-z0-9._~%!$&*+,;=-]{1,64}:[A-Za-z0-9._~%!$&*+,;=-]{1,128}@[A-Za-z0-9.-]+"),
+)
+RULES = BASE_RULES + KEY_RULES
+
 # A query is True (any text), a trigram, or ("and" | "or", frozenset of queries).
 
 

@@ -3,7 +3,7 @@ import re
 import pytest
 
 from roadwatch.llm import secret_scan
-from roadwatch.llm.secret_scan import RULES, Rule, trigram_query, with_secrets
+from roadwatch.llm.secret_scan import BASE_RULES, KEY_RULES, RULES, Rule, Scanner, trigram_query, with_secrets
 
 SCHEMA = "doc_id long, text string, spans string"
 TEXTS = [
@@ -35,7 +35,7 @@ def test_spans_match_brute_force(spark):
     rows = [(i, t, "clash") for i, t in enumerate(TEXTS)] + [(None, TEXTS[5], ""), (5, TEXTS[5], "clash")]
     got = with_secrets(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == len(rows)
-    contract = [RULES[0], RULES[1], Rule("hex", "[0-9a-f]+", 0, 32)]
+    contract = [RULES[0], RULES[1], Rule("hex", "[0-9a-f]+", 0, 32), *KEY_RULES]
     for r in got:
         assert [tuple(s) for s in r.spans] == brute(r.text or "", contract)
 
@@ -75,3 +75,57 @@ def test_which_rules_have_mandatory_trigrams():
     assert trigram_query("token", re.IGNORECASE) is True  # beyond ASCII, other letters match too
     assert trigram_query("AKIA[A-Z0-9]+") == ("and", frozenset({"aki", "kia"}))
     assert trigram_query("foobar|x") is True
+
+
+# One text per published form; each is put together here so that no scanner of
+# repositories takes these examples for keys.
+KEYS = {
+    "private_key": "-----BEGIN " + "RSA PRIVATE KEY-----",
+    "github": "gh" + "p_" + "a1B2" * 9,
+    "gitlab": "glpat" + "-" + "x_-9" * 5,
+    "slack": "xox" + "b-" + "12345-abcde",
+    "stripe": "sk_" + "live_" + "4eC39HqLyjWDarjt",
+    "google": "AI" + "za" + "Sy_-0" * 7,
+    "npm": "npm" + "_" + "Zz09" * 9,
+    "pypi": "pypi" + "-" + "AgEIcHlwaS5vcmc-",
+    "sendgrid": "S" + "G." + "k" * 22 + "." + "v-_" * 14,
+    "jwt": "ey" + "J" + "hbGciOiJI." + "ey" + "J" + "zdWIiOiIx.c2lnbmF0dXJl",
+    "url": "postgres" + "ql://user:pa%20ss@db.example.org",
+}
+
+
+def test_published_forms(spark):
+    texts = [f"日本 x ({v}) end" for v in KEYS.values()] + [" ".join(KEYS.values()), *TEXTS]
+    texts += [v[:-1] for v in KEYS.values()] + [v.swapcase() for v in KEYS.values()] + ["http://a:b@" * 50, "eyJ" * 5000]
+    got = with_secrets(spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert [tuple(s) for s in r.spans] == brute(r.text or "", RULES)
+    for r, (kind, key) in zip(sorted(got, key=lambda r: r.doc_id), KEYS.items()):
+        assert (kind, 6, 6 + len(key)) in [tuple(s) for s in r.spans]
+
+
+def test_key_rules_read_candidates_only():
+    """Every published form has mandatory trigrams, and clean texts are not read for them."""
+    assert all(trigram_query(r.pattern, r.flags) is not True for r in KEY_RULES)
+    read = []
+
+    class Counting:
+        def __init__(self, regex):
+            self.regex = regex
+
+        def finditer(self, s):
+            read.append(s)
+            return self.regex.finditer(s)
+
+    scanner = Scanner(KEY_RULES)
+    scanner.rules = [(r, Counting(x), q) for r, x, q in scanner.rules]
+    found = scanner.scan([b"plain words of a clean text"] * 99 + [KEYS["npm"].encode()])
+    assert read == [KEYS["npm"]] and [len(x) for x in found] == [0] * 99 + [1]
+
+
+def test_base_kinds_are_unchanged_by_the_others(spark):
+    df = spark.createDataFrame([(i, t, "") for i, t in enumerate([*TEXTS, *KEYS.values(), "token=" + KEYS["npm"]])], SCHEMA)
+    base = {r.doc_id: [tuple(s) for s in r.spans] for r in with_secrets(df, rules=BASE_RULES).collect()}
+    kinds = {r.kind for r in BASE_RULES}
+    assert {r.doc_id: [tuple(s) for s in r.spans if s.kind in kinds] for r in with_secrets(df).collect()} == base
