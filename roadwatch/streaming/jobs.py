@@ -158,28 +158,62 @@ def stream_interval_join(violations: DataFrame, actions: DataFrame, lower="-5 se
                          violation_id: str = "violation_id", action_id: str = "action_id") -> DataFrame:
     """D5 / D7 on streams: watermarks on both sides bound the join state.
 
-    The inner form is keyed by car and time bucket, as in batch: a violation is in
+    Both forms are keyed by car and time bucket, as in batch: a violation is in
     one bucket, an action in the (at most two) it can match, so a busy car's state
-    is spread over the state partitions. The outer form is keyed by car alone: a
-    copy of an action that stays without partner would be reported as such.
+    is spread over the state partitions.
+
+    ``how="full_outer"`` is two left outer joins. In the first, violations are in
+    one bucket each: it gives the pairs and, once, each violation without a
+    partner. In the second, actions are in one bucket each and violations copied:
+    only its actions without a partner are kept, again each once. (A full outer
+    join would report every copy.) Each side's rows are held twice for that.
+    Rows without a car have no partner and are spread over their buckets; rows
+    without a time are reported alone at once. Rows behind the watermark are left
+    out, those of the year 1970's first instant or earlier too (Spark's watermark starts there).
     """
+    if how not in ("inner", "full_outer"):
+        raise ValueError("how must be 'inner' or 'full_outer'")
     lo, hi = duration_ms(lower), duration_ms(upper)
+    width = max(hi - lo, 1)
+    v, a = watermarked(violations, "create_time", delay, "v_ts"), watermarked(actions, "action_time", delay, "a_ts")
+    if how == "full_outer":
+        # A key that is never NULL: Spark would filter for named cars below the watermark,
+        # which then missed the end marker.
+        v, a = [df.where(F.col(ts).isNotNull()).withColumn("_k", F.coalesce(F.concat(F.lit("="), F.col("car")), F.lit(ts)))
+                for df, ts in ((v, "v_ts"), (a, "a_ts"))]
+
+    def placed(df: DataFrame, time: str, name: str) -> DataFrame:
+        return df.withColumn("_jb", time_bucket(time, width)).alias(name)
+
+    def copied(df: DataFrame, time: str, first: int, last: int, name: str) -> DataFrame:
+        ends = [time_bucket(f"({time} + ({d}))", width) for d in (first, last)]
+        return df.withColumn("_jb", F.explode(F.sequence(*ends))).alias(name)
+
+    key = "car" if how == "inner" else "_k"
+    cond = (F.col("v._jb") == F.col("a._jb")) & (F.col(f"v.{key}") == F.col(f"a.{key}")) \
+        & (F.col("a.a_ts") >= F.col("v.v_ts") + F.expr(f"INTERVAL {lo} MILLISECONDS")) \
+        & (F.col("a.a_ts") <= F.col("v.v_ts") + F.expr(f"INTERVAL {hi} MILLISECONDS"))
+    named = {"v": ("msg", "create_time", violation_id), "a": ("police_id", "action_status", "action_time", action_id)}
+
+    def rows(df: DataFrame, car: str, **sides: str | None) -> DataFrame:
+        """The output columns: each side's under its prefix, or NULLs of their type (None)."""
+        out = [F.col(car).alias("car")]
+        for side, table, of_id in (("v", violations, "violation_id"), ("a", actions, "action_id")):
+            for c in named[side]:
+                if c in table.columns:
+                    value = F.lit(None).cast(table.schema[c].dataType) if sides[side] is None else F.col(sides[side] + c)
+                    out.append(value.alias(of_id if c == named[side][-1] else c))
+        return df.select(*out)
+
+    pairs = placed(v, "create_time", "v").join(copied(a, "action_time", -hi, -lo, "a"), cond, "inner" if how == "inner" else "left_outer")
+    found = rows(pairs, "v.car", v="v.", a="a.")
     if how == "inner":
-        width = max(hi - lo, 1)
-        copies = F.sequence(time_bucket(f"(action_time + ({-hi}))", width), time_bucket(f"(action_time + ({-lo}))", width))
-        violations = violations.withColumn("_jb", time_bucket("create_time", width))
-        actions = actions.withColumn("_jb", F.explode(copies))
-    v = watermarked(violations, "create_time", delay, "v_ts").alias("v")
-    a = watermarked(actions, "action_time", delay, "a_ts").alias("a")
-    cond = (F.col("v._jb") == F.col("a._jb")) if how == "inner" else F.lit(True)
-    cond = cond & (F.col("v.car") == F.col("a.car")) \
-        & (F.col("a.a_ts") >= F.col("v.v_ts") + F.expr(f"INTERVAL {duration_ms(lower)} MILLISECONDS")) \
-        & (F.col("a.a_ts") <= F.col("v.v_ts") + F.expr(f"INTERVAL {duration_ms(upper)} MILLISECONDS"))
-    j = v.join(a, cond, "inner" if how == "inner" else "full_outer")
-    vid = [F.col(f"v.{violation_id}").alias("violation_id")] if violation_id in violations.columns else []
-    aid = [F.col(f"a.{action_id}").alias("action_id")] if action_id in actions.columns else []
-    return j.select(F.coalesce(F.col("v.car"), F.col("a.car")).alias("car"), "v.msg", "v.create_time",
-                    *vid, "a.police_id", "a.action_status", "a.action_time", *aid)
+        return found
+    lone = placed(a, "action_time", "a").join(copied(v, "create_time", lo, hi, "v"), cond, "left_outer").where(F.col("v.v_ts").isNull())
+    untimed_v, untimed_a = [watermarked(df, time, delay).where(F.col("ts").isNull())
+                            for df, time in ((violations, "create_time"), (actions, "action_time"))]
+    return found.unionByName(rows(lone, "a.car", v=None, a="a.")) \
+        .unionByName(rows(untimed_v, "car", v="", a=None)).unionByName(rows(untimed_a, "car", v=None, a=""))
 
 
 # ---- keyed event-time folds ---------------------------------------------------------------
