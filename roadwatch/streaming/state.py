@@ -139,6 +139,38 @@ class RunningMarks(StatefulProcessor):
         pass
 
 
+class ClockWindow(StatefulProcessor):
+    """Distinct cars of one key until the clock passes its window's end.
+
+    A processing-time timer closes the window, with or without further input,
+    and the state goes with it. (No time-to-live: after a pause of the query
+    it would take cars away before they are counted.)
+    """
+
+    def __init__(self, size_ms: int, out_schema: T.StructType):
+        self.size_ms, self.columns = size_ms, out_schema.fieldNames()
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.cars = handle.getMapState("cars", "car string", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            for car in pdf["car"].dropna().unique():
+                self.cars.updateValue((car,), (True,))
+        self.handle.registerTimer(int(key[1]) + self.size_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        count = sum(1 for _ in self.cars.keys())
+        self.cars.clear()
+        area, start, shard = key
+        yield pd.DataFrame([(start, start + self.size_ms, area, shard, count)], columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
 def fold_by_key(df: DataFrame, keys: Sequence[str], make: Callable[[str | None], Machine],
                 out_schema: T.StructType, time_col: str, order: Sequence[str], late: str = "feed", event_time: str = "") -> DataFrame:
     """Apply an :class:`EventTimeFold` per key of a watermarked stream (append mode).
