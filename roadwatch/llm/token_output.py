@@ -26,19 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadwatch.llm import tokens
-from roadwatch.llm.common import cut, scratch, slices
+from roadwatch.llm.common import cut, scratch
 
 MAGIC = b"PFR1"
 BLOCK = 4096
 #: Share of a block's values that fit the packed width.
 PERCENTILE = 90
 END_ID = 2
+#: Bytes of text encoded at once: a slice's distinct words are looked up once each.
+SLICE = 8 << 20
 HEAD, TAIL = "<IBII", "<QQQQ"
 
 
@@ -146,6 +149,17 @@ class Reader:
             i = j
 
 
+def sized(batches, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of ids and texts cut into slices of less than ``size`` bytes of text, beside
+    each slice's first text."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), b.num_rows]
+        for i, j in zip(at, at[1:]):
+            if j > i:
+                yield b.slice(i, j - i)
+
+
 def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Encode every whole text, append ``end_id``, and write files under ``path`` in
@@ -163,15 +177,15 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         fs, root = pafs.FileSystem.from_uri(path)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.pfr"
-        end = np.array([end_id], "<u4").tobytes()
-        for b in slices(batches):
+        end = np.array([end_id], "<u4")
+        for b in sized(batches):
             if writer is None:
-                encoder = tokens.WordEncoder(tokenizer)
+                encoder = tokens.worker_encoder(tokenizer)
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}")
                 writer = Writer(out)
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                writer.add(i, np.frombuffer(encoder.encode(t.as_py() or "") + end, "<u4"))
+            for i, ids in zip(b.column(0).to_pylist(), encoder.encode_all(pc.fill_null(b.column(1), ""))):
+                writer.add(i, np.append(ids, end))
         if writer is not None:
             writer.close()
             out.close()

@@ -1,9 +1,9 @@
 """Exact whole-text encoding with the public tokenizers, remembered word by word.
 
 Both encoders cut a text only where the tokenizer's own pre-tokenizer must
-cut it, encode each distinct piece once per task (a two-generation memory of
-bounded size) and put the pieces together; texts with characters for which
-that is not certain are encoded whole by the library.
+cut it, encode each distinct piece once (a two-generation memory of bounded
+size, per task or worker) and put the pieces together; texts with characters
+for which that is not certain are encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -20,22 +20,27 @@ import pyarrow.compute as pc
 
 from roadwatch.llm.common import WORD
 
-#: Pieces remembered per generation; a task holds at most two generations.
+#: Pieces remembered per generation; a memory holds at most two generations.
 GENERATION = 250_000
+#: Characters of the longest word piece remembered, since a worker's memory outlives its tasks.
+LONGEST = 100
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 class Memory(dict):
-    """``memory[piece]`` computes a missing piece; old pieces are forgotten by generation."""
+    """``memory[piece]`` computes a missing piece; old pieces are forgotten by generation,
+    those of more than ``longest`` characters at once."""
 
-    def __init__(self, make):
-        self.make, self.old = make, {}
+    def __init__(self, make, longest: int = sys.maxsize):
+        self.make, self.longest, self.old = make, longest, {}
 
     def __missing__(self, piece):
         value = self.old.get(piece)
         if value is None:
             value = self.make(piece)
+            if len(piece) > self.longest:
+                return value
         if len(self) >= GENERATION:
             self.old = dict(self)
             self.clear()
@@ -56,6 +61,8 @@ class WordEncoder:
     # The pre-tokenizer's alternatives, for the characters below.
     PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9ß-öø-ſ]+", re.ASCII)
     LINE_PIECES = re.compile(PIECES.pattern + "|\n", re.ASCII)
+    #: Stands for the line feed between words, which is no token.
+    BETWEEN = b"\xff\xff\xff\xff"
     OTHER = re.compile("[^\x00-\x7f¡-©«-±´¶-¸»¿-įı-ſ‐-‧‰-⁞]|<\\|")
 
     def __init__(self, path: str):
@@ -63,23 +70,28 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.memory = Memory(self._piece)
+        self.memory = Memory(self._piece, LONGEST)
         self.piece_sizes = Memory(self._piece_size)
         # The byte-level alphabet: printable bytes stand for themselves, others for U+0100 on.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+        others = iter(range(256, 512))
+        self.alphabet = "".join(chr(b if b in plain else next(others)) for b in range(256))
+
+    def _tokens(self, piece: str) -> list:
+        # Visible ASCII stands for itself.
+        plain = piece.isascii() and piece.isprintable()
+        return self.model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self.alphabet))
 
     def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-        ids = [t.id for t in self.model.tokenize(mapped)]
+        if piece == "\n":
+            return self.BETWEEN
+        ids = [t.id for t in self._tokens(piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece_size(self, piece: str) -> int:
         if piece == "\n":
             return -1  # between words
-        # Visible ASCII stands for itself.
-        plain = piece.isascii() and piece.isprintable()
-        return len(self.model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(self.alphabet)))
+        return len(self._tokens(piece))
 
     def _sizes(self, words: list[str]) -> np.ndarray:
         """Number of ids of each word; -1 if texts with it are encoded whole. No piece crosses
@@ -98,10 +110,38 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if "<|" in text if text.isascii() else self.OTHER.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        memory = self.memory
-        return b"".join([memory[p] for p in self.PIECES.findall(text.lower())])
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def _ids(self, words: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """The ids of each word, and which words have their texts encoded whole (no ids here).
+        No piece crosses white space, so words are cut in one go."""
+        def lines(w: pa.Array) -> str:
+            return pc.binary_join(pa.ListArray.from_arrays([0, len(w)], w), "\n")[0].as_py() + "\n" * (len(w) > 0)
+
+        whole = np.zeros(len(words), bool)
+        joined = lines(words)
+        if self.OTHER.search(joined):
+            whole = np.array([self.OTHER.search(w) is not None for w in joined.split("\n")[:-1]])
+            joined = lines(pc.if_else(pa.array(whole), "", words))
+        found = np.frombuffer(b"".join(map(self.memory.__getitem__, self.LINE_PIECES.findall(joined.lower()))), "<u4")
+        between = found == np.frombuffer(self.BETWEEN, "<u4")
+        ends = np.flatnonzero(between) - np.arange(len(words))
+        return pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), found[~between]), whole
+
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text (no NULLs): a batch's distinct words are encoded once each."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+        coded = split.values.dictionary_encode()
+        each, whole = self._ids(coded.dictionary)
+        taken = each.take(coded.indices)
+        offsets = split.offsets.to_numpy()
+        ids, bounds = taken.values.to_numpy(), taken.offsets.to_numpy()[offsets].tolist()
+        out = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        if whole.any():
+            n = np.concatenate([[0], np.cumsum(whole[coded.indices.to_numpy()])])[offsets]
+            for i in np.flatnonzero(np.diff(n)).tolist():
+                out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4")
+        return out
 
     def count(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids and of words (:data:`common.WORD`) of each text (no NULLs): a batch's

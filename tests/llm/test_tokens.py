@@ -3,6 +3,7 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from hypothesis import given, settings
@@ -35,6 +36,49 @@ def test_any_text_encodes_as_the_libraries_do(text):
     same(text)
 
 
+def by_library(texts):
+    return [WORD.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_batch_looks_each_distinct_word_up_once(monkeypatch):
+    looked = []
+
+    class Counted(T.Memory):
+        def __getitem__(self, piece):
+            looked.append(piece)
+            return super().__getitem__(piece)
+
+    encoder = T.WordEncoder(T.tokenizer_path(T.WORD_BPE))
+    monkeypatch.setattr(encoder, "memory", Counted(encoder._piece))
+    texts = ["The cat, the dog\nand THE cat: naïve dog"] * 500
+    assert [x.tolist() for x in encoder.encode_all(pa.array(texts))] == by_library(texts)
+    # the cat , the dog and cat : naïve, and the end of each of the 7 distinct words
+    assert len([p for p in looked if p != "\n"]) <= 9 and len(looked) <= 16
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(ODD), st.text(alphabet=" \n\t'.,sStTéÀ<|漢D0", max_size=12)), min_size=1, max_size=8))
+def test_batches_encode_as_the_library_does(texts):
+    padded = pa.array(["dropped", *texts])
+    assert [x.tolist() for x in WORD.encode_all(padded.slice(1))] == by_library(texts)
+
+
+def test_long_pieces_are_not_kept():
+    encoder = T.WordEncoder(T.tokenizer_path(T.WORD_BPE))
+    text = "x" * (T.LONGEST + 1) + " word " + "y" * T.LONGEST
+    assert [encoder.encode_all(pa.array([text]))[0].tolist()] == by_library([text])
+    assert set(encoder.memory) == {"word", "y" * T.LONGEST, "\n"}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=30)), max_size=30), st.integers(1, 60))
+def test_slices_by_size_hold_every_row_once(texts, size):
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
+    cut = [s.column(1).to_pylist() for s in TO.sized([b], size)]
+    assert [t for s in cut for t in s] == texts
+    assert all(s and sum(len((t or "").encode()) for t in s[1:]) < size for s in cut)
+
+
 def test_memory_forgets_but_stays_right(monkeypatch):
     monkeypatch.setattr(T, "GENERATION", 3)
     m = T.Memory(lambda p: p.upper())
